@@ -129,7 +129,7 @@ def with_tables(sql: str) -> str:
     needed: list[str] = []
 
     def visit(body: str) -> None:
-        for name in dict.fromkeys(re.findall(r"\b(?:raw|silver|dim|hist)_[a-z0-9_]+\b", body)):
+        for name in dict.fromkeys(re.findall(r"\b(?:raw|silver|dim|hist|now|past|mart|stage)_[a-z0-9_]+\b", body)):
             if name in TABLES and name not in needed:
                 visit(TABLES[name])
                 needed.append(name)

@@ -127,7 +127,7 @@ OPERATOR_SQL: dict[str, str] = {
                CAST(CASE WHEN visit_type <> 'Inpatient' THEN year(visit_date) END AS INTEGER) AS visit_year
         FROM raw_visit""",
     "schema_conform": """
-        SELECT claim_id, claim_date, CAST(approved_amount AS DECIMAL(12,2)) AS approved_amount,
+        SELECT claim_id, claim_date, CAST(CAST(approved_amount AS DECIMAL(30,8)) AS DECIMAL(12,2)) AS approved_amount,
                CAST(year(claim_date) AS INTEGER) AS claim_year, CAST(NULL AS VARCHAR) AS reviewed_by
         FROM raw_claim""",
     "load_validate": " UNION ALL ".join(
@@ -376,15 +376,13 @@ OPERATOR_SQL: dict[str, str] = {
         UNION ALL
         SELECT 'null_date', 'claim', 'claim_date', count(*) FILTER (claim_date IS NULL),
                min(claim_id) FILTER (claim_date IS NULL) FROM raw_claim""",
-    "dq_date_order": """
-        WITH reviewed AS (SELECT c.*, a.approval_date FROM raw_claim c LEFT JOIN raw_claim_approval a
-                          ON a.claim_id = c.claim_id)
-        SELECT 'order' AS "check", 'claim' AS table_name, 'claim_date,approval_date' AS column_name,
-               count(*) FILTER (claim_date > approval_date) AS failed_rows,
-               min(claim_id) FILTER (claim_date > approval_date) AS sample_key FROM reviewed
-        UNION ALL
-        SELECT 'order', 'claim', 'approved_amount,claim_amount', count(*) FILTER (approved_amount > claim_amount),
-               min(claim_id) FILTER (approved_amount > claim_amount) FROM reviewed""",
+    "dq_date_order": " UNION ALL ".join(
+        f"""SELECT 'order' AS "check", 'claim' AS table_name, '{first},{second}' AS column_name,
+            count(*) FILTER ({first} > {second}) AS failed_rows,
+            min(c.claim_id) FILTER ({first} > {second}) AS sample_key
+            FROM raw_claim c LEFT JOIN raw_claim_approval a ON a.claim_id = c.claim_id"""
+        for first, second in (("claim_date", "approval_date"), ("approved_amount", "claim_amount"))
+    ),
     "dq_invalid_rows": f"""
         SELECT patient_id, failed_rules FROM (
           SELECT patient_id, concat_ws(',',
