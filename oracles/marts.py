@@ -389,7 +389,7 @@ MART_SQL |= {
         FROM mart_operational
         ORDER BY operation_date DESC, total_visits DESC, hospital_id, department_id, visit_type LIMIT 10""",
     "lookup_operational": """
-        SELECT * FROM mart_operational WHERE hospital_id = 'H5' AND operation_date = DATE '1998-06-05'""",
+        SELECT * FROM mart_operational WHERE hospital_id = 'H5' AND operation_date = DATE '1997-02-09'""",
     "daily_occupancy": """
         SELECT hospital_id, department_id, operation_date, visit_type, occupied_beds FROM mart_operational""",
 }

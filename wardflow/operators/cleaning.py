@@ -69,21 +69,48 @@ def lowercase_strings(df: DataFrame) -> DataFrame:
     return map_columns(df, _is_string, F.lower)
 
 
+def tidy(
+    df: DataFrame,
+    trim: bool = False,
+    text: str | None = None,
+    number: float | None = None,
+    exclude: Iterable[str] = (),
+) -> DataFrame:
+    """Trim strings, replace NULL strings and replace NULL numbers in one projection.
+
+    Columns in ``exclude`` are trimmed but keep their NULLs. Numbers are chosen by
+    type: tinyint and smallint are not touched, and NaN counts as missing.
+    """
+    skip = set(exclude)
+
+    def change(field: T.StructField) -> Column:
+        column = quoted(field.name)
+        if _is_string(field):
+            column = F.trim(column) if trim else column
+            fill = text
+        elif isinstance(field.dataType, FILLED_NUMERIC):
+            if isinstance(field.dataType, (T.DoubleType, T.FloatType)) and number is not None:
+                column = F.nanvl(column, F.lit(None))
+            fill = number
+        else:
+            fill = None
+        if fill is not None and field.name not in skip:
+            column = F.coalesce(column, F.lit(fill).cast(field.dataType))
+        elif not (trim and _is_string(field)):
+            return quoted(field.name)
+        return column.alias(field.name)
+
+    return df.select(*[change(f) for f in df.schema.fields])
+
+
 def fill_strings(df: DataFrame, replacement: str = UNKNOWN, exclude: Iterable[str] = ()) -> DataFrame:
     """Replace NULL strings; columns in ``exclude`` (foreign keys) keep their NULLs."""
-    skip = set(exclude)
-    return map_columns(
-        df,
-        lambda f: _is_string(f) and f.name not in skip,
-        lambda c: F.coalesce(c, F.lit(replacement)),
-    )
+    return tidy(df, text=replacement, exclude=exclude)
 
 
 def fill_numbers(df: DataFrame, replacement: float = 0, exclude: Iterable[str] = ()) -> DataFrame:
     """Replace NULL numbers by type; tinyint and smallint are not touched."""
-    skip = set(exclude)
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, FILLED_NUMERIC) and f.name not in skip]
-    return df.fillna(replacement, subset=names) if names else df
+    return tidy(df, number=replacement, exclude=exclude)
 
 
 def to_dates(df: DataFrame, columns: Sequence[str], pattern: str = "yyyy-MM-dd") -> DataFrame:

@@ -54,40 +54,51 @@ def with_position(df: DataFrame, order_by: Sequence[str], target: str, first: in
     return numbered.withColumn(target, F.col("_start") + F.col("_row") + start).drop("_slot", "_part", "_row", "_start")
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """Interpolated quantiles ``(column_name, probability, value)`` of numeric columns.
+def number_series(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
+    """Numeric columns as ``(series, value)`` rows; the series is prefix + column."""
+    return (
+        df.select(*[quoted(c).cast("double").alias(c) for c in columns])
+        .unpivot([], list(columns), "series", "value")
+        .filter("value IS NOT NULL")
+        .withColumn("series", F.concat(F.lit(prefix), F.col("series")))
+    )
+
+
+def exact_quantiles(series: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Interpolated quantiles ``(series, probability, value)`` of ``(series, value)`` rows.
 
     Equal values collapse to one counted row before the shuffle, so neither a
     frequent value nor the number of rows decides the size of a task. One pass
-    serves all columns.
+    serves all series.
     """
-    long = df.select(*[quoted(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "column_name", "value"
-    )
-    counts = long.filter("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    ranged = _ranged(counts, [F.col("column_name"), F.col("value")])
-    totals = ranged.groupBy("column_name", "_part").agg(F.sum("_n").alias("_n"))
-    starts = _starts(totals, ["column_name"])
-    sizes = totals.groupBy("column_name").agg(F.sum("_n").alias("_size"))
-    inside = Window.partitionBy("_part", "column_name").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    # Both side tables have at most one row per column and partition.
+    counts = series.groupBy("series", "value").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = _ranged(counts, [F.col("series"), F.col("value")])
+    totals = ranged.groupBy("series", "_part").agg(F.sum("_n").alias("_n"))
+    starts = _starts(totals, ["series"])
+    sizes = totals.groupBy("series").agg(F.sum("_n").alias("_size"))
+    inside = Window.partitionBy("_part", "series").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    # Both side tables have at most one row per series and partition.
     ranks = (
         ranged.withColumn("_upto", F.sum("_n").over(inside))
-        .join(F.broadcast(starts), ["column_name", "_part"])
-        .join(F.broadcast(sizes), "column_name")
+        .join(F.broadcast(starts), ["series", "_part"])
+        .join(F.broadcast(sizes), "series")
         .withColumn("_last", F.col("_start") + F.col("_upto") - 1)
         .withColumn("_first", F.col("_last") - F.col("_n") + 1)
     )
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("probability")
-    # A value row matters only if one of the wanted ranks falls on it.
-    position = F.col("probability") * (F.col("_size") - 1)
-    hit = ranks.select("column_name", "value", "_first", "_last", "_size", wanted).withColumn("_at", position)
+    hit = ranks.select("series", "value", "_first", "_last", "_size", wanted).withColumn(
+        "_at", F.col("probability") * (F.col("_size") - 1)
+    )
     low, high = F.floor("_at"), F.ceil("_at")
-    covers = lambda rank: rank.between(F.col("_first"), F.col("_last"))
-    found = hit.filter(covers(low) | covers(high)).groupBy("column_name", "probability").agg(
+
+    def covers(rank: Column) -> Column:
+        return rank.between(F.col("_first"), F.col("_last"))
+
+    # A value matters only if one of the two neighbouring ranks falls on it.
+    found = hit.filter(covers(low) | covers(high)).groupBy("series", "probability").agg(
         F.max(F.when(covers(low), F.col("value"))).alias("_low"),
         F.max(F.when(covers(high), F.col("value"))).alias("_high"),
         F.max(F.col("_at") - low).alias("_share"),
     )
     value = F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_share")
-    return found.select("column_name", "probability", value.alias("value"))
+    return found.select("series", "probability", value.alias("value"))

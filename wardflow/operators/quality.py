@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.expressions import Clock, as_date
 from wardflow.operators.cleaning import quoted
-from wardflow.operators.ordering import exact_quantiles
+from wardflow.operators.ordering import exact_quantiles, number_series
 
 # Shapes of a valid e-mail and phone.
 EMAIL_SHAPE = "%_@%.%"
@@ -106,11 +106,16 @@ def orphan_keys(df: DataFrame, column: str, parent: DataFrame, parent_key: str)
     return df.filter(quoted(column).isNotNull()).join(parents, quoted(column) == F.col("_parent"), "left_anti")
 
 
-def iqr_fences(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """First and third quartile of each column (two numbers per column)."""
-    found = exact_quantiles(df, columns, [0.25, 0.75]).collect()
-    value = {(r["column_name"], r["probability"]): r["value"] for r in found}
-    return {c: (value[c, 0.25], value[c, 0.75]) for c in columns if (c, 0.25) in value}
+def iqr_fences(watched: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> dict[tuple[str, str], tuple[float, float]]:
+    """First and third quartile of each (table, column): two numbers per column.
+
+    All columns of all tables are ranked in the same pass.
+    """
+    parts = [number_series(df, columns, f"{table}.") for table, (df, columns) in watched.items()]
+    found = exact_quantiles(reduce(DataFrame.unionByName, parts), [0.25, 0.75]).collect()
+    value = {(r["series"], r["probability"]): r["value"] for r in found}
+    names = [(t, c) for t, (_, columns) in watched.items() for c in columns]
+    return {n: (value[".".join(n), 0.25], value[".".join(n), 0.75]) for n in names if (".".join(n), 0.25) in value}
 
 
 def outliers(df: DataFrame, column: str, quartiles: tuple[float, float], factor: float = 1.5) -> DataFrame:

@@ -157,3 +157,19 @@ def scd2_apply(
     """
     changes = scd2_changes(target, source, surrogate, key, tracked, as_of, same_day)
     return scd2_expire(target, changes, key, as_of).unionByName(scd2_insert(target, changes))
+
+
+def scd2_first_load(source: DataFrame, schema: T.StructType, surrogate: str, key: str, as_of: Clock) -> DataFrame:
+    """Version 1 of every key: what ``scd2_apply`` gives for an empty target."""
+    run_date, moment = as_date(as_of), as_timestamp(as_of)
+    rows = with_position(source, [key], surrogate).withColumns(
+        {
+            "scd_start_date": run_date,
+            "scd_end_date": F.lit(None),
+            "scd_is_current": F.lit(1),
+            "scd_version": F.lit(1),
+            "dwh_created_at": moment,
+            "dwh_updated_at": moment,
+        }
+    )
+    return rows.select(*[quoted(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from wardflow.functions.expressions import Clock, as_date, as_timestamp, band, date_key, flag
 from wardflow.operators.joins import current_members
-from wardflow.operators.scd import dimension_schema, scd1, scd2_apply
+from wardflow.operators.scd import dimension_schema, scd1, scd2_apply, scd2_first_load
 from wardflow.sources.rows import date_spine
 
 # Default range of the date dimension.
@@ -185,5 +185,6 @@ def load_dimension(
     spec = DIMENSIONS[name]
     business = [f.name for f in T.StructType.fromDDL(spec.columns).fields]
     source = spec.stage(silver, dims, as_of).select(*business)
-    before = target if target is not None else source.sparkSession.createDataFrame([], spec.schema)
-    return scd2_apply(before, source, spec.surrogate, spec.key, spec.tracked, as_of, same_day)
+    if target is None:
+        return scd2_first_load(source, spec.schema, spec.surrogate, spec.key, as_of)
+    return scd2_apply(target, source, spec.surrogate, spec.key, spec.tracked, as_of, same_day)

@@ -130,15 +130,18 @@ def clean_table(
     df = raw
     for prepare in recipe.before:
         df = prepare(df)
-    actions: dict[str, Callable[[DataFrame], DataFrame]] = {
-        "D": lambda d: c.remove_duplicates(d, [recipe.key]),
-        "T": c.trim_strings,
-        "S": lambda d: c.fill_strings(d, exclude=kept),
-        "N": lambda d: c.fill_numbers(d, exclude=kept),
-        "B": lambda d: c.blank_dates_to_null(d, recipe.dates),
-    }
-    for step in recipe.steps:
-        df = df.transform(actions[step])
+    if "D" in recipe.steps:
+        df = c.remove_duplicates(df, [recipe.key])
+    # Trimming and filling touch each column on its own, so they share one projection.
+    df = c.tidy(
+        df,
+        trim="T" in recipe.steps,
+        text=c.UNKNOWN if "S" in recipe.steps else None,
+        number=0 if "N" in recipe.steps else None,
+        exclude=kept,
+    )
+    if "B" in recipe.steps and recipe.dates:
+        df = c.blank_dates_to_null(df, recipe.dates)
     for finish in recipe.after:
         df = finish(df, as_of)
     for key, table in (overrides or {}).items():

@@ -70,8 +70,8 @@ def build_dimensions(store: TableStore, as_of: Clock) -> None:
     store.overwrite("dim_procedure", d.dim_procedure(silver["medical_procedure"], as_of))
     store.overwrite("dim_claim_status", d.dim_claim_status(silver["claim_approval"], as_of))
     dims: dict[str, DataFrame] = {}
-    for name, spec in d.DIMENSIONS.items():
-        target = store.table_or_empty(f"dim_{name}", spec.schema)
+    for name in d.DIMENSIONS:
+        target = store.table(f"dim_{name}") if store.exists(f"dim_{name}") else None
         dims[name] = store.overwrite(f"dim_{name}", d.load_dimension(name, silver, dims, as_of, target))
 
 

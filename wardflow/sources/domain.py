@@ -7,6 +7,7 @@ driver table; dirt (NULLs, padding, shared phones) is set by CASE on the key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -321,11 +322,11 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw domain table as a lazy DataFrame over the driver's Parquet files."""
+def raw_table(spark: SparkSession, driver: Callable[[str], DataFrame], name: str) -> DataFrame:
+    """One raw domain table as a lazy DataFrame over the driver's tables."""
     text = DOMAIN_SQL[name]
     needed = [t for t in DRIVER_TABLES if "{" + t + "}" in text]
-    return spark.sql(text, **{t: driver_table(spark, sf_dir, t) for t in needed})
+    return spark.sql(text, **{t: driver(t) for t in needed})
 
 
 def domain_sql(name: str) -> str:
