@@ -1,7 +1,9 @@
 """Join shapes the warehouse and the marts use.
 
-No side is forced to broadcast: Spark compares measured sizes with
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, splitting hot keys.
+No table is forced to broadcast: Spark compares measured sizes with
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles. Adaptive execution
+splits a hot key of a shuffled join only where both sides are plain shuffles; a side
+that was aggregated by the join key is not, and ``join_skewed`` covers that case.
 """
 
 from __future__ import annotations
@@ -10,19 +12,12 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.operators.scd import current_rows
 
 
-def same(left: DataFrame, right: DataFrame, columns: Mapping[str, str], null_safe: bool = False) -> Column:
-    pairs = [
-        left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in columns.items()
-    ]
-    return reduce(and_, pairs)
-
-
 def current_members(dimension: DataFrame, key: str, *columns: str) -> DataFrame:
     """Current versions, with only the wanted columns."""
     return current_rows(dimension).select(key, *columns)
@@ -46,19 +41,72 @@ def members_as_of(
     return joined.drop("_version_of", "scd_start_date", "scd_end_date")
 
 
-def flag_existing(df: DataFrame, other: DataFrame, columns: Mapping[str, str], target: str) -> DataFrame:
+# A key with fewer rows than this is left to one task.
+HOT_ROWS = 1_000_000
+# At most this many keys are split, so the list of them is always small enough to broadcast.
+HOT_KEYS = 1_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The heaviest keys with at least ``hot_rows`` rows, or None.
+
+    Rows are counted before they are shuffled and at most ``HOT_KEYS`` rows come
+    back, so one key that holds most of the table costs no more than any other.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= hot_rows)
+    found = counted.orderBy(F.desc("_rows")).limit(HOT_KEYS).select(*keys)
+    heavy = found.collect()
+    return df.sparkSession.createDataFrame(heavy, found.schema) if heavy else None
+
+
+def join_skewed(
+    df: DataFrame,
+    feeder: DataFrame,
+    keys: Sequence[str],
+    how: str = "left",
+    hot_rows: int = HOT_ROWS,
+    parts: int = 64,
+    count_on: DataFrame | None = None,
+) -> DataFrame:
+    """Join rows to a feeder with one row per key, splitting the rows of hot keys.
+
+    Rows of a hot key are spread over ``parts`` tasks by a hash of the whole row,
+    and the feeder row of that key is repeated once per part. Without a hot key
+    this is a plain join. Which keys are split never changes the result, so they
+    may be counted on ``count_on``, a table that is cheaper to read than ``df``.
+    """
+    hot = hot_keys(df if count_on is None else count_on, keys, hot_rows)
+    if hot is None:
+        return df.join(feeder, list(keys), how)
+    names = [f"_hot_{i}" for i in range(len(keys))]
+    marks = F.broadcast(hot.toDF(*names).withColumn("_hot", F.lit(True)))
+
+    def marked(side: DataFrame) -> DataFrame:
+        on = reduce(and_, [side[k].eqNullSafe(marks[n]) for k, n in zip(keys, names)])
+        return side.join(marks, on, "left").drop(*names)
+
+    spread = F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(parts)).cast("int")
+    every = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0))))
+    left = marked(df).withColumn("_part", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
+    right = marked(feeder).withColumn("_part", every).drop("_hot")
+    return left.join(right, [*keys, "_part"], how).drop("_part")
+
+
+def flag_existing(
+    df: DataFrame,
+    other: DataFrame,
+    columns: Mapping[str, str],
+    target: str,
+    count_on: DataFrame | None = None,
+) -> DataFrame:
     """1 where a row with the same key values exists in ``other``, else 0.
 
     The other side is reduced to distinct keys first, so rows never multiply.
     """
-    names = {a: f"_exists_{i}" for i, a in enumerate(columns)}
-    keys = other.select(*[F.col(b).alias(names[a]) for a, b in columns.items()]).distinct()
-    on = reduce(and_, [df[a] == keys[names[a]] for a in columns])
-    return (
-        df.join(keys.withColumn("_hit", F.lit(1)), on, "left")
-        .withColumn(target, F.when(F.col("_hit").isNotNull(), 1).otherwise(0))
-        .drop("_hit", *names.values())
-    )
+    keys = other.select(*[F.col(b).alias(a) for a, b in columns.items()]).distinct().withColumn("_hit", F.lit(1))
+    joined = join_skewed(df, keys, list(columns), count_on=count_on)
+    flagged = joined.withColumn(target, F.when(F.col("_hit").isNotNull(), 1).otherwise(0))
+    return flagged.select(*df.columns, target)
 
 
 def rows_with_shared_value(df: DataFrame, column: str) -> DataFrame:
@@ -66,7 +114,7 @@ def rows_with_shared_value(df: DataFrame, column: str) -> DataFrame:
     shared = df.groupBy(column).agg(F.count(F.lit(1)).alias("shared_by")).filter(
         (F.col("shared_by") > 1) & F.col(column).isNotNull()
     )
-    return df.join(shared, column, "inner").select(*df.columns, "shared_by")
+    return join_skewed(df, shared, [column], "inner").select(*df.columns, "shared_by")
 
 
 def feed(base: DataFrame, feeders: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.operators.cleaning import quoted
+from wardflow.operators.joins import join_skewed
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -75,9 +76,8 @@ def phone_findings(
 ) -> DataFrame:
     """Each row's phone with the four findings as 0/1 columns.
 
-    A phone is shared when it occurs on more than one row; counting happens per
-    phone before the counts are joined back, so one phone used by very many rows
-    is not gathered in one task.
+    A phone is shared when it occurs on more than one row. Uses are counted before
+    the shuffle, and the rows of a phone that very many rows share are split.
     """
     shared = (
         df.groupBy(phone).agg(F.count(F.lit(1)).alias("uses")).filter(quoted(phone).isNotNull() & (F.col("uses") > 1))
@@ -87,7 +87,7 @@ def phone_findings(
     def mark(condition):
         return F.coalesce(condition, F.lit(False)).cast("int")
 
-    return df.join(shared, phone, "left").select(
+    return join_skewed(df, shared, [phone]).select(
         *df.columns,
         F.length(text).alias("phone_length"),
         mark(quoted(phone) == quoted(emergency)).alias("equals_emergency_contact"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.expressions import Clock, as_timestamp, date_key, earliest, flag, latest
-from wardflow.operators.joins import current_members, flag_existing, members_as_of
+from wardflow.operators.joins import current_members, flag_existing, join_skewed, members_as_of
 from wardflow.operators.watermark import after_watermark
 
 Tables = Mapping[str, DataFrame]
@@ -61,7 +61,8 @@ def fact_visits(
 
     ``dims`` needs patient, hospital, doctor, department (type 2) and diagnosis (type 1).
     """
-    visits = silver["visit"].filter(after_watermark("visit_date", watermark, lookback_days=lookback_days))
+    batch = silver["visit"].filter(after_watermark("visit_date", watermark, lookback_days=lookback_days))
+    visits = batch
     for name in ("patient", "hospital", "doctor", "department"):
         visits = _member(visits, dims, name, "visit_date", mode)
     visits = visits.join(dims["diagnosis"].select("diagnosis_code", "diagnosis_key"), "diagnosis_code")
@@ -77,12 +78,12 @@ def fact_visits(
         .groupBy("patient_id", F.col("from_hospital_id").alias("hospital_id"))
         .agg(earliest("referral_reason", "referral_date", "referral_id").alias("referral_reason"))
     )
-    joined = (
-        visits.join(procedures, "visit_id", "left")
-        .join(ratings, ["patient_id", "hospital_id", "doctor_id"], "left")
-        .join(referrals, ["patient_id", "hospital_id"], "left")
-    )
-    joined = flag_existing(joined, silver["prescription"], {"visit_id": "visit_id"}, "prescription_flag")
+    joined = visits.join(procedures, "visit_id", "left")
+    joined = join_skewed(joined, ratings, ["patient_id", "hospital_id", "doctor_id"], count_on=batch)
+    joined = join_skewed(joined, referrals, ["patient_id", "hospital_id"], count_on=batch)
+    # One row per visit on this side, so no key is hot.
+    prescribed = silver["prescription"].select("visit_id").distinct().withColumn("prescribed", F.lit(1))
+    joined = joined.join(prescribed, "visit_id", "left")
     return joined.select(
         "visit_id",
         date_key("visit_date").alias("date_key"),
@@ -95,7 +96,7 @@ def fact_visits(
         F.col("total_amount").alias("total_cost"),
         "waiting_time",
         F.coalesce("procedure_count", F.lit(0)).alias("procedure_count"),
-        "prescription_flag",
+        F.coalesce("prescribed", F.lit(0)).alias("prescription_flag"),
         "feedback_rating",
         "visit_status",
         "referral_reason",
@@ -217,7 +218,8 @@ def fact_pharmacy(
 
     ``dims`` needs drug and hospital (type 2).
     """
-    moves = silver["drug_transaction"].filter(after_watermark("transaction_date", watermark))
+    batch = silver["drug_transaction"].filter(after_watermark("transaction_date", watermark))
+    moves = batch
     for name in ("drug", "hospital"):
         moves = _member(moves, dims, name, "transaction_date", mode)
     # Several stock rows may exist per hospital and drug: one total, first expiry.
@@ -232,14 +234,14 @@ def fact_pharmacy(
         .join(silver["prescription"].select("prescription_id", "visit_id"), "prescription_id")
         .join(silver["visit"].select("visit_id", "hospital_id", "visit_date"), "visit_id")
     )
-    joined = moves.join(silver["drug"].select("drug_id", "unit_amount"), "drug_id").join(
-        stock, ["hospital_id", "drug_id"], "left"
-    )
+    priced = moves.join(silver["drug"].select("drug_id", "unit_amount"), "drug_id")
+    joined = join_skewed(priced, stock, ["hospital_id", "drug_id"], count_on=batch)
     joined = flag_existing(
         joined,
         prescribed,
         {"drug_id": "drug_id", "hospital_id": "hospital_id", "transaction_date": "visit_date"},
         "prescribed",
+        count_on=batch,
     )
     kind, quantity = F.col("transaction_type"), F.col("quantity")
     return joined.select(
