@@ -142,3 +142,27 @@ def test_phone_findings(spark):
         ("4", 3, 0, 1, 1, 1),
         ("5", None, 0, 0, 0, 0),
     ]
+
+
+def test_adaptive_execution_splits_a_hot_key_of_a_dimension_join(spark, lake):
+    """The session settings cover joins whose two sides are plain shuffles."""
+    key = F.when(F.col("id") < 60000, 7).otherwise(F.col("id") % 1000)
+    facts = lake.overwrite("f", spark.range(90000).repartition(8).select("id", key.alias("k"), F.lit("x" * 50).alias("pad")))
+    dim = lake.overwrite("d", spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("member_key")))
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        joined = facts.join(dim, "k", "left")
+        assert len(joined.collect()) == 90000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

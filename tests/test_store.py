@@ -181,3 +181,23 @@ def test_inline_rows_and_spine(spark):
     assert listed(inline_rows(spark, [(None,)], "x string")) == [(None,)]
     assert date_spine(spark, "2024-01-01", "2026-12-31").count() == 1096
     assert date_spine(spark, "2024-01-01", "2024-01-01").count() == 1
+
+
+def test_arriving_files_are_merged_once(spark, lake):
+    from wardflow.streaming.incremental import arriving_csv, merge_available
+
+    folder, schema = f"{lake.root}/arriving", "k string, v int, month int"
+
+    def arrive(rows):
+        frame(spark, rows, schema).coalesce(1).write.mode("append").option("header", True).csv(folder)
+
+    def run():
+        stream = arriving_csv(spark, folder, schema)
+        merge_available(stream, lake, "s", ["k"], "month", f"{lake.root}/progress").awaitTermination()
+        return listed(lake.table("s"))
+
+    arrive([("a", 1, 1), ("a", 1, 1), ("b", 1, 1)])
+    assert run() == [("a", 1, 1), ("b", 1, 1)]
+    arrive([("b", 2, 1), ("c", 3, 2)])
+    want = [("a", 1, 1), ("b", 2, 1), ("c", 3, 2)]
+    assert run() == want and run() == want

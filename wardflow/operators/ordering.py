@@ -8,16 +8,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.operators.cleaning import quoted
-from wardflow.session import scratch_root
+from wardflow.session import fresh_path
 
 # monotonically_increasing_id: partition in the upper bits, row number in the lower 33.
 _ROW_BITS = 33
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder, so every reader sees the same rows."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write to the shared scratch folder and read back, so every reader sees the same rows.
+
+    Cuts the lineage like a checkpoint does, but keeps columns and sizes visible to
+    the planner of whatever reads it.
+    """
+    spark = df.sparkSession
+    folder = fresh_path(spark, "stage")
+    df.write.mode("errorifexists").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def _ranged(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:

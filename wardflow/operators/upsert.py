@@ -58,12 +58,14 @@ def upsert_partitions(
     source: DataFrame,
     keys: Sequence[str],
     partition: str,
+    keys_may_move: bool = True,
     **rules,
 ) -> DataFrame:
     """Upsert that rewrites only the partitions the batch touches.
 
     These are the partitions of the batch and those that already hold one of its
-    keys, found by reading the key and partition columns alone. Batch and merged
+    keys, found by reading the key and partition columns alone. Where a key can
+    never change its partition, ``keys_may_move=False`` saves that scan. Batch and merged
     rows are staged in the shared checkpoint folder before files are replaced, so
     a task that is run again never reads half-replaced data.
     """
@@ -72,10 +74,12 @@ def upsert_partitions(
     if not store.exists(name):
         return store.overwrite(name, batch, [partition])
     target = store.table(name)
-    holding = target.select(*keys, partition).join(batch.select(*keys), list(keys), "left_semi")
-    touched = [
-        r[0] for r in batch.select(partition).unionByName(holding.select(partition)).distinct().collect()
-    ]
+    places = batch.select(partition)
+    if keys_may_move:
+        holding = target.select(*keys, partition).join(batch.select(*keys), list(keys), "left_semi")
+        places = places.unionByName(holding.select(partition))
+    # One row per partition of the table, so a short list.
+    touched = [r[0] for r in places.distinct().collect()]
     if not touched:
         return target
     inside = F.col(partition).isin([v for v in touched if v is not None])

@@ -8,7 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.functions.expressions import Clock, as_date, as_column
+from wardflow.functions.expressions import Clock, as_column, as_date, latest
 
 SCHEMA = "table_name string, last_loaded_date date"
 
@@ -23,9 +23,12 @@ def seed_rows(spark: SparkSession, names: Iterable[str] = FACTS, date: dt.date =
 
 
 def wm_init(control: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Add the seeds whose table has no row yet, so a second run changes nothing."""
-    missing = seeds.join(control, "table_name", "left_anti").select(*control.columns)
-    return control.unionByName(missing)
+    """One row per table: the control row where there is one, else the seed.
+
+    A second run changes nothing.
+    """
+    both = control.withColumn("known", F.lit(True)).unionByName(seeds.withColumn("known", F.lit(False)))
+    return both.groupBy("table_name").agg(latest("last_loaded_date", "known", "last_loaded_date").alias("last_loaded_date"))
 
 
 def wm_read(control: DataFrame, name: str, default: dt.date = NO_WATERMARK) -> dt.date:
