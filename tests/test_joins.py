@@ -22,18 +22,17 @@ def skewed(spark):
 def test_split_join_gives_the_rows_of_a_plain_join(spark, skewed, how, keys):
     feeder = skewed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     plain = skewed.join(feeder, keys, how).select("id", "n")
-    split = j.join_skewed(skewed, feeder, keys, how, hot_rows=100, parts=8)
-    assert set(split.columns) == {*skewed.columns, "n"}
-    assert listed(split, "id", "n") == listed(plain)
-    counted = j.join_skewed(skewed, feeder, keys, how, hot_rows=100, parts=8, count_on=skewed.select(*keys))
-    assert listed(counted, "id", "n") == listed(plain)
+    for hot in (j.hot_keys(skewed, keys, 100), j.hot_keys(skewed.select("k"), ["k"], 100), j.NO_KEYS, None):
+        split = j.join_skewed(skewed, feeder, keys, how, hot=hot, parts=8)
+        assert set(split.columns) == {*skewed.columns, "n"}
+        assert listed(split, "id", "n") == listed(plain)
 
 
 def test_hot_rows_are_spread_over_parts(spark, skewed):
     assert listed(j.hot_keys(skewed, ["k"], 100)) == sorted([("hot",), (None,)], key=str)
-    assert j.hot_keys(skewed, ["k"], 2000) is None
+    assert j.hot_keys(skewed, ["k"], 2000) == j.NO_KEYS
     feeder = skewed.select("k").distinct().withColumn("n", F.lit(1))
-    plan = j.join_skewed(skewed, feeder, ["k"], hot_rows=100)._jdf.queryExecution().optimizedPlan().toString()
+    plan = j.join_skewed(skewed, feeder, ["k"], hot=j.hot_keys(skewed, ["k"], 100))._jdf.queryExecution().optimizedPlan().toString()
     assert "_part" in plan and "explode" in plan
 
 

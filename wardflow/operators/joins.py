@@ -47,8 +47,12 @@ HOT_ROWS = 1_000_000
 HOT_KEYS = 1_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The heaviest keys with at least ``hot_rows`` rows, or None.
+# What ``hot_keys`` gives when no key is hot.
+NO_KEYS: tuple = ()
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | tuple:
+    """The heaviest keys with at least ``hot_rows`` rows, or ``NO_KEYS``.
 
     Rows are counted before they are shuffled and at most ``HOT_KEYS`` rows come
     back, so one key that holds most of the table costs no more than any other.
@@ -56,7 +60,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= hot_rows)
     found = counted.orderBy(F.desc("_rows")).limit(HOT_KEYS).select(*keys)
     heavy = found.collect()
-    return df.sparkSession.createDataFrame(heavy, found.schema) if heavy else None
+    return df.sparkSession.createDataFrame(heavy, found.schema) if heavy else NO_KEYS
 
 
 def join_skewed(
@@ -64,25 +68,27 @@ def join_skewed(
     feeder: DataFrame,
     keys: Sequence[str],
     how: str = "left",
-    hot_rows: int = HOT_ROWS,
+    hot: DataFrame | tuple | None = None,
     parts: int = 64,
-    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join rows to a feeder with one row per key, splitting the rows of hot keys.
 
     Rows of a hot key are spread over ``parts`` tasks by a hash of the whole row,
-    and the feeder row of that key is repeated once per part. Without a hot key
-    this is a plain join. Which keys are split never changes the result, so they
-    may be counted on ``count_on``, a table that is cheaper to read than ``df``.
+    and the feeder rows of that key are repeated once per part. Without a hot key
+    this is a plain join. Which keys are split never changes the result, so
+    ``hot`` may come from a cheaper table and cover only some of the join keys;
+    left out, the keys are counted on ``df``.
     """
-    hot = hot_keys(df if count_on is None else count_on, keys, hot_rows)
     if hot is None:
+        hot = hot_keys(df, keys)
+    if not isinstance(hot, DataFrame):
         return df.join(feeder, list(keys), how)
-    names = [f"_hot_{i}" for i in range(len(keys))]
+    split_by = hot.columns
+    names = [f"_hot_{i}" for i in range(len(split_by))]
     marks = F.broadcast(hot.toDF(*names).withColumn("_hot", F.lit(True)))
 
     def marked(side: DataFrame) -> DataFrame:
-        on = reduce(and_, [side[k].eqNullSafe(marks[n]) for k, n in zip(keys, names)])
+        on = reduce(and_, [side[k].eqNullSafe(marks[n]) for k, n in zip(split_by, names)])
         return side.join(marks, on, "left").drop(*names)
 
     spread = F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(parts)).cast("int")
@@ -97,14 +103,14 @@ def flag_existing(
     other: DataFrame,
     columns: Mapping[str, str],
     target: str,
-    count_on: DataFrame | None = None,
+    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """1 where a row with the same key values exists in ``other``, else 0.
 
     The other side is reduced to distinct keys first, so rows never multiply.
     """
     keys = other.select(*[F.col(b).alias(a) for a, b in columns.items()]).distinct().withColumn("_hit", F.lit(1))
-    joined = join_skewed(df, keys, list(columns), count_on=count_on)
+    joined = join_skewed(df, keys, list(columns), hot=hot)
     flagged = joined.withColumn(target, F.when(F.col("_hit").isNotNull(), 1).otherwise(0))
     return flagged.select(*df.columns, target)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.expressions import Clock, as_timestamp, date_key, earliest, flag, latest
-from wardflow.operators.joins import current_members, flag_existing, join_skewed, members_as_of
+from wardflow.operators.joins import current_members, flag_existing, hot_keys, join_skewed, members_as_of
 from wardflow.operators.watermark import after_watermark
 
 Tables = Mapping[str, DataFrame]
@@ -79,8 +79,9 @@ def fact_visits(
         .agg(earliest("referral_reason", "referral_date", "referral_id").alias("referral_reason"))
     )
     joined = visits.join(procedures, "visit_id", "left")
-    joined = join_skewed(joined, ratings, ["patient_id", "hospital_id", "doctor_id"], count_on=batch)
-    joined = join_skewed(joined, referrals, ["patient_id", "hospital_id"], count_on=batch)
+    hot = hot_keys(batch, ["patient_id", "hospital_id"])
+    joined = join_skewed(joined, ratings, ["patient_id", "hospital_id", "doctor_id"], hot=hot)
+    joined = join_skewed(joined, referrals, ["patient_id", "hospital_id"], hot=hot)
     # One row per visit on this side, so no key is hot.
     prescribed = silver["prescription"].select("visit_id").distinct().withColumn("prescribed", F.lit(1))
     joined = joined.join(prescribed, "visit_id", "left")
@@ -235,13 +236,14 @@ def fact_pharmacy(
         .join(silver["visit"].select("visit_id", "hospital_id", "visit_date"), "visit_id")
     )
     priced = moves.join(silver["drug"].select("drug_id", "unit_amount"), "drug_id")
-    joined = join_skewed(priced, stock, ["hospital_id", "drug_id"], count_on=batch)
+    hot = hot_keys(batch, ["hospital_id", "drug_id"])
+    joined = join_skewed(priced, stock, ["hospital_id", "drug_id"], hot=hot)
     joined = flag_existing(
         joined,
         prescribed,
         {"drug_id": "drug_id", "hospital_id": "hospital_id", "transaction_date": "visit_date"},
         "prescribed",
-        count_on=batch,
+        hot=hot,
     )
     kind, quantity = F.col("transaction_type"), F.col("quantity")
     return joined.select(
