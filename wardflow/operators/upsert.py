@@ -59,17 +59,19 @@ def upsert_partitions(
     keys: Sequence[str],
     partition: str,
     keys_may_move: bool = True,
+    staged: bool = False,
     **rules,
 ) -> DataFrame:
     """Upsert that rewrites only the partitions the batch touches.
 
     These are the partitions of the batch and those that already hold one of its
     keys, found by reading the key and partition columns alone. Where a key can
-    never change its partition, ``keys_may_move=False`` saves that scan. Batch and merged
-    rows are staged in the shared checkpoint folder before files are replaced, so
-    a task that is run again never reads half-replaced data.
+    never change its partition, ``keys_may_move=False`` saves that scan. Batch (unless
+    it is ``staged`` already) and merged rows are staged in the shared checkpoint
+    folder before files are replaced, so a task that is run again never reads
+    half-replaced data.
     """
-    batch = stage(source)
+    batch = source if staged else stage(source)
     assert_unique(batch, keys)
     if not store.exists(name):
         return store.overwrite(name, batch, [partition])

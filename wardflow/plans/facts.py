@@ -49,6 +49,15 @@ def _member(df: DataFrame, dims: Tables, name: str, date_column: str, mode: str,
     return df.join(current_members(dims[name], key, surrogate, *extra), key)
 
 
+def only_of(details: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """Detail rows of the batch: the rest is dropped before anything is grouped.
+
+    A small batch is broadcast and filters the scan; a large one is shuffled by the
+    key that the details are grouped by next.
+    """
+    return details.join(batch.select(key), key, "left_semi")
+
+
 def fact_visits(
     silver: Tables,
     dims: Tables,
@@ -67,7 +76,12 @@ def fact_visits(
         visits = _member(visits, dims, name, "visit_date", mode)
     visits = visits.join(dims["diagnosis"].select("diagnosis_code", "diagnosis_key"), "diagnosis_code")
 
-    procedures = silver["visit_procedure"].groupBy("visit_id").agg(F.count(F.lit(1)).alias("procedure_count"))
+    loaded = batch.select("visit_id")
+    procedures = (
+        only_of(silver["visit_procedure"], loaded, "visit_id")
+        .groupBy("visit_id")
+        .agg(F.count(F.lit(1)).alias("procedure_count"))
+    )
     ratings = (
         silver["patient_feedback"]
         .groupBy("patient_id", "hospital_id", "doctor_id")
@@ -83,7 +97,8 @@ def fact_visits(
     joined = join_skewed(joined, ratings, ["patient_id", "hospital_id", "doctor_id"], hot=hot)
     joined = join_skewed(joined, referrals, ["patient_id", "hospital_id"], hot=hot)
     # One row per visit on this side, so no key is hot.
-    prescribed = silver["prescription"].select("visit_id").distinct().withColumn("prescribed", F.lit(1))
+    prescribed = only_of(silver["prescription"], loaded, "visit_id").select("visit_id").distinct()
+    prescribed = prescribed.withColumn("prescribed", F.lit(1))
     joined = joined.join(prescribed, "visit_id", "left")
     return joined.select(
         "visit_id",
@@ -138,13 +153,14 @@ def fact_claims(
 
     ``dims`` needs patient, hospital, drug (type 2) and claim_status (type 1).
     """
-    claims = claims_to_stage(silver["claim"], watermark, undecided(target) if target is not None else None)
+    batch = claims_to_stage(silver["claim"], watermark, undecided(target) if target is not None else None)
+    claims = batch
     for name in ("patient", "hospital"):
         claims = _member(claims, dims, name, "claim_date", mode)
 
     # The last review decides when a claim was reviewed more than once.
     decision = (
-        silver["claim_approval"]
+        only_of(silver["claim_approval"], batch, "claim_id")
         .groupBy("claim_id")
         .agg(
             latest(F.struct("approval_date", "rejection_reason", "reviewed_by"), "approval_date", "approval_id").alias(
@@ -158,7 +174,7 @@ def fact_claims(
     # One pass over the items: count, dearest known procedure, dearest known drug.
     rank = F.struct("item_amount", "claim_item_id")
     items = (
-        silver["claim_items"]
+        only_of(silver["claim_items"], batch, "claim_id")
         .join(known_procedures, "procedure_code", "left")
         .join(drugs, "drug_id", "left")
         .groupBy("claim_id")
@@ -229,11 +245,13 @@ def fact_pharmacy(
         .groupBy("hospital_id", "drug_id")
         .agg(F.sum("quantity_available").alias("stock"), F.min("expiration_date").alias("first_expiry"))
     )
+    # A movement is covered by a visit of the same day, so older visits cannot matter.
+    recent = silver["visit"].filter(after_watermark("visit_date", watermark))
     prescribed = (
         silver["prescription_items"]
         .select("prescription_id", "drug_id")
         .join(silver["prescription"].select("prescription_id", "visit_id"), "prescription_id")
-        .join(silver["visit"].select("visit_id", "hospital_id", "visit_date"), "visit_id")
+        .join(recent.select("visit_id", "hospital_id", "visit_date"), "visit_id")
     )
     priced = moves.join(silver["drug"].select("drug_id", "unit_amount"), "drug_id")
     hot = hot_keys(batch, ["hospital_id", "drug_id"])

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from wardflow.functions.expressions import Clock
 from wardflow.operators import watermark as wm
+from wardflow.operators.ordering import stage
 from wardflow.operators.upsert import upsert_partitions
 from wardflow.plans import dimensions as d
 from wardflow.plans import facts as f
@@ -112,9 +113,11 @@ def load_facts(store: TableStore, as_of: Clock, mode: str = "current", lookback_
         ),
     }
     for name, (build, key, date_column, rules) in loads.items():
-        staged = build(wm.wm_read(control, name)).withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
-        loaded = upsert_partitions(store, name, staged, [key], "month_key", **rules)
-        newest = wm.load_summary(loaded, name, date_column)
+        month = F.floor(F.col("date_key") / 100).cast("int")
+        # Staged once: the merge and the newest date are read from the same rows.
+        batch = stage(build(wm.wm_read(control, name)).withColumn("month_key", month))
+        upsert_partitions(store, name, batch, [key], "month_key", staged=True, **rules)
+        newest = wm.load_summary(batch, name, date_column)
         control = store.overwrite(CONTROL, wm.wm_advance(store.table(CONTROL), newest))
     return control
 
