@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import language, sentencepieces
+from wardflow.llm import language, licenses, pii, sentencepieces, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in pii.BASE]
+    base = pii.joined(pii.base_spans(F.col("spans")))
+    return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digest_pieces(sentencepieces.encode_decode(docs))
@@ -28,6 +35,42 @@ def digest_pieces(encoded: DataFrame) -> DataFrame:
     )
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_notices(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.transform("phrases", lambda s: s["label"])
+    starts = F.transform("phrases", lambda s: s["first_word"])
+    alike = F.transform("notices", lambda s: 1 - s["edits"] / s["size"])
+    labels = F.concat(base, F.transform("notices", lambda s: s["label"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("phrases").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(labels)), ",").alias("labels"),
+        F.when(F.size("phrases") > 0, 1.0).otherwise(F.coalesce(F.array_max(alike), F.lit(0.0))).alias("score"),
+        F.size("notices").cast("long").alias("n_notices"),
+    )
+
+
+#: The rules of the registered query.
+URL_RULES = (
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+)
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = urls.match_rules(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    # Without a rule a page is allowed, unless its URL names no host at all.
+    own = F.when(F.col("host") == "", "block").otherwise("allow")
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", language.held_out(F.col("doc_id"), 5, 0))
@@ -36,7 +79,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_licenses": op6_licenses,
+    "op9_urls": op9_urls,
     "op10_language": op10_language,
 }
 
