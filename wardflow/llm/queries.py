@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import language, licenses, pii, sentencepieces, urls
+from wardflow.llm import decontaminate, language, licenses, pii, sentencepieces, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,19 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contaminated(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 #: The rules of the registered query.
 URL_RULES = (
     ("net", "/", "block"),
@@ -82,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_licenses": op6_licenses,
+    "op7_decontaminate": op7_decontaminate,
     "op9_urls": op9_urls,
     "op10_language": op10_language,
 }
