@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, language, licenses, pii, sentencepieces, urls
+from wardflow.llm import decontaminate, language, licenses, pii, sentencepieces, sharding, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,23 @@ def digest_pieces(encoded: DataFrame) -> DataFrame:
     )
 
 
+SHARDS = 24
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dimensions = {
+        "source": F.crc32(F.col("source")),
+        "lang": F.crc32(F.col("lang")),
+        "n_chars": F.col("n_chars"),
+        "doc_id": F.col("doc_id"),
+    }
+    placed = sharding.shard(docs, "doc_id", dimensions, leaves=SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.find_notices(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.transform("phrases", lambda s: s["label"])
@@ -94,6 +111,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_sharding": op5_sharding,
     "op6_licenses": op6_licenses,
     "op7_decontaminate": op7_decontaminate,
     "op9_urls": op9_urls,
