@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, language, licenses, pii, sentencepieces, sharding, urls
+from wardflow.llm import decontaminate, language, licenses, neighbours, pii, quality, sentencepieces, sharding, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,15 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", language.held_out(F.col("doc_id"), 4, 2))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality.fit(docs, labels.filter(~language.held_out(F.col("doc_id"), 4, 2)))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return digest_pieces(sentencepieces.encode_decode(docs))
@@ -84,6 +93,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 #: The rules of the registered query.
 URL_RULES = (
     ("net", "/", "block"),
@@ -110,10 +123,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_sharding": op5_sharding,
     "op6_licenses": op6_licenses,
     "op7_decontaminate": op7_decontaminate,
+    "op8_neighbours": op8_neighbours,
     "op9_urls": op9_urls,
     "op10_language": op10_language,
 }
