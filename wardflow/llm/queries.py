@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, language, licenses, neighbours, pii, quality, sentencepieces, sharding, urls
+from wardflow.llm import decontaminate, language, licenses, neighbours, parity_join, pii, quality, sentencepieces, sharding, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
 
 
+def op2_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = parity_join.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", language.held_out(F.col("doc_id"), 4, 2))
@@ -123,6 +128,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_parity_join": op2_parity_join,
     "op3_quality": op3_quality,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_sharding": op5_sharding,
