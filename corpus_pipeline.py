@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import language, sentencepieces
+from wardflow.llm import decontaminate, language, parity_join, pii, sentencepieces
 from wardflow.llm.queries import digest_pieces
 from wardflow.session import fresh_path
 
@@ -20,6 +20,23 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).select("doc.*")
 
 
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates only the document with the smallest id stays."""
+    return parity_join.keep_one_of_each(docs)
+
+
+def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents in which a window of ten words of a benchmark item occurs."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return decontaminate.drop_contaminated(docs, items)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind in brackets; the character count follows the text."""
+    masked = pii.mask(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(masked.schema["n_chars"].dataType)).select(docs.columns)
+
+
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids and decoded text of what is left, as digests per document."""
     return digest_pieces(sentencepieces.encode_decode(docs.select("doc_id", "text")))
@@ -27,6 +44,9 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language", keep_known_languages),
+    ("near_duplicates", keep_one_of_each),
+    ("decontamination", drop_benchmark_passages),
+    ("personal_data", mask_personal_data),
     ("pieces", encode_pieces),
 ]
 
