@@ -126,6 +126,13 @@ OPERATOR_SQL: dict[str, str] = {
         SELECT visit_id, visit_date, visit_type,
                CAST(CASE WHEN visit_type <> 'Inpatient' THEN year(visit_date) END AS INTEGER) AS visit_year
         FROM raw_visit""",
+    "upsert_evolve": """
+        SELECT visit_id, visit_date, visit_type, CAST(year(visit_date) AS INTEGER) AS visit_year,
+               CASE WHEN visit_type <> 'Outpatient' THEN 'yes' END AS marked
+        FROM raw_visit""",
+    "scan_discover": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(1 AS BIGINT) AS sources, true AS all_have_bytes" for t in ("claim", "visit", "hospital")
+    ),
     "schema_conform": """
         SELECT claim_id, claim_date, CAST(CAST(approved_amount AS DECIMAL(30,8)) AS DECIMAL(12,2)) AS approved_amount,
                CAST(year(claim_date) AS INTEGER) AS claim_year, CAST(NULL AS VARCHAR) AS reviewed_by
@@ -156,6 +163,13 @@ OPERATOR_SQL: dict[str, str] = {
         FROM raw_visit""",
     "clean_to_date": """
         SELECT visit_id, CASE WHEN visit_type <> 'Follow-up' THEN visit_date END AS visit_date FROM raw_visit""",
+    "clean_fill_everything": """
+        SELECT trim(claim_id) AS claim_id, coalesce(trim(patient_id), 'Unknown') AS patient_id,
+               coalesce(trim(visit_id), 'Unknown') AS visit_id, coalesce(trim(hospital_id), 'Unknown') AS hospital_id,
+               coalesce(trim(claim_status), 'Unknown') AS claim_status,
+               CASE WHEN coalesce(claim_status, '') <> 'Rejected' THEN claim_date END AS claim_date,
+               coalesce(claim_amount, 0) AS claim_amount, coalesce(approved_amount, 0) AS approved_amount
+        FROM raw_claim""",
     "clean_blank_date": """
         SELECT visit_id, CASE WHEN visit_type = 'Outpatient' THEN visit_date END AS visit_date FROM raw_visit""",
     "clean_audit": "SELECT *, TIMESTAMP '2001-12-31 00:00:00' AS _created_at FROM raw_bed",
@@ -406,6 +420,18 @@ OPERATOR_SQL: dict[str, str] = {
             outliers("claim_items", "claim_item_id", "item_quantity"),
         ]
     ),
+    "profile_describe": " UNION ALL ".join(
+        f"SELECT '{name}' AS summary, {text} AS claim_status, "
+        + ", ".join(f"{r2(f'CAST({number.format(c)} AS DOUBLE)')} AS {c}" for c in ("claim_amount", "approved_amount"))
+        + " FROM raw_claim"
+        for name, text, number in (
+            ("count", "CAST(count(claim_status) AS VARCHAR)", "count({})"),
+            ("mean", "CAST(NULL AS VARCHAR)", "avg({})"),
+            ("stddev", "CAST(NULL AS VARCHAR)", "stddev_samp({})"),
+            ("min", "min(claim_status)", "min({})"),
+            ("max", "max(claim_status)", "max({})"),
+        )
+    ),
     "profile_nulls": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count FROM raw_patient" for c in PATIENT_PROFILE
     ),

@@ -115,15 +115,15 @@ TABLES |= {
         FROM (SELECT DISTINCT approval_status, rejection_reason, reviewed_by FROM silver_claim_approval)""",
     "stage_claims": f"""
         SELECT c.claim_id, c.visit_id, CAST(strftime(c.claim_date, '%Y%m%d') AS INTEGER) AS date_key,
-               p.patient_key, h.hospital_key, i.procedure_code, i.drug_key,
-               coalesce(s.claim_status_key, -1) AS claim_status_key, c.claim_amount, c.approved_amount,
+               coalesce(p.patient_key, -1) AS patient_key, coalesce(h.hospital_key, -1) AS hospital_key,
+               i.procedure_code, i.drug_key, coalesce(s.claim_status_key, -1) AS claim_status_key, c.claim_amount, c.approved_amount,
                {r2('c.claim_amount - coalesce(c.approved_amount, 0)')} AS approval_gap,
                CAST(a.approval_date - c.claim_date AS INTEGER) AS days_to_decision,
                coalesce(i.item_count, 0) AS item_count, a.reviewed_by, c.claim_date,
                c.claim_status AS status, a.approval_date AS decided_on
         FROM silver_claim c
-        JOIN dim_patient p ON p.patient_id = c.patient_id
-        JOIN dim_hospital h ON h.hospital_id = c.hospital_id
+        LEFT JOIN dim_patient p ON p.patient_id = c.patient_id
+        LEFT JOIN dim_hospital h ON h.hospital_id = c.hospital_id
         LEFT JOIN silver_claim_approval a ON a.claim_id = c.claim_id
         LEFT JOIN dim_claim_status s ON s.claim_status = c.claim_status
              AND s.rejection_reason IS NOT DISTINCT FROM a.rejection_reason
@@ -160,8 +160,13 @@ WAREHOUSE_SQL: dict[str, str] = {
         FROM raw_visit v JOIN hist_hospital h ON h.hospital_id = v.hospital_id AND h.scd_is_current = 1""",
     "join_asof_scd2": """
         SELECT v.visit_id, v.patient_id, v.visit_date, h.patient_key, h.scd_version
-        FROM raw_visit v LEFT JOIN hist_patient h ON h.patient_id = v.patient_id
-             AND v.visit_date BETWEEN h.scd_start_date AND coalesce(h.scd_end_date, DATE '9999-12-31')""",
+        FROM raw_visit v JOIN hist_patient h ON h.patient_id = v.patient_id
+        WHERE v.visit_date >= h.scd_start_date AND v.visit_date <= coalesce(h.scd_end_date, DATE '9999-12-31')
+        UNION ALL
+        SELECT v.visit_id, v.patient_id, v.visit_date, NULL, NULL FROM raw_visit v
+        WHERE v.visit_id NOT IN (
+          SELECT w.visit_id FROM raw_visit w JOIN hist_patient h ON h.patient_id = w.patient_id
+          WHERE w.visit_date >= h.scd_start_date AND w.visit_date <= coalesce(h.scd_end_date, DATE '9999-12-31'))""",
     "watermark_init": """
         SELECT 'fact_visits' AS table_name, max(visit_date) AS last_loaded_date FROM raw_visit
         UNION ALL VALUES ('fact_claims', DATE '2024-05-08'), ('fact_pharmacy', DATE '2024-05-08')""",
@@ -170,17 +175,18 @@ WAREHOUSE_SQL: dict[str, str] = {
         UNION ALL SELECT 'fact_claims', {WATERMARK}
         UNION ALL SELECT 'fact_pharmacy', greatest({WATERMARK}, max(transaction_date)) FROM raw_drug_transaction""",
     "fact_visits": f"""
-        SELECT v.visit_id, CAST(strftime(v.visit_date, '%Y%m%d') AS INTEGER) AS date_key, p.patient_key, h.hospital_key,
-               d.doctor_key, e.department_key, g.diagnosis_key, v.visit_type, v.total_amount AS total_cost,
+        SELECT v.visit_id, CAST(strftime(v.visit_date, '%Y%m%d') AS INTEGER) AS date_key, coalesce(p.patient_key, -1) AS patient_key,
+               coalesce(h.hospital_key, -1) AS hospital_key, coalesce(d.doctor_key, -1) AS doctor_key,
+               coalesce(e.department_key, -1) AS department_key, coalesce(g.diagnosis_key, -1) AS diagnosis_key, v.visit_type, v.total_amount AS total_cost,
                v.waiting_time, (SELECT count(*) FROM silver_visit_procedure x WHERE x.visit_id = v.visit_id) AS procedure_count,
                CASE WHEN v.visit_id IN (SELECT visit_id FROM silver_prescription) THEN 1 ELSE 0 END AS prescription_flag,
                {r2('f.rating')} AS feedback_rating, v.visit_status, r.referral_reason, v.visit_date
         FROM silver_visit v
-        JOIN dim_patient p ON p.patient_id = v.patient_id
-        JOIN dim_hospital h ON h.hospital_id = v.hospital_id
-        JOIN dim_doctor d ON d.doctor_id = v.doctor_id
-        JOIN dim_department e ON e.department_id = v.department_id
-        JOIN dim_diagnosis g ON g.diagnosis_code = v.diagnosis_code
+        LEFT JOIN dim_patient p ON p.patient_id = v.patient_id
+        LEFT JOIN dim_hospital h ON h.hospital_id = v.hospital_id
+        LEFT JOIN dim_doctor d ON d.doctor_id = v.doctor_id
+        LEFT JOIN dim_department e ON e.department_id = v.department_id
+        LEFT JOIN dim_diagnosis g ON g.diagnosis_code = v.diagnosis_code
         LEFT JOIN (SELECT patient_id, hospital_id, doctor_id, avg(rating) AS rating FROM silver_patient_feedback
                    GROUP BY ALL) f
           ON f.patient_id = v.patient_id AND f.hospital_id = v.hospital_id AND f.doctor_id = v.doctor_id
@@ -198,8 +204,8 @@ WAREHOUSE_SQL: dict[str, str] = {
         FROM stage_claims""",
     "fact_pharmacy": f"""
         SELECT t.transaction_id, t.transaction_date, CAST(strftime(t.transaction_date, '%Y%m%d') AS INTEGER) AS date_key,
-               d.drug_key, h.hospital_key, t.transaction_type, t.quantity, d.unit_amount,
-               {r2('t.quantity * d.unit_amount')} AS total_value,
+               coalesce(d.drug_key, -1) AS drug_key, coalesce(h.hospital_key, -1) AS hospital_key, t.transaction_type, t.quantity, u.unit_amount,
+               {r2('t.quantity * u.unit_amount')} AS total_value,
                CASE WHEN t.transaction_type IN ('Dispensing', 'Wastage', 'Return') AND s.stock - t.quantity <= 0
                     THEN 1 ELSE 0 END AS stockout_flag,
                CASE WHEN s.expiry - t.transaction_date <= 60 THEN 1 ELSE 0 END AS near_expiry_flag,
@@ -211,10 +217,13 @@ WAREHOUSE_SQL: dict[str, str] = {
                     THEN 1 ELSE 0 END AS no_prescription_flag,
                t.performed_by
         FROM silver_drug_transaction t
-        JOIN dim_drug d ON d.drug_id = t.drug_id
-        JOIN dim_hospital h ON h.hospital_id = t.hospital_id
+        LEFT JOIN dim_drug d ON d.drug_id = t.drug_id
+        LEFT JOIN dim_hospital h ON h.hospital_id = t.hospital_id
+        LEFT JOIN silver_drug u ON u.drug_id = t.drug_id
         LEFT JOIN (SELECT hospital_id, drug_id, sum(quantity_available) AS stock, min(expiration_date) AS expiry
                    FROM silver_drug_inventory GROUP BY ALL) s
           ON s.hospital_id = t.hospital_id AND s.drug_id = t.drug_id
         WHERE t.transaction_date > {WATERMARK}""",
 }
+# The second load leaves what one load of complete dimensions gives.
+WAREHOUSE_SQL["fact_visits_two_loads"] = WAREHOUSE_SQL["fact_visits"]

@@ -13,12 +13,16 @@ from wardflow.sinks.store import TableStore  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[4]",
         shuffle_partitions=4,
-        extra={"spark.driver.memory": "3g", "spark.sql.shuffle.partitions": "4"},
+        extra={
+            "spark.driver.memory": "3g",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

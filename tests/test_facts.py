@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import listed
 from wardflow.operators.upsert import upsert
@@ -109,9 +110,29 @@ def test_dearest_known_procedure_and_current_drug(claims, dims):
     assert listed(got, "claim_id", "procedure_code", "drug_key", "item_count") == [("1", "c2", 1, 6), ("2", None, None, 0)]
 
 
-def test_claims_of_unknown_patients_are_left_out(claims, dims):
-    silver = claims([claim("1", "Approved", NEW, patient="nobody"), claim("2", "Approved", NEW)])
-    assert listed(facts.fact_claims(silver, dims, WM, AS_OF), "claim_id") == [("2",)]
+def test_claims_of_unknown_patients_wait_for_them(claims, dims, make):
+    silver = claims([claim("1", "Approved", NEW, patient="late"), claim("2", "Approved", NEW)])
+    first = facts.fact_claims(silver, dims, WM, AS_OF)
+    assert listed(first, "claim_id", "patient_key") == [("1", -1), ("2", 1)]
+    member = make([("late", 9, 1, D(2000, 1, 1), None)], dims["patient"].schema)
+    later = {**dims, "patient": dims["patient"].union(member)}
+    # Past the watermark by now, tried again; nothing changes while the patient is missing.
+    same = upsert(first, facts.fact_claims(silver, dims, AS_OF, AS_OF, first), ["claim_id"], **facts.claim_update_rule())
+    assert listed(same, "claim_id", "patient_key") == [("1", -1), ("2", 1)]
+    batch = facts.fact_claims(silver, later, AS_OF, AS_OF, first)
+    merged = upsert(first, batch, ["claim_id"], **facts.claim_update_rule())
+    assert listed(merged, "claim_id", "patient_key") == [("1", 9), ("2", 1)]
+
+
+def test_a_doctor_who_arrives_on_day_two(visits, dims, make):
+    visits["visit"] = visits["visit"].withColumn("doctor_id", F.when(F.col("visit_id") == "v4", "d2").otherwise("d1"))
+    first = facts.fact_visits(visits, dims, WM, AS_OF)
+    assert listed(first, "visit_id", "doctor_key") == [("v2", 1), ("v4", -1)]
+    member = make([("d2", 5, 1, D(2000, 1, 1), None)], dims["doctor"].schema)
+    later = {**dims, "doctor": dims["doctor"].union(member)}
+    batch = facts.fact_visits(visits, later, "2024-06-30", AS_OF, target=first)
+    assert listed(upsert(first, batch, ["visit_id"]), "visit_id", "doctor_key") == [("v2", 1), ("v4", 5)]
+    assert facts.fact_visits(visits, dims, "2024-06-30", AS_OF, target=first).count() == 0
 
 
 @pytest.fixture
@@ -164,4 +185,6 @@ def test_pharmacy_flags(make, dims):
         ("t4", 100.0, 1, 1, 0),
         ("t5", 2.5, 0, 1, 0),
         ("t6", 1.0, 0, 0, 1),
+        # Its drug is not known yet.
+        ("t7", None, 0, 0, 1),
     ]

@@ -19,21 +19,19 @@ def skewed(spark):
 
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("keys", [["k"], ["k", "m"]])
-def test_split_join_gives_the_rows_of_a_plain_join(spark, skewed, how, keys):
+def test_feeder_join_gives_the_rows_of_a_plain_join(spark, skewed, how, keys):
     feeder = skewed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     plain = skewed.join(feeder, keys, how).select("id", "n")
-    for hot in (j.hot_keys(skewed, keys, 100), j.hot_keys(skewed.select("k"), ["k"], 100), j.NO_KEYS, None):
-        split = j.join_skewed(skewed, feeder, keys, how, hot=hot, parts=8)
-        assert set(split.columns) == {*skewed.columns, "n"}
-        assert listed(split, "id", "n") == listed(plain)
+    assert listed(j.join_feeder(skewed, feeder, keys, how), "id", "n") == listed(plain)
 
 
-def test_hot_rows_are_spread_over_parts(spark, skewed):
-    assert listed(j.hot_keys(skewed, ["k"], 100)) == sorted([("hot",), (None,)], key=str)
-    assert j.hot_keys(skewed, ["k"], 2000) == j.NO_KEYS
-    feeder = skewed.select("k").distinct().withColumn("n", F.lit(1))
-    plan = j.join_skewed(skewed, feeder, ["k"], hot=j.hot_keys(skewed, ["k"], 100))._jdf.queryExecution().optimizedPlan().toString()
-    assert "_part" in plan and "explode" in plan
+@pytest.mark.parametrize("hot", [1, 3000])
+def test_hot_keys_of_an_aggregated_feeder_are_split(spark, lake, small_partitions, hot):
+    """One hot key, or thousands that meet in a few tasks: the same plan, split by measured sizes."""
+    key = F.when(F.col("id") < 60000, F.col("id") % hot).otherwise(F.col("id"))
+    rows = lake.overwrite("f", spark.range(90000).repartition(8).select("id", key.alias("k"), F.lit("x" * 50).alias("pad")))
+    joined = j.join_feeder(rows, rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")), ["k"])
+    assert sum(r.n for r in joined.select("n").collect()) == 30000 + 60000 * 60000 // hot
 
 
 def test_existence_flag_never_multiplies_rows(spark):
@@ -143,11 +141,8 @@ def test_phone_findings(spark):
     ]
 
 
-def test_adaptive_execution_splits_a_hot_key_of_a_dimension_join(spark, lake):
-    """The session settings cover joins whose two sides are plain shuffles."""
-    key = F.when(F.col("id") < 60000, 7).otherwise(F.col("id") % 1000)
-    facts = lake.overwrite("f", spark.range(90000).repartition(8).select("id", key.alias("k"), F.lit("x" * 50).alias("pad")))
-    dim = lake.overwrite("d", spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("member_key")))
+@pytest.fixture
+def small_partitions(spark):
     low = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -156,12 +151,18 @@ def test_adaptive_execution_splits_a_hot_key_of_a_dimension_join(spark, lake):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
     }
     before = {k: spark.conf.get(k, None) for k in low}
-    try:
-        for k, v in low.items():
-            spark.conf.set(k, v)
-        joined = facts.join(dim, "k", "left")
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_adaptive_execution_splits_a_hot_key(spark, lake, small_partitions):
+    """The session settings cover joins whose two sides are plain shuffles; a staged feeder is one."""
+    key = F.when(F.col("id") < 60000, 7).otherwise(F.col("id") % 1000)
+    facts = lake.overwrite("f", spark.range(90000).repartition(8).select("id", key.alias("k"), F.lit("x" * 50).alias("pad")))
+    dim = lake.overwrite("d", spark.range(1000).select(F.col("id").alias("k"), F.col("id").alias("member_key")))
+    for joined in (facts.join(dim, "k", "left"), j.join_feeder(facts, facts.groupBy("k").count(), ["k"])):
         assert len(joined.collect()) == 90000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

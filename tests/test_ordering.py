@@ -60,7 +60,10 @@ def test_one_pass_ranks_several_tables_and_hot_values(spark):
 
 
 def test_outlier_fence_reaches_the_scan(spark, lake):
-    table = lake.overwrite("n", spark.range(100).select(F.col("id").cast("double").alias("x")))
-    far = quality.outliers(table, "x", (25.0, 30.0))
-    assert {r.x for r in far.collect()} == {float(v) for v in range(100) if v < 17.5 or v > 37.5}
-    assert "PushedFilters: [Or(LessThan(x,17.5),GreaterThan(x,37.5))]" in far._jdf.queryExecution().executedPlan().toString()
+    numbers = spark.range(100).select(F.col("id").alias("k"), F.col("id").cast("double").alias("x"), (-F.col("id")).cast("double").alias("y"))
+    table = lake.overwrite("n", numbers)
+    far = quality.outlier_values(table, "k", {"x": (25.0, 30.0), "y": (-90.0, -10.0)})
+    assert {(r.column_name, r.value) for r in far.collect()} == {("x", float(v)) for v in range(100) if v < 17.5 or v > 37.5}
+    plan = far._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(x,17.5)" in plan and plan.count("FileScan") == 1
+    assert quality.outlier_values(table, "k", {}).count() == 0

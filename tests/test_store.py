@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,9 @@ from pyspark.sql import types as T
 from tests.conftest import listed
 from wardflow.operators.upsert import assert_unique, snapshot_diff, upsert, upsert_partitions
 from wardflow.operators import watermark as wm
-from wardflow.plans import bronze
+from wardflow.operators.ordering import stage
+from wardflow.plans import bronze, warehouse
+from wardflow.session import drop_old_stages
 from wardflow.sinks.store import conform, counted, validate_load
 from wardflow.sources.files import discover_csv, read_csv, with_source_metadata
 from wardflow.sources.jdbc import Split, jdbc_options
@@ -42,6 +46,59 @@ def test_partition_replacement_keeps_the_other_days(spark, lake):
     assert listed(lake.table("t")) == [(1, "d1"), (3, "d3"), (9, "d2")]
 
 
+def test_partition_replacement_from_threads_in_a_static_session(spark, lake):
+    """Loads side by side, whatever the session's mode: all other days stay, the settings too."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "static")
+    try:
+        rows = spark.range(400).select("id", (F.col("id") % 4).cast("int").alias("day"))
+        names = [f"t{i}" for i in range(6)]
+        for name in names:
+            lake.replace_partitions(name, rows, ["day"])
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(lambda n: lake.replace_partitions(n, rows.filter("day = 2").limit(7), ["day"]), names))
+        assert {lake.table(n).count() for n in names} == {307}
+        assert spark.conf.get(setting) == "static"
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_writers_refuse_or_add_unknown_columns(spark, lake):
+    wide = frame(spark, [("b", 2, "x")], "k string, v int, w string")
+    for write in (lake.append, lambda n, df, **how: lake.replace_partitions(n, df, ["v"], **how)):
+        name = f"t{id(write)}"
+        lake.overwrite(name, frame(spark, [("a", 1)]), ["v"])
+        with pytest.raises(ValueError, match="no columns"):
+            write(name, wide)
+        write(name, wide, evolve=True)
+        assert listed(lake.table(name), "k", "v", "w") == [("a", 1, None), ("b", 2, "x")]
+
+
+def test_table_can_be_read_by_name_while_it_is_published(spark, lake):
+    lake.overwrite("t", frame(spark, [("a", 1)]))
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.append(spark.catalog.tableExists(lake.full_name("t")) and len(spark.table(lake.full_name("t")).columns))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for i in range(5):
+        lake.overwrite("t", frame(spark, [("a", i)]).withColumns({f"c{j}": F.lit(j) for j in range(i)}))
+    stop.set()
+    reader.join()
+    assert set(seen) <= {2, 3, 4, 5, 6} and len(seen) > 5
+    assert lake.table("t").columns[:2] == ["k", "v"] and listed(lake.table("t"), "v", "c3") == [(4, 3)]
+    assert lake.drop_old_snapshots("t") == 5 and lake.table("t").count() == 1
+
+
+def test_old_stages_are_removed_by_age(spark):
+    rows = stage(spark.range(3))
+    assert drop_old_stages(spark, 3600) == 0 and rows.count() == 3
+
+
 def test_conform_casts_orders_and_fills(spark):
     want = T.StructType.fromDDL("v bigint, missing date, k string")
     got = conform(frame(spark, [("a", 1)]), want)
@@ -86,6 +143,14 @@ def test_partitioned_upsert_touches_only_affected_partitions(spark, lake):
     assert listed(lake.table("f")) == before
 
 
+def test_merge_over_thousands_of_partitions_with_a_new_column(spark, lake):
+    rows = spark.range(2400).select(F.col("id").alias("k"), F.lit("old").alias("v"), (F.col("id") % 1200).cast("int").alias("p"))
+    lake.overwrite("t", rows.repartition(4, "p"), ["p"])
+    batch = rows.filter("k % 2 = 0 AND k < 2400").withColumns({"v": F.lit("new"), "w": F.lit(1)})
+    merged = upsert_partitions(lake, "t", batch.repartition(4, "p"), ["k"], "p")
+    assert listed(merged.groupBy("v", "w").count()) == sorted([("old", None, 1200), ("new", 1, 1200)], key=str)
+
+
 def test_snapshot_diff_labels_rows(spark):
     before = frame(spark, [("same", 1), ("gone", 2), ("changed", 3), ("null", None)])
     after = frame(spark, [("same", 1), ("new", 4), ("changed", 5), ("null", None)])
@@ -146,6 +211,36 @@ def test_bronze_load_measures_and_records_failures(spark, lake):
     assert [r.pipeline_run_id for r in history] == ["r2", "r2", "r1", "r1"]
 
 
+def test_bronze_spellings_subfolders_new_columns_and_any_error(spark, lake, monkeypatch):
+    folder = f"{lake.root}/in"
+    frame(spark, [("a", 1)]).coalesce(1).write.option("header", True).csv(f"{folder}/Claim.csv")
+    frame(spark, [("b", 2)]).coalesce(1).write.option("header", True).csv(f"{folder}/sub/claim.csv")
+    frame(spark, [("c", 3)]).write.option("header", True).csv(f"{folder}/other.csv")
+    got = {r.table_name.split(".")[-1]: r for r in bronze.ingest_folder(lake, folder, "r1", "2024-01-01").collect()}
+    assert (got["claim"].status, got["claim"].row_count, got["other"].row_count) == ("SUCCESS", 2, 1)
+    assert listed(lake.table("claim"), "k", "v") == [("a", 1), ("b", 2)]
+
+    wide = f"{lake.root}/in2"
+    frame(spark, [("d", 4, "x")], "k string, v int, w string").write.option("header", True).csv(f"{wide}/claim.csv")
+    bronze.ingest_folder(lake, wide, "r2", "2024-01-02")
+    assert listed(lake.table("claim"), "k", "w") == [("a", None), ("b", None), ("d", "x")]
+
+    load = bronze.load_table
+    broken = lambda store, name, *rest: 1 // 0 if name == "claim" else load(store, name, *rest)
+    monkeypatch.setattr(bronze, "load_table", broken)
+    got = {r.table_name.split(".")[-1]: r.status for r in bronze.ingest_folder(lake, folder, "r3", "2024-01-03").collect()}
+    assert got == {"claim": "FAILED", "other": "SUCCESS"}
+
+
+def test_steps_go_on_after_any_error(spark, lake):
+    steps = {"missing": lambda: {}["visit_silver"], "broken": lambda: 1 // 0, "fine": lambda: None}
+    assert listed(warehouse.run_steps(lake, steps, "2024-01-01"), "step", "status") == [
+        ("broken", "failed"), ("fine", "success"), ("missing", "failed"),
+    ]
+    assert lake.table("run_audit").count() == 3
+    assert {r.status for r in warehouse.build_marts(lake, "2024-01-01").collect()} == {"failed"}
+
+
 def test_discovery_takes_files_and_folders(spark, lake):
     folder = f"{lake.root}/in"
     frame(spark, [("a", 1)]).coalesce(1).write.csv(f"{folder}/My Table.csv")

@@ -3,7 +3,7 @@
 No table is forced to broadcast: Spark compares measured sizes with
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles. Adaptive execution
 splits a hot key of a shuffled join only where both sides are plain shuffles; a side
-that was aggregated by the join key is not, and ``join_skewed`` covers that case.
+that was aggregated by the join key is not, so ``join_feeder`` writes it first.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.operators.ordering import stage
 from wardflow.operators.scd import current_rows
 
 
@@ -41,61 +42,14 @@ def members_as_of(
     return joined.drop("_version_of", "scd_start_date", "scd_end_date")
 
 
-# A key with fewer rows than this is left to one task.
-HOT_ROWS = 1_000_000
-# At most this many keys are split, so the list of them is always small enough to broadcast.
-HOT_KEYS = 1_000
+def join_feeder(df: DataFrame, feeder: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join rows to a feeder that was aggregated to one row per key.
 
-
-# What ``hot_keys`` gives when no key is hot.
-NO_KEYS: tuple = ()
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | tuple:
-    """The heaviest keys with at least ``hot_rows`` rows, or ``NO_KEYS``.
-
-    Rows are counted before they are shuffled and at most ``HOT_KEYS`` rows come
-    back, so one key that holds most of the table costs no more than any other.
-    """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") >= hot_rows)
-    found = counted.orderBy(F.desc("_rows")).limit(HOT_KEYS).select(*keys)
-    heavy = found.collect()
-    return df.sparkSession.createDataFrame(heavy, found.schema) if heavy else NO_KEYS
-
-
-def join_skewed(
-    df: DataFrame,
-    feeder: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    hot: DataFrame | tuple | None = None,
-    parts: int = 64,
-) -> DataFrame:
-    """Join rows to a feeder with one row per key, splitting the rows of hot keys.
-
-    Rows of a hot key are spread over ``parts`` tasks by a hash of the whole row,
-    and the feeder rows of that key are repeated once per part. Without a hot key
-    this is a plain join. Which keys are split never changes the result, so
-    ``hot`` may come from a cheaper table and cover only some of the join keys;
-    left out, the keys are counted on ``df``.
+    The feeder is written first, whatever its size: read back it is a plain scan, so
+    both sides of the join are plain shuffles and adaptive execution splits the rows of
+    any hot key, NULL included, by the partition sizes it measures.
     """
-    if hot is None:
-        hot = hot_keys(df, keys)
-    if not isinstance(hot, DataFrame):
-        return df.join(feeder, list(keys), how)
-    split_by = hot.columns
-    names = [f"_hot_{i}" for i in range(len(split_by))]
-    marks = F.broadcast(hot.toDF(*names).withColumn("_hot", F.lit(True)))
-
-    def marked(side: DataFrame) -> DataFrame:
-        on = reduce(and_, [side[k].eqNullSafe(marks[n]) for k, n in zip(split_by, names)])
-        return side.join(marks, on, "left").drop(*names)
-
-    spread = F.pmod(F.xxhash64(*[df[c] for c in df.columns]), F.lit(parts)).cast("int")
-    every = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0))))
-    left = marked(df).withColumn("_part", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot")
-    right = marked(feeder).withColumn("_part", every).drop("_hot")
-    return left.join(right, [*keys, "_part"], how).drop("_part")
+    return df.join(stage(feeder), list(keys), how)
 
 
 def flag_existing(
@@ -103,14 +57,13 @@ def flag_existing(
     other: DataFrame,
     columns: Mapping[str, str],
     target: str,
-    hot: DataFrame | tuple | None = None,
 ) -> DataFrame:
     """1 where a row with the same key values exists in ``other``, else 0.
 
     The other side is reduced to distinct keys first, so rows never multiply.
     """
     keys = other.select(*[F.col(b).alias(a) for a, b in columns.items()]).distinct().withColumn("_hit", F.lit(1))
-    joined = join_skewed(df, keys, list(columns), hot=hot)
+    joined = join_feeder(df, keys, list(columns))
     flagged = joined.withColumn(target, F.when(F.col("_hit").isNotNull(), 1).otherwise(0))
     return flagged.select(*df.columns, target)
 
@@ -120,7 +73,7 @@ def rows_with_shared_value(df: DataFrame, column: str) -> DataFrame:
     shared = df.groupBy(column).agg(F.count(F.lit(1)).alias("shared_by")).filter(
         (F.col("shared_by") > 1) & F.col(column).isNotNull()
     )
-    return join_skewed(df, shared, [column], "inner").select(*df.columns, "shared_by")
+    return join_feeder(df, shared, [column], "inner").select(*df.columns, "shared_by")
 
 
 def feed(base: DataFrame, feeders: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.operators.cleaning import quoted
-from wardflow.operators.joins import join_skewed
+from wardflow.operators.joins import join_feeder
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -87,7 +87,7 @@ def phone_findings(
     def mark(condition):
         return F.coalesce(condition, F.lit(False)).cast("int")
 
-    return join_skewed(df, shared, [phone]).select(
+    return join_feeder(df, shared, [phone]).select(
         *df.columns,
         F.length(text).alias("phone_length"),
         mark(quoted(phone) == quoted(emergency)).alias("equals_emergency_contact"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions.expressions import Clock, as_date
 from wardflow.operators.cleaning import quoted
+from wardflow.operators.joins import join_feeder
 from wardflow.operators.ordering import exact_quantiles, number_series
 
 # Shapes of a valid e-mail and phone.
@@ -118,15 +119,48 @@ def iqr_fences(watched: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> dict[t
     return {n: (value[".".join(n), 0.25], value[".".join(n), 0.75]) for n in names if (".".join(n), 0.25) in value}
 
 
-def outliers(df: DataFrame, column: str, quartiles: tuple[float, float], factor: float = 1.5) -> DataFrame:
-    """Rows beyond ``factor`` times the interquartile range.
-
-    The fences are literals, so the comparison is pushed to the scan.
-    """
-    q1, q3 = quartiles
-    reach = factor * (q3 - q1)
-    beyond = (quoted(column) < F.lit(q1 - reach)) | (quoted(column) > F.lit(q3 + reach))
-    return df.filter(beyond).withColumns({"q1": F.lit(q1), "q3": F.lit(q3)})
+def outlier_values(df: DataFrame, key: str, quartiles: Mapping[str, tuple[float, float]], factor: float = 1.5) -> DataFrame:
+    """``(row_id, column_name, value, q1, q3)`` beyond ``factor`` interquartile ranges, all columns in one pass."""
+    none = df.select(F.col(key).alias("row_id")).limit(0)
+    schema = "array<struct<column_name:string,value:double,q1:double,q3:double>>"
+    tests, fences = [], []
+    for column, (q1, q3) in quartiles.items():
+        value, reach = quoted(column).cast("double"), factor * (q3 - q1)
+        fences.append((quoted(column) < F.lit(q1 - reach)) | (quoted(column) > F.lit(q3 + reach)))
+        told = [F.lit(column).alias("column_name"), value.alias("value"), F.lit(q1).alias("q1"), F.lit(q3).alias("q3")]
+        tests.append(F.when(fences[-1], F.struct(*told)))
+    if not tests:
+        return none.select("row_id", F.inline(F.array().cast(schema)))
+    found = F.array_compact(F.array(*tests).cast(schema))
+    # The fences are literals, so the comparison is pushed to the scan.
+    far = df.filter(reduce(or_, fences))
+    return far.select(F.col(key).alias("row_id"), F.inline(found))
+
+
+def reference_findings(
+    df: DataFrame, table: str, references: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """``(table_name, column_name, finding, row_count)``: NULL and dangling references, one aggregate for all columns."""
+    child = df.select(*[quoted(c).alias(c) for c in references])
+    for i, (column, (parent, parent_key)) in enumerate(references.items()):
+        known = parent.select(quoted(parent_key).alias(column)).distinct().withColumn(f"_known_{i}", F.lit(True))
+        child = join_feeder(child, known, [column])
+    measures = []
+    for i, column in enumerate(references):
+        missing = quoted(column).isNull()
+        measures.append(F.count_if(missing).alias(f"null_{i}"))
+        measures.append(F.count_if(~missing & F.col(f"_known_{i}").isNull()).alias(f"orphan_{i}"))
+    told = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(column).alias("column_name"),
+            F.lit(kind).alias("finding"),
+            F.col(f"{kind}_{i}").alias("row_count"),
+        )
+        for i, column in enumerate(references)
+        for kind in ("null", "orphan")
+    ]
+    return child.agg(*measures).select(F.inline(F.array(*told)))
 
 
 def invalid_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

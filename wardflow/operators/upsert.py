@@ -34,7 +34,10 @@ def upsert(
     ``update_when`` may use ``tgt.<column>`` and ``src.<column>``; without it every
     known key is updated. ``update_columns`` limits what an update changes. Keys
     must be unique on both sides, which also keeps the full join free of hot keys.
+    Columns that only the source has are added, NULL on rows it does not touch.
     """
+    more = {f.name: F.lit(None).cast(f.dataType) for f in source.schema.fields if f.name not in target.columns}
+    target = target.withColumns(more) if more else target
     new = conform(source, target.schema)
     left = target.withColumn("_known", F.lit(True)).alias("tgt")
     right = new.withColumn("_arrived", F.lit(True)).alias("src")
@@ -66,33 +69,31 @@ def upsert_partitions(
 
     These are the partitions of the batch and those that already hold one of its
     keys, found by reading the key and partition columns alone. Where a key can
-    never change its partition, ``keys_may_move=False`` saves that scan. Batch (unless
-    it is ``staged`` already) and merged rows are staged in the shared checkpoint
-    folder before files are replaced, so a task that is run again never reads
-    half-replaced data.
+    never change its partition, ``keys_may_move=False`` saves that scan. However many
+    partitions there are, their list stays a table and prunes the target by a semi join.
+    A new column of the batch is added to the table. Batch (unless it is ``staged``
+    already) and merged rows are staged in the shared checkpoint folder before files are
+    replaced, so a task that is run again never reads half-replaced data.
     """
     batch = source if staged else stage(source)
     assert_unique(batch, keys)
     if not store.exists(name):
         return store.overwrite(name, batch, [partition])
+    store.add_columns(name, batch)
     target = store.table(name)
-    places = batch.select(partition)
+    places = batch.select(F.col(partition).alias("_touched"))
     if keys_may_move:
         holding = target.select(*keys, partition).join(batch.select(*keys), list(keys), "left_semi")
-        places = places.unionByName(holding.select(partition))
-    # One row per partition of the table, so a short list.
-    touched = [r[0] for r in places.distinct().collect()]
-    if not touched:
+        places = places.unionByName(holding.select(F.col(partition).alias("_touched")))
+    touched = stage(places.distinct())
+    if touched.isEmpty():
         return target
-    inside = F.col(partition).isin([v for v in touched if v is not None])
-    if None in touched:
-        inside = inside | F.col(partition).isNull()
-    merged = stage(upsert(target.filter(inside), batch, keys, **rules))
-    left = {r[0] for r in merged.select(partition).distinct().collect()}
-    if left >= set(touched):
+    same = F.col(partition).eqNullSafe(F.col("_touched"))
+    merged = stage(upsert(target.join(touched, same, "left_semi"), batch, keys, **rules))
+    if touched.join(merged.select(partition).distinct(), same, "left_anti").isEmpty():
         return store.replace_partitions(name, merged, [partition])
     # A partition lost its last row to another one: only a new snapshot can drop it.
-    rest = target.filter(~F.coalesce(inside, F.lit(False)))
+    rest = target.join(touched, same, "left_anti")
     return store.overwrite(name, rest.unionByName(merged), [partition])
 
 

@@ -6,7 +6,6 @@ import time
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,17 +26,18 @@ def null_percentage(nulls: int, rows: int, columns: int) -> float:
 
 
 def load_table(
-    store: TableStore, name: str, path: str, run_id: str, loaded_at: Clock, schema: str | None = None
+    store: TableStore, name: str, path: str | list[str], run_id: str, loaded_at: Clock, schema: str | None = None
 ) -> dict:
     """Load one CSV source into its table and measure it while it is written.
 
+    A column that the table does not have yet is added to it.
     Row and NULL counts come from the write itself, so a load is one write plus
     the read-back count.
     """
     started = time.monotonic()
     raw = read_csv(store.spark, path, schema)
     watched, watch = counted(with_ingestion_audit(raw, run_id, loaded_at), raw.columns)
-    table = store.replace_partitions(name, watched, ["ingestion_date"])
+    table = store.replace_partitions(name, watched, ["ingestion_date"], evolve=True)
     seen = watch.get
     rows = seen["rows"]
     nulls = sum(seen[f"nulls_{i}"] for i in range(len(raw.columns)))
@@ -63,13 +63,14 @@ def ingest_folder(
 ) -> DataFrame:
     """Load every CSV source of a folder; returns this run's metrics and appends them to the history.
 
-    Sources are independent, so a few load side by side. A source that fails is
+    Tables are independent, so a few load side by side; sources whose names differ only
+    in case or folder are one table and load together. Whatever makes a table fail is
     recorded with zeros and its error, and the others still load.
     """
     sources = (
         discover_csv(store.spark, folder)
-        .groupBy("table_name", "source_name")
-        .agg(F.sum("file_size_bytes").alias("size"))
+        .groupBy("table_name")
+        .agg(F.sum("file_size_bytes").alias("size"), F.array_sort(F.collect_set("source_path")).alias("paths"))
         .orderBy("table_name")
         .collect()
     )
@@ -78,10 +79,9 @@ def ingest_folder(
         name = source["table_name"]
         base = {"pipeline_run_id": run_id, "table_name": store.full_name(name), "load_timestamp": str(loaded_at)}
         try:
-            path = f"{folder.rstrip('/')}/{source['source_name']}"
-            measured = load_table(store, name, path, run_id, loaded_at, (schemas or {}).get(name))
+            measured = load_table(store, name, source["paths"], run_id, loaded_at, (schemas or {}).get(name))
             return {**base, **measured, "file_size_bytes": source["size"]}
-        except PySparkException as error:
+        except Exception as error:  # noqa: BLE001
             return {
                 **base,
                 "row_count": 0,

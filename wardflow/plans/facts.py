@@ -6,13 +6,16 @@ changes nothing. ``silver`` and ``dims`` map table names to DataFrames.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.expressions import Clock, as_timestamp, date_key, earliest, flag, latest
-from wardflow.operators.joins import current_members, flag_existing, hot_keys, join_skewed, members_as_of
+from wardflow.operators.joins import current_members, flag_existing, join_feeder, members_as_of
+from wardflow.operators.ordering import stage
 from wardflow.operators.watermark import after_watermark
 
 Tables = Mapping[str, DataFrame]
@@ -38,24 +41,57 @@ CLAIM_DECISION_COLUMNS = (
     "claim_status_key",
     "reviewed_by",
     "dwh_updated_at",
+    "patient_key",
+    "hospital_key",
 )
 
+# Members whose rows may arrive after a fact that refers to them.
+VISIT_MEMBERS = ("patient_key", "hospital_key", "doctor_key", "department_key", "diagnosis_key")
+CLAIM_MEMBERS = ("patient_key", "hospital_key")
+MOVE_MEMBERS = ("drug_key", "hospital_key")
+
 
 def _member(df: DataFrame, dims: Tables, name: str, date_column: str, mode: str, *extra: str) -> DataFrame:
-    """Inner join to the current version, or to the version valid on the row's date."""
+    """Key of the current version, or of the version valid on the row's date; -1 where there is none."""
     key, surrogate = f"{name}_id", f"{name}_key"
     if mode == "as_of":
-        return members_as_of(df, dims[name], key, date_column, [surrogate, *extra])
-    return df.join(current_members(dims[name], key, surrogate, *extra), key)
+        found = members_as_of(df, dims[name], key, date_column, [surrogate, *extra], how="left")
+    else:
+        found = df.join(current_members(dims[name], key, surrogate, *extra), key, "left")
+    return found.withColumn(surrogate, F.coalesce(surrogate, F.lit(UNKNOWN_MEMBER)).cast("long"))
+
+
+def _unknown(members: Sequence[str], prefix: str = "") -> Column:
+    return reduce(or_, [F.col(f"{prefix}{m}") == UNKNOWN_MEMBER for m in members])
+
+
+def unresolved(fact: DataFrame, key: str, members: Sequence[str]) -> DataFrame:
+    """Ids of loaded rows that still refer to an unknown member."""
+    return fact.filter(_unknown(members)).select(key)
+
+
+def to_load(rows: DataFrame, recent: Column, key: str, retry: DataFrame | None) -> DataFrame:
+    """Rows after the watermark, and with ``_retry`` older ones whose ids are to be tried again; staged once."""
+    recent = F.coalesce(recent, F.lit(False))
+    batch = rows.filter(recent).withColumn("_retry", F.lit(False))
+    if retry is not None:
+        again = rows.filter(~recent).join(retry, key, "left_semi").withColumn("_retry", F.lit(True))
+        batch = batch.unionByName(again)
+    return stage(batch)
 
 
-def only_of(details: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def _worth_merging(df: DataFrame, members: Sequence[str]) -> DataFrame:
+    """Without rows that were tried again and still refer to an unknown member."""
+    return df.filter(~(F.col("_retry") & _unknown(members)))
+
+
+def only_of(details: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Detail rows of the batch: the rest is dropped before anything is grouped.
 
     A small batch is broadcast and filters the scan; a large one is shuffled by the
     key that the details are grouped by next.
     """
-    return details.join(batch.select(key), key, "left_semi")
+    return details.join(batch.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def fact_visits(
@@ -65,41 +101,46 @@ def fact_visits(
     as_of: Clock,
     mode: str = "current",
     lookback_days: int = 0,
+    target: DataFrame | None = None,
 ) -> DataFrame:
     """Visits after the watermark with dimension keys and visit measures.
 
     ``dims`` needs patient, hospital, doctor, department (type 2) and diagnosis (type 1).
+    A member that is not there yet gets the key -1; given the loaded fact as ``target``,
+    its visits with such a key are tried again.
     """
-    batch = silver["visit"].filter(after_watermark("visit_date", watermark, lookback_days=lookback_days))
+    retry = None if target is None else unresolved(target, "visit_id", VISIT_MEMBERS)
+    recent = after_watermark("visit_date", watermark, lookback_days=lookback_days)
+    batch = to_load(silver["visit"], recent, "visit_id", retry)
     visits = batch
     for name in ("patient", "hospital", "doctor", "department"):
         visits = _member(visits, dims, name, "visit_date", mode)
-    visits = visits.join(dims["diagnosis"].select("diagnosis_code", "diagnosis_key"), "diagnosis_code")
+    visits = visits.join(dims["diagnosis"].select("diagnosis_code", "diagnosis_key"), "diagnosis_code", "left")
+    visits = visits.withColumn("diagnosis_key", F.coalesce("diagnosis_key", F.lit(UNKNOWN_MEMBER)).cast("long"))
+    visits = _worth_merging(visits, VISIT_MEMBERS)
 
-    loaded = batch.select("visit_id")
     procedures = (
-        only_of(silver["visit_procedure"], loaded, "visit_id")
+        only_of(silver["visit_procedure"], batch, ["visit_id"])
         .groupBy("visit_id")
         .agg(F.count(F.lit(1)).alias("procedure_count"))
     )
+    rated = ["patient_id", "hospital_id", "doctor_id"]
     ratings = (
-        silver["patient_feedback"]
-        .groupBy("patient_id", "hospital_id", "doctor_id")
+        only_of(silver["patient_feedback"], batch, rated)
+        .groupBy(*rated)
         .agg(F.avg(F.col("rating").cast("decimal(3,1)")).alias("feedback_rating"))
     )
     referrals = (
-        silver["referral"]
-        .groupBy("patient_id", F.col("from_hospital_id").alias("hospital_id"))
+        only_of(silver["referral"].withColumn("hospital_id", F.col("from_hospital_id")), batch, ["patient_id", "hospital_id"])
+        .groupBy("patient_id", "hospital_id")
         .agg(earliest("referral_reason", "referral_date", "referral_id").alias("referral_reason"))
     )
+    # One row per visit on both sides, so no key is hot.
     joined = visits.join(procedures, "visit_id", "left")
-    hot = hot_keys(batch, ["patient_id", "hospital_id"])
-    joined = join_skewed(joined, ratings, ["patient_id", "hospital_id", "doctor_id"], hot=hot)
-    joined = join_skewed(joined, referrals, ["patient_id", "hospital_id"], hot=hot)
-    # One row per visit on this side, so no key is hot.
-    prescribed = only_of(silver["prescription"], loaded, "visit_id").select("visit_id").distinct()
-    prescribed = prescribed.withColumn("prescribed", F.lit(1))
-    joined = joined.join(prescribed, "visit_id", "left")
+    prescribed = only_of(silver["prescription"], batch, ["visit_id"]).select("visit_id").distinct()
+    joined = joined.join(prescribed.withColumn("prescribed", F.lit(1)), "visit_id", "left")
+    joined = join_feeder(joined, ratings, rated)
+    joined = join_feeder(joined, referrals, ["patient_id", "hospital_id"])
     return joined.select(
         "visit_id",
         date_key("visit_date").alias("date_key"),
@@ -121,19 +162,16 @@ def fact_visits(
     )
 
 
-def claims_to_stage(claims: DataFrame, watermark: Clock, pending_ids: DataFrame | None = None) -> DataFrame:
-    """New and undecided claims, and older ones that are still undecided in the target.
+def claims_to_stage(
+    claims: DataFrame, watermark: Clock, again: DataFrame | None = None, lookback_days: int = 0
+) -> DataFrame:
+    """New and undecided claims, and older ones that the target holds undecided or without a member.
 
     The first part is a plain predicate that reaches the scan; the second one is a
-    semi join, so a decision that arrives late is always picked up.
+    semi join, so a decision or a member that arrives late is always picked up.
     """
-    wanted = F.coalesce(
-        after_watermark("claim_date", watermark, F.col("claim_status") == PENDING), F.lit(False)
-    )
-    recent = claims.filter(wanted)
-    if pending_ids is None:
-        return recent
-    return recent.unionByName(claims.filter(~wanted).join(pending_ids, "claim_id", "left_semi"))
+    pending = F.col("claim_status") == PENDING
+    return to_load(claims, after_watermark("claim_date", watermark, pending, lookback_days), "claim_id", again)
 
 
 def undecided(fact: DataFrame) -> DataFrame:
@@ -148,19 +186,24 @@ def fact_claims(
     as_of: Clock,
     target: DataFrame | None = None,
     mode: str = "current",
+    lookback_days: int = 0,
 ) -> DataFrame:
     """Claims to merge, one row per claim, with ``claim_date`` for the watermark.
 
-    ``dims`` needs patient, hospital, drug (type 2) and claim_status (type 1).
+    ``dims`` needs patient, hospital, drug (type 2) and claim_status (type 1). An unknown
+    patient or hospital gets the key -1 until it arrives.
     """
-    batch = claims_to_stage(silver["claim"], watermark, undecided(target) if target is not None else None)
+    again = None
+    if target is not None:
+        again = undecided(target).union(unresolved(target, "claim_id", CLAIM_MEMBERS)).distinct()
+    batch = claims_to_stage(silver["claim"], watermark, again, lookback_days)
     claims = batch
     for name in ("patient", "hospital"):
         claims = _member(claims, dims, name, "claim_date", mode)
 
     # The last review decides when a claim was reviewed more than once.
     decision = (
-        only_of(silver["claim_approval"], batch, "claim_id")
+        only_of(silver["claim_approval"], batch, ["claim_id"])
         .groupBy("claim_id")
         .agg(
             latest(F.struct("approval_date", "rejection_reason", "reviewed_by"), "approval_date", "approval_id").alias(
@@ -169,21 +212,35 @@ def fact_claims(
         )
         .select("claim_id", "decision.*")
     )
-    known_procedures = silver["medical_procedure"].select("procedure_code").withColumn("known", F.lit(1))
-    drugs = current_members(dims["drug"], "drug_id", "drug_key")
-    # One pass over the items: count, dearest known procedure, dearest known drug.
-    rank = F.struct("item_amount", "claim_item_id")
-    items = (
-        only_of(silver["claim_items"], batch, "claim_id")
-        .join(known_procedures, "procedure_code", "left")
-        .join(drugs, "drug_id", "left")
-        .groupBy("claim_id")
-        .agg(
-            F.count(F.lit(1)).alias("item_count"),
-            F.max_by("procedure_code", F.when(F.col("known") == 1, rank)).alias("procedure_code"),
-            F.max_by("drug_key", F.when(F.col("drug_key").isNotNull(), rank)).alias("drug_key"),
+    items = stage(
+        only_of(silver["claim_items"], batch, ["claim_id"]).select(
+            "claim_id", "procedure_code", "drug_id", F.struct("item_amount", "claim_item_id").alias("rank")
         )
     )
+    # NULL codes never reach a join: an item has a procedure or a drug, so they are many.
+    procedures = join_feeder(
+        items.filter("procedure_code IS NOT NULL"), silver["medical_procedure"].select("procedure_code"), ["procedure_code"], "inner"
+    )
+    drugs = join_feeder(
+        items.filter("drug_id IS NOT NULL"), current_members(dims["drug"], "drug_id", "drug_key"), ["drug_id"], "inner"
+    )
+    no_rank = F.lit(None).cast(items.schema["rank"].dataType)
+    none = {"n": F.lit(0), "procedure_rank": no_rank, "drug_rank": no_rank, "procedure_code": F.lit(None).cast("string")}
+    none["drug_key"] = F.lit(None).cast("long")
+
+    def part(df: DataFrame, **given: Column) -> DataFrame:
+        return df.select("claim_id", *[value.alias(name) for name, value in {**none, **given}.items()])
+
+    parts = [
+        part(items, n=F.lit(1)),
+        part(procedures, procedure_rank=F.col("rank"), procedure_code=F.col("procedure_code")),
+        part(drugs, drug_rank=F.col("rank"), drug_key=F.col("drug_key")),
+    ]
+    items = reduce(DataFrame.unionByName, parts).groupBy("claim_id").agg(
+        F.sum("n").alias("item_count"),
+        F.max_by("procedure_code", "procedure_rank").alias("procedure_code"),
+        F.max_by("drug_key", "drug_rank").alias("drug_key"),
+    )
     joined = claims.join(decision, "claim_id", "left").join(items, "claim_id", "left")
     status = dims["claim_status"].select(
         F.col("claim_status").alias("s_status"),
@@ -222,46 +279,53 @@ def fact_claims(
 
 
 def claim_update_rule():
-    """A loaded claim changes only when a decision arrives for one that had none."""
+    """A loaded claim changes only when a decision or a member arrives that it did not have."""
     waiting = F.col("tgt.approved_amount").isNull() & F.col("tgt.days_to_decision").isNull()
     decided = F.col("src.approved_amount").isNotNull() | F.col("src.days_to_decision").isNotNull()
-    return {"update_columns": CLAIM_DECISION_COLUMNS, "update_when": waiting & decided}
+    return {"update_columns": CLAIM_DECISION_COLUMNS, "update_when": (waiting & decided) | (_unknown(CLAIM_MEMBERS, "tgt.") & ~_unknown(CLAIM_MEMBERS, "src."))}
 
 
 def fact_pharmacy(
-    silver: Tables, dims: Tables, watermark: Clock, as_of: Clock, mode: str = "current"
+    silver: Tables,
+    dims: Tables,
+    watermark: Clock,
+    as_of: Clock,
+    mode: str = "current",
+    lookback_days: int = 0,
+    target: DataFrame | None = None,
 ) -> DataFrame:
     """Drug movements after the watermark with stock, expiry and prescription flags.
 
-    ``dims`` needs drug and hospital (type 2).
+    ``dims`` needs drug and hospital (type 2); unknown members get the key -1 and, given
+    the loaded fact as ``target``, are tried again.
     """
-    batch = silver["drug_transaction"].filter(after_watermark("transaction_date", watermark))
+    retry = None if target is None else unresolved(target, "transaction_id", MOVE_MEMBERS)
+    recent = after_watermark("transaction_date", watermark, lookback_days=lookback_days)
+    batch = to_load(silver["drug_transaction"], recent, "transaction_id", retry)
     moves = batch
     for name in ("drug", "hospital"):
         moves = _member(moves, dims, name, "transaction_date", mode)
+    moves = _worth_merging(moves, MOVE_MEMBERS)
     # Several stock rows may exist per hospital and drug: one total, first expiry.
     stock = (
-        silver["drug_inventory"]
+        only_of(silver["drug_inventory"], batch, ["hospital_id", "drug_id"])
         .groupBy("hospital_id", "drug_id")
         .agg(F.sum("quantity_available").alias("stock"), F.min("expiration_date").alias("first_expiry"))
     )
-    # A movement is covered by a visit of the same day, so older visits cannot matter.
-    recent = silver["visit"].filter(after_watermark("visit_date", watermark))
-    prescribed = (
-        silver["prescription_items"]
-        .select("prescription_id", "drug_id")
-        .join(silver["prescription"].select("prescription_id", "visit_id"), "prescription_id")
-        .join(recent.select("visit_id", "hospital_id", "visit_date"), "visit_id")
+    # A movement is covered by a visit of the same day and hospital: from those visits to
+    # their prescriptions, and only then to the items.
+    days = batch.select("hospital_id", F.col("transaction_date").alias("visit_date"))
+    visits = only_of(silver["visit"].select("visit_id", "hospital_id", "visit_date"), days, ["hospital_id", "visit_date"])
+    covering = stage(silver["prescription"].select("prescription_id", "visit_id").join(visits, "visit_id"))
+    covered = (
+        only_of(silver["prescription_items"].select("prescription_id", "drug_id"), covering, ["prescription_id"])
+        .join(covering, "prescription_id")
+        .select("drug_id", "hospital_id", "visit_date")
     )
-    priced = moves.join(silver["drug"].select("drug_id", "unit_amount"), "drug_id")
-    hot = hot_keys(batch, ["hospital_id", "drug_id"])
-    joined = join_skewed(priced, stock, ["hospital_id", "drug_id"], hot=hot)
+    priced = moves.join(silver["drug"].select("drug_id", "unit_amount"), "drug_id", "left")
+    joined = join_feeder(priced, stock, ["hospital_id", "drug_id"])
     joined = flag_existing(
-        joined,
-        prescribed,
-        {"drug_id": "drug_id", "hospital_id": "hospital_id", "transaction_date": "visit_date"},
-        "prescribed",
-        hot=hot,
+        joined, covered, {"drug_id": "drug_id", "hospital_id": "hospital_id", "transaction_date": "visit_date"}, "prescribed"
     )
     kind, quantity = F.col("transaction_type"), F.col("quantity")
     return joined.select(

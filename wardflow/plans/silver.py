@@ -16,7 +16,7 @@ class Recipe:
     """How one raw table is cleaned.
 
     ``steps``: D one row per key, T trim, S fill strings, N fill numbers,
-    B blank dates. ``references`` are foreign keys that keep their NULLs, so that
+    B blank text in ``dates`` (columns that a source may deliver as text). ``references`` are foreign keys that keep their NULLs, so that
     later IS NOT NULL tests and distinct counts stay right; ``pending`` are
     amounts whose NULL means "not decided yet".
     """
@@ -57,9 +57,14 @@ def _hospital_phones(df: DataFrame, as_of: Clock) -> DataFrame:
 RECIPES: dict[str, Recipe] = {
     "bed": Recipe("bed", "bed_id", "DTS", references=("hospital_id", "department_id")),
     "claim": Recipe(
-        "claim", "claim_id", "DTNSB", references=("patient_id", "visit_id", "hospital_id"), pending=("approved_amount",)
+        "claim",
+        "claim_id",
+        "DTNSB",
+        references=("patient_id", "visit_id", "hospital_id"),
+        pending=("approved_amount",),
+        dates=("claim_date",),
     ),
-    "claim_approval": Recipe("claim_approval", "approval_id", "DSNB", references=("claim_id",)),
+    "claim_approval": Recipe("claim_approval", "approval_id", "DSNB", references=("claim_id",), dates=("approval_date",)),
     "claim_items": Recipe(
         "claim_item",
         "claim_item_id",
@@ -68,16 +73,16 @@ RECIPES: dict[str, Recipe] = {
         before=(lambda df: c.rename(df, {"quantity": "item_quantity"}),),
     ),
     "department": Recipe(
-        "department", "department_id", "DTSNB", references=("hospital_id",), after=(_department_contacts,)
+        "department", "department_id", "DTSN", references=("hospital_id",), after=(_department_contacts,)
     ),
     "diagnosis": Recipe("diagnosis", "diagnosis_code", "DTS"),
     "doctor": Recipe(
         "doctor", "doctor_id", "DTS", references=("hospital_id", "department_id"), before=(_doctor_names,)
     ),
-    "doctor_schedule": Recipe("doctor_schedule", "schedule_id", "DSB", references=("doctor_id",)),
+    "doctor_schedule": Recipe("doctor_schedule", "schedule_id", "DSB", references=("doctor_id",), dates=("shift_date",)),
     "drug": Recipe("drug", "drug_id", "DTSN"),
-    "drug_inventory": Recipe("drug_inventory", "inventory_id", "DTSNB", references=("hospital_id", "drug_id")),
-    "drug_transaction": Recipe("drug_transaction", "transaction_id", "DTSNB", references=("hospital_id", "drug_id")),
+    "drug_inventory": Recipe("drug_inventory", "inventory_id", "DTSNB", references=("hospital_id", "drug_id"), dates=("expiration_date",)),
+    "drug_transaction": Recipe("drug_transaction", "transaction_id", "DTSNB", references=("hospital_id", "drug_id"), dates=("transaction_date",)),
     "hospital": Recipe(
         "hospital",
         "hospital_id",
@@ -87,26 +92,27 @@ RECIPES: dict[str, Recipe] = {
     ),
     "icu_status": Recipe("icu_status", "icu_status_id", "DTSN", references=("hospital_id",)),
     "medical_procedure": Recipe("medical_procedure", "procedure_code", "DTSN"),
-    "medical_record": Recipe("medical_record", "record_id", "DTSB", references=("patient_id",)),
+    "medical_record": Recipe("medical_record", "record_id", "DTSB", references=("patient_id",), dates=("record_date",)),
     "patient": Recipe("patient", "patient_id", "DTS", before=(_patient_names,), after=(_patient_contacts,)),
     "patient_feedback": Recipe(
-        "patient_feedback", "feedback_id", "DTSB", references=("patient_id", "hospital_id", "doctor_id")
+        "patient_feedback", "feedback_id", "DTS", references=("patient_id", "hospital_id", "doctor_id")
     ),
-    "prescription": Recipe("prescription", "prescription_id", "DTSB", references=("visit_id",)),
+    "prescription": Recipe("prescription", "prescription_id", "DTSB", references=("visit_id",), dates=("prescription_date",)),
     "prescription_items": Recipe(
-        "prescription_item", "prescription_item_id", "DTSB", references=("prescription_id", "drug_id")
+        "prescription_item", "prescription_item_id", "DTS", references=("prescription_id", "drug_id")
     ),
     "referral": Recipe(
-        "referral", "referral_id", "DTSB", references=("patient_id", "from_hospital_id", "to_hospital_id")
+        "referral", "referral_id", "DTSB", references=("patient_id", "from_hospital_id", "to_hospital_id"), dates=("referral_date",)
     ),
     "visit": Recipe(
         "visit",
         "visit_id",
         "DTSNB",
         references=("patient_id", "doctor_id", "hospital_id", "department_id", "diagnosis_code"),
+        dates=("visit_date",),
     ),
     "visit_procedure": Recipe(
-        "visit_procedure", "visit_procedure_id", "DTSNB", references=("visit_id", "procedure_code")
+        "visit_procedure", "visit_procedure_id", "DTSNB", references=("visit_id", "procedure_code"), dates=("procedure_date",)
     ),
 }
 
@@ -140,7 +146,7 @@ def clean_table(
         number=0 if "N" in recipe.steps else None,
         exclude=kept,
     )
-    if "B" in recipe.steps and recipe.dates:
+    if "B" in recipe.steps:
         df = c.blank_dates_to_null(df, recipe.dates)
     for finish in recipe.after:
         df = finish(df, as_of)

@@ -9,7 +9,6 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,19 +28,21 @@ CONTROL = "etl_watermark"
 
 
 def run_steps(store: TableStore, steps: Mapping[str, Callable[[], object]], run_at: Clock) -> DataFrame:
-    """Run steps in order, keep going after a failure, and append one audit row per step."""
+    """Run steps in order and keep going after a failure of any kind.
+
+    The audit row of a step is appended before the next one starts.
+    """
     audit = []
     for name, action in steps.items():
         started = time.monotonic()
         status, error = "success", None
         try:
             action()
-        except (PySparkException, ValueError) as failure:
-            status, error = "failed", str(failure)
+        except Exception as failure:  # noqa: BLE001
+            status, error = "failed", f"{type(failure).__name__}: {failure}"
         audit.append((name, status, round(time.monotonic() - started, 3), error, str(run_at)))
-    rows = store.spark.createDataFrame(audit, AUDIT_SCHEMA)
-    store.append("run_audit", rows)
-    return rows
+        store.append("run_audit", store.spark.createDataFrame(audit[-1:], AUDIT_SCHEMA))
+    return store.spark.createDataFrame(audit, AUDIT_SCHEMA)
 
 
 def build_silver(
@@ -84,29 +85,31 @@ def dimension_tables(store: TableStore) -> dict[str, DataFrame]:
 def load_facts(store: TableStore, as_of: Clock, mode: str = "current", lookback_days: int = 0) -> DataFrame:
     """Merge new rows into the three facts and advance their watermarks.
 
-    Facts are partitioned by ``month_key``, so a load rewrites the months it touches.
+    Facts are partitioned by ``month_key``, so a load rewrites the months it touches. A
+    row whose dimension member has not arrived is loaded with the member -1 and tried
+    again by each load until the member is there.
     """
     if not store.exists(CONTROL):
         store.overwrite(CONTROL, store.spark.createDataFrame([], wm.SCHEMA))
     control = store.overwrite(CONTROL, wm.wm_init(store.table(CONTROL), wm.seed_rows(store.spark)))
     silver, dims = silver_tables(store), dimension_tables(store)
-    known_claims = store.table("fact_claims") if store.exists("fact_claims") else None
+    known = {n: store.table(n) if store.exists(n) else None for n in ("fact_claims", "fact_visits", "fact_pharmacy")}
     claims_schema = T.StructType.fromDDL(f.FACT_CLAIMS)
     loads = {
         "fact_claims": (
-            lambda since: conform(f.fact_claims(silver, dims, since, as_of, known_claims, mode), claims_schema),
+            lambda since: conform(f.fact_claims(silver, dims, since, as_of, known["fact_claims"], mode, lookback_days), claims_schema),
             "claim_id",
             "claim_date",
             f.claim_update_rule(),
         ),
         "fact_visits": (
-            lambda since: f.fact_visits(silver, dims, since, as_of, mode, lookback_days),
+            lambda since: f.fact_visits(silver, dims, since, as_of, mode, lookback_days, known["fact_visits"]),
             "visit_id",
             "visit_date",
             {},
         ),
         "fact_pharmacy": (
-            lambda since: f.fact_pharmacy(silver, dims, since, as_of, mode),
+            lambda since: f.fact_pharmacy(silver, dims, since, as_of, mode, lookback_days, known["fact_pharmacy"]),
             "transaction_id",
             "transaction_date",
             {},

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -48,8 +49,8 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for staged data: the one the cluster names, never a local one.
 
-    Only a ``local[*]`` session without ``spark.checkpoint.dir`` (tests) gets a
-    temporary folder of its own.
+    Only a ``local[*]`` session without ``spark.checkpoint.dir`` uses a folder under its
+    warehouse.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -57,7 +58,7 @@ def scratch_root(spark: SparkSession) -> str:
         if named is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            named = tempfile.mkdtemp(prefix="wardflow-")
+            named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
         context.setCheckpointDir(named)
     return named or context.getCheckpointDir()
 
@@ -65,3 +66,20 @@ def scratch_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared scratch folder; nothing is created or removed."""
     return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_children(spark: SparkSession, folder: str, prefix: str, unwanted: Callable[[str, float], bool]) -> int:
+    """Remove subfolders by name and age in seconds, on whatever file system holds the folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    removed = 0
+    for child in system.listStatus(path) if system.exists(path) else ():
+        name, age = child.getPath().getName(), time.time() - child.getModificationTime() / 1000
+        if name.startswith(prefix) and unwanted(name, age):
+            removed += int(system.delete(child.getPath(), True))
+    return removed
+
+
+def drop_old_stages(spark: SparkSession, older_than_s: float) -> int:
+    """Remove staged rows of runs that ended; nothing younger than the given age is touched."""
+    return remove_children(spark, scratch_root(spark), "stage-", lambda _, age: age > older_than_s)

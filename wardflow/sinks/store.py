@@ -1,7 +1,8 @@
 """Parquet tables in the session catalog: snapshots, appends, partition replacement.
 
 A snapshot is written to a new folder and the catalog entry then points at it, so
-a table can be rewritten from itself and a failed write leaves the old one.
+a table can be rewritten from itself and a failed write leaves the old one. A writer
+never drops a column it was given: it adds it to the table, or refuses the rows.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.operators.cleaning import quoted
+from wardflow.session import remove_children
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast, order and NULL-fill a DataFrame to a declared schema."""
+    """Cast, order and NULL-fill a DataFrame to a declared schema; other columns are left out."""
     present = set(df.columns)
     return df.select(
         *[
@@ -28,6 +30,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def quoted_name(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 @dataclass
 class TableStore:
     spark: SparkSession
@@ -64,43 +70,88 @@ class TableStore:
         return self._point_at(name, folder, bool(partition_by))
 
     def _point_at(self, name: str, folder: str, partitioned: bool) -> DataFrame:
+        """Publish a snapshot. Readers of an unpartitioned table find it at any moment.
+
+        Its entry is moved to the new folder, after new columns were added. Only a table
+        that is partitioned, or whose columns changed type or went away, gets a new entry.
+        """
+        full = self.full_name(name)
+        written = self.spark.read.parquet(folder)
+        if not partitioned and self.exists(name) and not self._partitions(name):
+            kinds = {f.name: f.dataType for f in self.table(name).schema.fields}
+            fresh = {f.name: f.dataType for f in written.schema.fields}
+            if all(fresh.get(c) == kind for c, kind in kinds.items()):
+                self.add_columns(name, written)
+                self.spark.sql(f"ALTER TABLE {full} SET LOCATION '{folder}'")
+                self.spark.catalog.refreshTable(full)
+                return self.table(name)
         # An external table: dropping the entry leaves the older snapshot's files.
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(name)}")
-        self.spark.catalog.createTable(self.full_name(name), path=folder, source="parquet")
+        self.spark.sql(f"DROP TABLE IF EXISTS {full}")
+        self.spark.catalog.createTable(full, path=folder, source="parquet")
         if partitioned:
-            self.spark.catalog.recoverPartitions(self.full_name(name))
+            self.spark.catalog.recoverPartitions(full)
         return self.table(name)
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Add rows; an existing table keeps its declared column order and types."""
+    def _partitions(self, name: str) -> list[str]:
+        return [c.name for c in self.spark.catalog.listColumns(self.full_name(name)) if c.isPartition]
+
+    def location(self, name: str) -> str:
+        found = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.full_name(name)}")
+        return found.filter("col_name = 'Location'").first()["data_type"]
+
+    def add_columns(self, name: str, df: DataFrame) -> None:
+        """Declare the columns of ``df`` that the table lacks; they are NULL in its older rows."""
+        known = {c.lower() for c in self.table(name).columns}
+        new = [f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields if f.name.lower() not in known]
+        if new:
+            self.spark.sql(f"ALTER TABLE {self.full_name(name)} ADD COLUMNS ({', '.join(new)})")
+
+    def _fitting(self, name: str, df: DataFrame, evolve: bool) -> DataFrame:
+        """``df`` in the table's columns; unknown ones are added to the table, or refused."""
+        unknown = {c.lower() for c in df.columns} - {c.lower() for c in self.table(name).columns}
+        if unknown and not evolve:
+            raise ValueError(f"{self.full_name(name)} has no columns {sorted(unknown)}")
+        if unknown:
+            self.add_columns(name, df)
+        return conform(df, self.table(name).schema)
+
+    def append(self, name: str, df: DataFrame, evolve: bool = False) -> DataFrame:
+        """Add rows; the table keeps its column order and types.
+
+        A column that the table lacks is an error, or is added with ``evolve``.
+        """
         if not self.exists(name):
             return self.overwrite(name, df)
-        conform(df, self.table(name).schema).write.mode("append").insertInto(self.full_name(name))
+        self._fitting(name, df, evolve).write.mode("append").insertInto(self.full_name(name))
         return self.table(name)
 
     def append_evolving(self, name: str, df: DataFrame) -> DataFrame:
-        """Add rows that may bring new columns; missing values are NULL on both sides.
+        """Add rows that may bring new columns; missing values are NULL on both sides."""
+        return self.append(name, df, evolve=True)
 
-        When the columns are the known ones this is a plain append. Only a new
-        column needs a new snapshot of the table.
-        """
-        if not self.exists(name) or set(df.columns) <= set(self.table(name).columns):
-            return self.append(name, df)
-        return self.overwrite(name, self.table(name).unionByName(df, allowMissingColumns=True))
+    def replace_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str], evolve: bool = False) -> DataFrame:
+        """Replace only the partitions that the rows fall in; all others stay.
 
-    def replace_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-        """Replace only the partitions that the rows fall in; all others stay."""
+        The mode belongs to this one write, so loads may run side by side in a session
+        with any setting.
+        """
         if not self.exists(name):
             return self.overwrite(name, df, partition_by)
-        setting = "spark.sql.sources.partitionOverwriteMode"
-        before = self.spark.conf.get(setting)
-        self.spark.conf.set(setting, "dynamic")
-        try:
-            conform(df, self.table(name).schema).write.mode("overwrite").insertInto(self.full_name(name))
-        finally:
-            self.spark.conf.set(setting, before)
+        fitting = self._fitting(name, df, evolve)
+        writer = fitting.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partition_by).parquet(self.location(name))
+        self.spark.catalog.recoverPartitions(self.full_name(name))
+        self.spark.catalog.refreshTable(self.full_name(name))
         return self.table(name)
 
+    def drop_old_snapshots(self, name: str) -> int:
+        """Remove the folders of snapshots that the table no longer points at; returns their number.
+
+        Call it when no reader uses an older snapshot any more.
+        """
+        current = self.location(name).rstrip("/").rpartition("/")[2]
+        return remove_children(self.spark, f"{self.root.rstrip('/')}/{name}", "snapshot-", lambda child, _: child != current)
+
 
 def counted(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, Observation]:
     """Attach row and NULL counts that Spark collects while the rows are written."""

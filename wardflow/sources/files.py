@@ -34,6 +34,7 @@ def discover_csv(spark: SparkSession, path: str) -> DataFrame:
     return listing.select(
         F.lower(source).alias("table_name"),
         F.concat(source, F.lit(".csv")).alias("source_name"),
+        F.url_decode(F.regexp_extract("path", r"^(.*?/[^/]+\.csv)(/|$)", 1)).alias("source_path"),
         F.col("path").alias("file_path"),
         F.col("length").alias("file_size_bytes"),
         F.col("modificationTime").alias("file_modified_time"),
