@@ -138,5 +138,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_urls": op9_urls,
     "op10_language": op10_language,
 }
-
-ORACLES: dict[str, str] = {}
