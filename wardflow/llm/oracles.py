@@ -11,7 +11,7 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def _words(text: str) -> str:
     parted = f"regexp_split_to_array(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-    return f"list_filter({parted}, x -> x <> '')"
+    return f"[x FOR x IN {parted} IF x <> '']"
 
 
 ORACLES: dict[str, str] = {
@@ -24,7 +24,7 @@ ORACLES: dict[str, str] = {
         windows AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS gram FROM places),
         grams AS (
           SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i,
-                 unnest(list_transform(range(1, len(w) - n + 2), x -> array_to_string(list_slice(w, x, x + n - 1), ' '))) AS gram
+                 unnest([array_to_string(list_slice(w, x, x + n - 1), ' ') FOR x IN range(1, len(w) - n + 2)]) AS gram
           FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
         hits AS (SELECT doc_id, i, g.n, item_id FROM grams g JOIN windows s ON s.n = g.n AND s.gram = g.gram),
         hit_words AS (
