@@ -6,12 +6,15 @@ Python worker is bounded by ``SLICE_BYTES`` (or by one text, where that is longe
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -21,6 +24,25 @@ _BASE = np.uint64(0x9E3779B97F4A7C55)  # odd, so that it has an inverse mod 2^64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once, over Spark's own file transfer.
+
+    Workers need not have the repository on their path, or on their disk.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _shipped.add(context.applicationId)
+
+
 def add_columns(
     df: DataFrame,
     fields: Sequence[StructField],
@@ -33,6 +55,7 @@ def add_columns(
     array (NULL included) into one Arrow array per field. A column of ``df`` that has
     the name of a new one is replaced by it.
     """
+    ship(df.sparkSession)
     new = {f.name for f in fields}
     kept = [c for c in df.columns if c not in new]
     place = len(kept)

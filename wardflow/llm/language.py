@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from wardflow.llm.batches import add_columns, slices, strings
+from wardflow.llm.batches import add_columns, ship, slices, strings
 
 #: Learned from at most about this many documents, chosen by a hash of their id.
 MAX_DOCUMENTS = 20_000
@@ -93,6 +93,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "la
     ``df`` holds the rows to learn from; NULL labels and NULL or letterless texts teach
     nothing. What comes back is at most one number per language and bucket.
     """
+    ship(df.sparkSession)
     usable = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label"))
     sample = bounded_sample(usable.filter("text IS NOT NULL AND label IS NOT NULL"), "key", most)
 

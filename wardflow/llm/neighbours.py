@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.llm.batches import ship
 from wardflow.operators.ordering import stage
 
 #: Vectors the trees are fitted on; trees; vectors of a leaf (about).
@@ -206,6 +207,7 @@ def nearest(
     ``k + 1`` smallest ids, which is all that a query can need of them.
     """
     spark = df.sparkSession
+    ship(spark)
     valid = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{vector}`").alias("vector"), queries.alias("asks")).filter(
         F.col("id").isNotNull() & usable(F.col("vector"))
     )

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from wardflow.llm.batches import SPACES, add_columns, mix, words
+from wardflow.llm.batches import SPACES, add_columns, mix, ship, words
 from wardflow.llm.components import components
 from wardflow.llm.decontaminate import BROADCAST_ROWS, text_key
 from wardflow.operators.ordering import stage
@@ -265,6 +265,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     member of the join. The component is the smallest id that links lead to; ids may
     repeat or be NULL (a component of NULL ids only is NULL).
     """
+    ship(df.sparkSession)
     whole = F.col(f"`{text}`").alias("text")
     texts = df.select(F.col(f"`{id_column}`").alias("id"), whole, *text_key(id_column, text))
     described = stage(_describe(texts, "text").drop("text"))

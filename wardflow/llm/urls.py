@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardflow.llm.batches import ship
+
 #: Rows of a range, about; and rows sampled for each range to place its bounds.
 RANGE_ROWS = 50_000
 SAMPLE_ROWS = 40
@@ -110,6 +112,7 @@ def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
     like the new ones are replaced.
     """
     spark = pages.sparkSession
+    ship(spark)
     new = {"host", "path", "rule", "rule_verdict", "_key", "_range", "_place"}
     kept = [c for c in pages.columns if c not in new]
     host, path = host_and_path(F.coalesce(F.col(f"`{url}`"), F.lit("")))
