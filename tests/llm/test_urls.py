@@ -63,6 +63,15 @@ def test_many_nested_rules(spark):
         assert (row["rule"], row["rule_verdict"]) == ((rule[0] + rule[1], rule[2]) if rule else (None, None)), row
 
 
+def test_ranges_dealt_into_parts_give_the_same(spark, monkeypatch):
+    found = [f"http://a{i % 7}.net/{i % 11}" for i in range(300)] + ["http://example.net/en/x"] * 100
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    monkeypatch.setattr(urls, "MOST_RANGES", 3)
+    monkeypatch.setattr(urls, "RANGE_ROWS", 20)
+    got = rows(urls.match_rules(pages(spark, found), rules))
+    assert len(got) == 400 and all(r["rule"] == "".join(longest(r["url"], URL_RULES)[:2]) for r in got)
+
+
 def test_no_pages_and_no_rules(spark):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     some = pages(spark, ["http://a.net/"])

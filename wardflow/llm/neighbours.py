@@ -29,6 +29,8 @@ from wardflow.operators.ordering import stage
 SAMPLE_ROWS = 50_000
 TREES = 8
 LEAF_ROWS = 1_024
+#: Points of the sample in a leaf at least: bounds the forest, however many rows a leaf then holds.
+LEAF_POINTS = 16
 #: Part of the true neighbours to find, and sample points on which that is measured.
 RECALL = 0.95
 PROBES = 256
@@ -230,9 +232,9 @@ def nearest(
     steps = 1 << 30
     sample = vectors.filter(F.pmod(F.xxhash64("vector"), F.lit(steps)) < int(share * steps) + 1).select("vector").orderBy("vector")
     points = _unit(_matrix(sample.toArrow().column("vector"), dims))
-    forest = fit(points, leaf_rows * len(points) / max(held, 1), trees)
+    forest = fit(points, max(leaf_rows * len(points) / max(held, 1), LEAF_POINTS), trees)
     leaves_read = leaves_needed(forest, points, k, recall)
-    # At most 2 x trees x sample / leaf nodes, whatever the number of rows.
+    # At most 2 x trees x sample / points of a leaf nodes, whatever the number of rows.
     shared = spark.sparkContext.broadcast(forest)
 
     placed = stage(_place_in_leaves(vectors, shared, dims))

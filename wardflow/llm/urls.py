@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from wardflow.llm.batches import ship
 
-#: Rows of a range, about; and rows sampled for each range to place its bounds.
+#: Rows swept together, about; ranges at most; rows sampled for each range to place its bounds.
+#: A range with more rows is dealt into parts, and its rules are copied to each of them.
 RANGE_ROWS = 50_000
+MOST_RANGES = 4_096
 SAMPLE_ROWS = 40
 #: Order of two rules with one host and path: the later one here holds.
 VERDICTS = ("allow", "block")
@@ -41,7 +43,7 @@ def host_key(host: Column) -> Column:
 
 
 def _ranges(spark, rows: int) -> int:
-    return max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANGE_ROWS))
+    return min(max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANGE_ROWS)), MOST_RANGES)
 
 
 def _bounds(pages: DataFrame, ranges: int, rows: int) -> list[str]:
@@ -96,7 +98,7 @@ def _sweep(pages: pa.Table, rules: pa.Table) -> pa.Table:
             stack.move(key)
             last = key
         found.append(stack.longest(path) if key else None)
-    kept = pages.drop_columns(["_key", "_range"])
+    kept = pages.drop_columns(["_key", "_range", "_part"])
     for i, name in enumerate(("rule", "rule_verdict")):
         kept = kept.append_column(name, pa.array([f[i] if f else None for f in found], pa.string()))
     return kept
@@ -113,7 +115,7 @@ def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
     """
     spark = pages.sparkSession
     ship(spark)
-    new = {"host", "path", "rule", "rule_verdict", "_key", "_range", "_place"}
+    new = {"host", "path", "rule", "rule_verdict", "_key", "_range", "_part", "_place"}
     kept = [c for c in pages.columns if c not in new]
     host, path = host_and_path(F.coalesce(F.col(f"`{url}`"), F.lit("")))
     tie = F.hex(F.xxhash64(*[F.col(f"`{c}`") for c in kept]))
@@ -123,7 +125,9 @@ def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
         .withColumn("_place", F.concat_ws("\0", "_key", F.left("path", F.lit(100)), tie))
     )
     rows = pages.count()
-    bounds = _bounds(keyed, _ranges(spark, rows), rows)
+    ranges = _ranges(spark, rows)
+    parts = max(-(-rows // (ranges * RANGE_ROWS)), 1)
+    bounds = _bounds(keyed, ranges, rows)
     # One short string per range: fixed by the number of ranges, never by rows of a key.
     shared = spark.sparkContext.broadcast(bounds)
 
@@ -148,7 +152,10 @@ def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
         F.col("path").alias("rule_path"),
         F.col("verdict").alias("rule_verdict"),
     )
-    placed = keyed.mapInArrow(place, keyed.drop("_place").withColumn("_range", F.lit(0)).schema)
+    dealt = F.pmod(F.xxhash64("_place"), F.lit(parts)).cast("int").alias("_part")
+    ready = keyed.select(*keyed.drop("_place").columns, dealt, "_place")
+    placed = ready.mapInArrow(place, ready.drop("_place").withColumn("_range", F.lit(0)).schema)
     copies = named.mapInArrow(spread, named.withColumn("_range", F.lit(0)).schema)
+    copies = copies.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     out = keyed.drop("_place", "_key").withColumns({"rule": F.lit(None).cast("string"), "rule_verdict": F.lit(None).cast("string")})
-    return placed.groupBy("_range").cogroup(copies.groupBy("_range")).applyInArrow(_sweep, out.schema)
+    return placed.groupBy("_range", "_part").cogroup(copies.groupBy("_range", "_part")).applyInArrow(_sweep, out.schema)
