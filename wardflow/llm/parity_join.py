@@ -14,9 +14,13 @@ its blocks, a small one deals several times. The chance to miss a pair at the th
 is under 1e-7 (0.65 ** 40), for similarities of 0.8 and more under 1e-11.
 
 Candidates. Sets with one block in common form a bucket. First each is compared with the
-smallest of its bucket, and components are built from what is verified. Only buckets
-that then still hold several components are compared member by member, by sketches, in
-cells of a fixed size; nothing is dropped, and pairs of one component are never listed.
+leader of its bucket, the first in one of ``ORDERS`` orders, and components are built from
+what is verified. Buckets that then still hold several components are compared member by
+member, by sketches, in cells of a fixed size. A cell gives only pairs that would join
+components not yet joined by its earlier pairs, fewer than it has members. They are
+verified; where one fails, the cells are gone through again without the failed pairs,
+until all that was given is verified. So every pair of a bucket is either in one component,
+ruled out by its sketches, or verified and found different; none is dropped.
 """
 
 from __future__ import annotations
@@ -40,6 +44,10 @@ SHARE, SHARE_OF = 75, 100
 BLOCKS = 40
 #: Members of a bucket that are compared in one cell, about.
 CELL = 256
+#: Orders in which the leaders of buckets are chosen.
+ORDERS = 4
+#: Bits of a sketch for each shingle, at least: few share a bit, so distances are nearly exact.
+SKETCH_BITS = 8
 #: A set this small is similar to equal sets only.
 ALONE = 2
 
@@ -128,9 +136,9 @@ def block_keys(tokens: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def sketches(tokens: np.ndarray, first: np.ndarray) -> list[bytes]:
-    """Parity of each set: 2 to 4 bits per shingle, a power of two, 64 at least."""
+    """Parity of each set: at least ``SKETCH_BITS`` bits per shingle, a power of two, 64 at least."""
     size = np.diff(first)
-    bits = 1 << np.maximum(np.ceil(np.log2(np.maximum(2 * size, 1))).astype(np.int64), 6)
+    bits = 1 << np.maximum(np.ceil(np.log2(np.maximum(SKETCH_BITS * size, 1))).astype(np.int64), 6)
     edge = np.concatenate(([0], np.cumsum(bits)))
     owner = np.repeat(np.arange(len(size)), size)
     at = edge[owner] + (tokens & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
@@ -218,7 +226,6 @@ class _Verifier:
         self.source = described.filter(f"n_shingles > {ALONE}").groupBy("set_id").agg(F.min(F.struct("_key", "_check")).alias("row"))
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        pairs = stage(pairs)
         wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select(F.col("b").alias("set_id"))).distinct()
         rows = stage(self.source.join(wanted, "set_id").select("row.*"))
         few = rows.count() <= BROADCAST_ROWS
@@ -229,33 +236,77 @@ class _Verifier:
         return stage(_keep_pairs(pairs.join(left, "a").join(right, "b"), _similar, ("set_a", "set_b")))
 
 
+def _joining_pairs(members: list[tuple], halves: bool) -> Iterator[tuple[int, int]]:
+    """Pairs of a cell that may be similar and join components not joined so far: a forest.
+
+    Members are (set_id, component, own, n_shingles, sketch, avoid). A cell of two ``halves``
+    compares only across them.
+    """
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (above := parent.get(c, c)) != c:
+            parent[c] = c = parent.get(above, above)
+        return c
+
+    for i, (a, comp_a, half_a, n_a, sketch_a, avoid_a) in enumerate(members):
+        for b, comp_b, half_b, n_b, sketch_b, avoid_b in members[:i]:
+            one, two = root(comp_a), root(comp_b)
+            if one == two or (halves and half_a == half_b) or b in avoid_a or a in avoid_b:
+                continue
+            if may_be_similar(n_a, sketch_a, n_b, sketch_b):
+                parent[one] = two
+                yield min(a, b), max(a, b)
+
+
 def _compare_cells(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components of one cell whose sketches may be similar; cells come in runs."""
-    cell, members, out = None, [], []
+    """The joining pairs of all cells of a task; the rows of a cell come in a run."""
+    cell, members, out = None, [], {}
 
-    def pairs() -> None:
-        for i, (a, comp_a, half_a, n_a, sketch_a) in enumerate(members):
-            for b, comp_b, half_b, n_b, sketch_b in members[:i]:
-                if comp_a != comp_b and (cell[1] == cell[2] or half_a != half_b) and may_be_similar(n_a, sketch_a, n_b, sketch_b):
-                    out.append((min(a, b), max(a, b)))
+    def close() -> None:
+        if len(members) > 1:
+            out.update(dict.fromkeys(_joining_pairs(members, cell[1] != cell[2])))
 
     def flush() -> pa.RecordBatch:
-        found = list(dict.fromkeys(out))
+        found = list(out)
         out.clear()
         return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
+    names = ("key", "low", "high", "set_id", "component", "own", "n_shingles", "sketch", "avoid")
     for batch in rows:
-        columns = (batch.column(c).to_pylist() for c in ("key", "low", "high", "set_id", "component", "own", "n_shingles", "sketch"))
-        for key, low, high, *member in zip(*columns):
+        for key, low, high, *member, avoid in zip(*(batch.column(c).to_pylist() for c in names)):
             if (key, low, high) != cell:
-                pairs()
+                close()
                 cell, members = (key, low, high), []
-            members.append(member)
+            members.append((*member, frozenset(avoid or ())))
         yield flush()
-    pairs()
+    close()
     yield flush()
 
 
+def _mixed_cells(members: DataFrame, held: DataFrame, found: DataFrame, failed: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, dealt into cells, with all that is known of them."""
+    named = stage(
+        members.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+            "key", "set_id", F.coalesce("component", "set_id").alias("component")
+        )
+    )
+    size = F.ceil(F.count(F.lit(1)) / CELL).cast("int")
+    mixed = named.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), size.alias("cells"))
+    mixed = stage(mixed.filter("_low <> _high").select("key", "cells"))
+    avoid = stage(failed.groupBy(F.col("a").alias("set_id")).agg(F.collect_set("b").alias("avoid")))
+    spread = (
+        named.join(mixed, "key")
+        .withColumn("own", F.pmod(F.xxhash64("set_id", "key"), F.col("cells")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        .select("key", "set_id", "component", "own", F.least("own", "_other").alias("low"), F.greatest("own", "_other").alias("high"))
+        .join(held, "set_id")
+        .join(avoid, "set_id", "left")
+    )
+    dealt = spread.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "set_id")
+    return dealt.select("key", "low", "high", "set_id", "component", "own", "n_shingles", "sketch", "avoid")
+
+
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """_key, _check, id, n_shingles and component_id for every row of ``df``.
 
@@ -272,9 +323,12 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     joined = described.filter(f"n_shingles > {ALONE}")
 
     keyed = joined.select(F.explode("keys").alias("key"), "set_id")
-    # The copies of a set leave a task as one row per block.
-    buckets = keyed.groupBy("key").agg(F.min("set_id").alias("first"), F.max("set_id").alias("last"))
-    shared = stage(buckets.filter("first <> last").select("key", "first"))
+    # The copies of a set leave a task as one row per block. Leaders are the first by
+    # their ids with some bits turned, and which bits depends on the block.
+    turn = F.xxhash64(F.pmod(F.col("key"), F.lit(ORDERS)))
+    turned = F.col("set_id").bitwiseXOR(turn)
+    buckets = keyed.groupBy("key").agg(F.min(turned).alias("first"), F.max(turned).alias("last"))
+    shared = stage(buckets.filter("first <> last").select("key", F.col("first").bitwiseXOR(turn).alias("leader")))
     members = stage(keyed.join(shared, "key").distinct())
     sizes = joined.groupBy("set_id").agg(F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch"))
     held = stage(sizes.join(members.select("set_id").distinct(), "set_id"))
@@ -283,35 +337,24 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
         return held.select(F.col("set_id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
 
     verifier = _Verifier(texts, described)
-    leaders = members.filter("set_id <> first").select(F.col("set_id").alias("a"), F.col("first").alias("b")).distinct()
-    likely = _keep_pairs(leaders.join(side("a"), "a").join(side("b"), "b"), may_be_similar, ("n_a", "s_a", "n_b", "s_b"))
-    links = verifier.verify(likely)
+    leaders = members.filter("set_id <> leader").select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b"))
+    sides = leaders.distinct().join(side("a"), "a").join(side("b"), "b")
+    given = stage(_keep_pairs(sides, may_be_similar, ("n_a", "s_a", "n_b", "s_b")))
+    links = verifier.verify(given)
+    failed = stage(given.join(links, ["a", "b"], "left_anti"))
     found = components(links)
-
-    # Buckets that still hold more than one component.
-    named = members.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "key", "set_id", F.coalesce("component", "set_id").alias("component")
-    )
-    named = stage(named)
-    mixed = named.groupBy("key").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high"), F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cells")
-    )
-    mixed = stage(mixed.filter("_low <> _high").select("key", "cells"))
-    spread = (
-        named.join(mixed, "key")
-        .withColumn("own", F.pmod(F.xxhash64("set_id", "key"), F.col("cells")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-        .select("key", "set_id", "component", "own", F.least("own", "_other").alias("low"), F.greatest("own", "_other").alias("high"))
-        .join(held, "set_id")
-    )
-    cells = spread.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
-    more = cells.select("key", "low", "high", "set_id", "component", "own", "n_shingles", "sketch").mapInArrow(
-        _compare_cells, "a bigint, b bigint"
-    )
-    tested = leaders.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    further = verifier.verify(more.distinct().join(tested, ["a", "b"], "left_anti"))
-    if not further.isEmpty():
-        found = components(links.union(further))
+    while True:
+        cells = _mixed_cells(members.drop("leader"), held, found, failed)
+        given = stage(cells.mapInArrow(_compare_cells, "a bigint, b bigint").distinct())
+        if given.isEmpty():
+            break
+        verified = verifier.verify(given)
+        links = stage(links.union(verified))
+        found = components(links)
+        wrong = stage(given.join(verified, ["a", "b"], "left_anti"))
+        if wrong.isEmpty():
+            break
+        failed = stage(failed.union(wrong))
 
     classes = described.filter("n_shingles > 0").groupBy("set_id").agg(F.min("id").alias("least"))
     named = classes.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
