@@ -17,14 +17,13 @@ def components(edges: DataFrame) -> DataFrame:
     each join are plain scans, so adaptive execution can split a node with many edges.
     """
     both = stage(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    labels = stage(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("component")))
+    first = both.groupBy("a").agg(F.min("b").alias("low"))
+    labels = stage(first.select(F.col("a").alias("node"), F.least("a", "low").alias("component")))
     while True:
-        heard = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "component")
-        lower = stage(labels.union(heard).groupBy("node").agg(F.min("component").alias("component")))
-        via = lower.select(F.col("node").alias("_via"), F.col("component").alias("_next"))
-        jumped = stage(lower.join(via, lower["component"] == via["_via"]).select("node", F.col("_next").alias("component")))
-        before = labels.withColumnRenamed("component", "_before")
-        changed = not jumped.join(before, "node").filter("component <> _before").isEmpty()
-        labels = jumped
-        if not changed:
+        heard = both.join(labels, both["b"] == labels["node"]).select(F.col("a").alias("node"), "component", F.lit(None).cast("long").alias("was"))
+        known = labels.select("node", "component", F.col("component").alias("was"))
+        lower = stage(known.union(heard).groupBy("node").agg(F.min("component").alias("component"), F.min("was").alias("was")))
+        if lower.filter("component <> was").isEmpty():
             return labels
+        via = lower.select(F.col("node").alias("_via"), F.col("component").alias("_next"))
+        labels = stage(lower.join(via, lower["component"] == via["_via"]).select("node", F.col("_next").alias("component")))

@@ -16,15 +16,17 @@ is under 1e-7 (0.65 ** 40), for similarities of 0.8 and more under 1e-11.
 Candidates. Sets with one block in common form a bucket. First each is compared with the
 leader of its bucket, the first in one of ``ORDERS`` orders, and components are built from
 what is verified. Buckets that then still hold several components are compared member by
-member, by sketches, in cells of a fixed size. A cell gives only pairs that would join
-components not yet joined by its earlier pairs, fewer than it has members. They are
-verified; where one fails, the cells are gone through again without the failed pairs,
-until all that was given is verified. So every pair of a bucket is either in one component,
+member, by sketches, in cells of a fixed size. A cell gives likely pairs only where they
+join components not joined by its earlier ones, fewer than it has members, and the
+doubtful pairs, close to the threshold, of components still apart. They
+are verified; where a likely one fails, the cells are gone through again without the
+failed pairs, until none does. So every pair of a bucket is either in one component,
 ruled out by its sketches, or verified and found different; none is dropped.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,9 +45,11 @@ SHINGLE = 5
 SHARE, SHARE_OF = 75, 100
 BLOCKS = 40
 #: Members of a bucket that are compared in one cell, about.
-CELL = 256
+CELL = 2048
 #: Orders in which the leaders of buckets are chosen.
 ORDERS = 4
+#: A pair is likely where its estimated difference is this part of the largest one, or less.
+LIKELY = 0.95
 #: Bits of a sketch for each shingle, at least: few share a bit, so distances are nearly exact.
 SKETCH_BITS = 8
 #: A set this small is similar to equal sets only.
@@ -153,15 +157,29 @@ def _folded(sketch: int, bits: int, wanted: int) -> int:
     return sketch
 
 
-def may_be_similar(n_a: int, sketch_a: bytes, n_b: int, sketch_b: bytes) -> bool:
-    """False only where sizes or sketches rule a similar pair out."""
+def _number(sketch: bytes) -> tuple[int, int]:
+    return int.from_bytes(sketch, "little"), 8 * len(sketch)
+
+
+def _near(n_a: int, a: tuple[int, int], n_b: int, b: tuple[int, int]) -> int:
+    """0 where sizes or sketches, as numbers and lengths, rule a similar pair out; 2 for a likely one.
+
+    The distance is at most the difference d, and where shingles share bits it is less.
+    A pair whose d, estimated from its distance, is near the largest or above is doubtful: 1.
+    """
     if SHARE_OF * min(n_a, n_b) < SHARE * max(n_a, n_b):
-        return False
-    bits = 8 * min(len(sketch_a), len(sketch_b))
-    a = _folded(int.from_bytes(sketch_a, "little"), 8 * len(sketch_a), bits)
-    b = _folded(int.from_bytes(sketch_b, "little"), 8 * len(sketch_b), bits)
+        return 0
+    bits = min(a[1], b[1])
+    apart = (_folded(*a, bits) ^ _folded(*b, bits)).bit_count()
     # d = a + b - 2i with SHARE_OF * i >= SHARE * (a + b - i).
-    return (a ^ b).bit_count() * (SHARE_OF + SHARE) <= (n_a + n_b) * (SHARE_OF - SHARE)
+    most = (n_a + n_b) * (SHARE_OF - SHARE) / (SHARE_OF + SHARE)
+    if apart > most + 1e-9:
+        return 0
+    return 2 if 2 * apart < bits and -bits / 2 * math.log1p(-2 * apart / bits) <= LIKELY * most else 1
+
+
+def may_be_similar(n_a: int, sketch_a: bytes, n_b: int, sketch_b: bytes) -> bool:
+    return _near(n_a, _number(sketch_a), n_b, _number(sketch_b)) > 0
 
 
 def _describe(df: DataFrame, text: str) -> DataFrame:
@@ -236,12 +254,18 @@ class _Verifier:
         return stage(_keep_pairs(pairs.join(left, "a").join(right, "b"), _similar, ("set_a", "set_b")))
 
 
-def _joining_pairs(members: list[tuple], halves: bool) -> Iterator[tuple[int, int]]:
-    """Pairs of a cell that may be similar and join components not joined so far: a forest.
+def _joining_pairs(members: list[tuple], halves: bool) -> Iterator[tuple[int, int, bool]]:
+    """Pairs of a cell that may be similar and join components not joined so far.
 
-    Members are (set_id, component, own, n_shingles, sketch, avoid). A cell of two ``halves``
-    compares only across them.
+    Members are (set_id, component, own, n_shingles, sketch, avoid). Each component is held
+    against all larger ones, until one likely pair joins the two; most members are in one
+    large component, and are never held against each other. Then the doubtful pairs, close
+    to the threshold, of components that are still apart. A cell of two ``halves`` compares
+    only across them.
     """
+    groups: dict[int, list[tuple]] = {}
+    for name, component, own, n, sketch, avoid in members:
+        groups.setdefault(component, []).append((name, own, n, _number(sketch), avoid))
     parent: dict[int, int] = {}
 
     def root(c: int) -> int:
@@ -249,14 +273,22 @@ def _joining_pairs(members: list[tuple], halves: bool) -> Iterator[tuple[int, in
             parent[c] = c = parent.get(above, above)
         return c
 
-    for i, (a, comp_a, half_a, n_a, sketch_a, avoid_a) in enumerate(members):
-        for b, comp_b, half_b, n_b, sketch_b, avoid_b in members[:i]:
-            one, two = root(comp_a), root(comp_b)
-            if one == two or (halves and half_a == half_b) or b in avoid_a or a in avoid_b:
-                continue
-            if may_be_similar(n_a, sketch_a, n_b, sketch_b):
-                parent[one] = two
-                yield min(a, b), max(a, b)
+    def across(one: int, two: int, least: int) -> Iterator[tuple[int, int]]:
+        for a, half_a, n_a, sketch_a, avoid_a in groups[one]:
+            for b, half_b, n_b, sketch_b, avoid_b in groups[two]:
+                if not (halves and half_a == half_b) and _near(n_a, sketch_a, n_b, sketch_b) >= least:
+                    if b not in avoid_a and a not in avoid_b:
+                        yield min(a, b), max(a, b)
+
+    order = sorted(groups, key=lambda c: (-len(groups[c]), c))
+    apart = [(c, larger) for place, c in enumerate(order) for larger in order[:place]]
+    for component, larger in apart:
+        if root(component) != root(larger) and (pair := next(across(component, larger, 2), None)):
+            parent[root(component)] = root(larger)
+            yield *pair, True
+    for component, larger in apart:
+        if root(component) != root(larger):
+            yield from ((a, b, False) for a, b in across(component, larger, 1))
 
 
 def _compare_cells(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,7 +302,9 @@ def _compare_cells(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> pa.RecordBatch:
         found = list(out)
         out.clear()
-        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        kinds = (pa.int64(), pa.int64(), pa.bool_())
+        columns = [pa.array([p[i] for p in found], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "likely"])
 
     names = ("key", "low", "high", "set_id", "component", "own", "n_shingles", "sketch", "avoid")
     for batch in rows:
@@ -345,16 +379,16 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     found = components(links)
     while True:
         cells = _mixed_cells(members.drop("leader"), held, found, failed)
-        given = stage(cells.mapInArrow(_compare_cells, "a bigint, b bigint").distinct())
+        given = stage(cells.mapInArrow(_compare_cells, "a bigint, b bigint, likely boolean").distinct())
         if given.isEmpty():
             break
         verified = verifier.verify(given)
         links = stage(links.union(verified))
         found = components(links)
         wrong = stage(given.join(verified, ["a", "b"], "left_anti"))
-        if wrong.isEmpty():
+        if wrong.filter("likely").isEmpty():
             break
-        failed = stage(failed.union(wrong))
+        failed = stage(failed.union(wrong.select("a", "b")))
 
     classes = described.filter("n_shingles > 0").groupBy("set_id").agg(F.min("id").alias("least"))
     named = classes.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
