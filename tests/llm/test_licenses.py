@@ -79,5 +79,17 @@ def test_windows_find_all_that_a_full_search_finds():
             assert whole is None or notice.label in labels, (notice, words)
 
 
+def test_inexact_notices_in_a_row_before_an_exact_one():
+    scanner = licenses.Scanner((), licenses.NOTICES)
+    line = "licenced under the apache license version 2 0"
+    exact = line.replace("licenced", "licensed")
+    for lines in ([line] * 5 + [exact], [exact] + [line] * 3, [line, exact, line], [line] * 2 + [exact] * 2 + [line]):
+        found = [(s[0], s[1], s[2], s[3]) for s in scanner.scan("\n".join(lines))[2]]
+        assert found == [("apache", 8 * i, 8, int(x == line)) for i, x in enumerate(lines)], lines
+    # A part of a notice before an exact one does not hide it either.
+    gpl = "licensed under the gnu general public"
+    assert [s[1:4] for s in scanner.scan(f"{gpl} {gpl} license")[2]] == [(6, 7, 0)]
+
+
 def test_empty_table(spark):
     assert licenses.find_notices(documents(spark, ["a"]).limit(0)).count() == 0

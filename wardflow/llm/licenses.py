@@ -8,6 +8,7 @@ with at most k edits around each of them.
 
 from __future__ import annotations
 
+from bisect import bisect
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -71,6 +72,27 @@ def seeds(notice: Notice) -> list[tuple[int, str]]:
     return [(a, notice.words[a:b]) for a, b in zip(edges, edges[1:])]
 
 
+def best_first(pattern, words: str, low: int, high: int) -> list[tuple[int, int, int]]:
+    """``(start, end, edits)`` of matches that do not overlap, in their order.
+
+    Every place is tried, and those with the fewest edits are taken first; what was given up
+    for them may still match in what is left between them.
+    """
+    todo, out = [(low, high)], []
+    while todo:
+        low, high = todo.pop()
+        found = sorted((sum(m.fuzzy_counts), *m.span()) for m in pattern.finditer(words, low, high, overlapped=True))
+        taken: list[tuple[int, int, int]] = []
+        for edits, start, end in found:
+            at = bisect(taken, (start, end, edits))
+            if (at == 0 or taken[at - 1][1] < start) and (at == len(taken) or end < taken[at][0]):
+                taken.insert(at, (start, end, edits))
+        out += taken
+        if len(taken) < len(found):
+            todo += zip([low, *(t[1] for t in taken)], [*(t[0] for t in taken), high])
+    return sorted(out)
+
+
 class Scanner:
     def __init__(self, phrases: Sequence[Notice], notices: Sequence[Notice]):
         import ahocorasick
@@ -87,7 +109,7 @@ class Scanner:
         if places:
             self.automaton.make_automaton()
         self.patterns = [
-            regex.compile(rf"(?<= )(?:{regex.escape(n.words, literal_spaces=True)}){{e<={n.edits}}}(?= )", regex.BESTMATCH)
+            regex.compile(rf"(?<= )(?:{regex.escape(n.words, literal_spaces=True)}){{e<={n.edits}}}(?= )", regex.ENHANCEMATCH)
             for n in self.notices
         ]
 
@@ -129,9 +151,9 @@ class Scanner:
             word, counted = 0, 0
             for low, high in spans:
                 # One space on either side, for the look-around.
-                for m in self.patterns[i].finditer(words, low, min(high + 1, len(words))):
-                    word, counted = word + words.count(" ", counted, m.start()), m.start()
-                    fuzzy.add((notice.label, word - 1, m.group().count(" ") + 1, sum(m.fuzzy_counts), len(notice.words)))
+                for start, end, edits in best_first(self.patterns[i], words, low, min(high + 1, len(words))):
+                    word, counted = word + words.count(" ", counted, start), start
+                    fuzzy.add((notice.label, word - 1, words.count(" ", start, end) + 1, edits, len(notice.words)))
         return len(split), base, sorted(fuzzy, key=lambda s: (s[1], s[2], s[0]))
 
 
