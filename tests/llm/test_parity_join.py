@@ -135,6 +135,16 @@ def test_keep_one_of_each(spark):
     )
 
 
+def test_keep_one_of_each_takes_no_ids_and_equal_ids_for_groups(spark):
+    """Unrelated texts without ids, or with one id, all stay; copies among them do not."""
+    texts = ["a b c d e f", "q w e r t y", "q w e r t y", "Q w e r t y", "one two three four", "five six seven eight", "five six seven Eight", None]
+    df = documents(spark, texts, [None, None, None, None, 5, 5, 6, None])
+    kept = rows(parity_join.keep_one_of_each(df))
+    assert sorted(((r["doc_id"], r["text"].lower() if r["text"] else None) for r in kept), key=str) == sorted(
+        [(None, "a b c d e f"), (None, "q w e r t y"), (5, "one two three four"), (5, "five six seven eight"), (None, None)], key=str
+    )
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 200), (300, 200), (7, 500)] + [(1000, 1000 + i) for i in range(1, 90)]
     random.Random(1).shuffle(edges)

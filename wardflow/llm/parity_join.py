@@ -342,13 +342,14 @@ def _mixed_cells(members: DataFrame, held: DataFrame, found: DataFrame, failed:
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """_key, _check, id, n_shingles and component_id for every row of ``df``.
+    """_key, _check, id, n_shingles, component_id and _component for every row of ``df``.
 
     Words are lower-cased (A-Z) and parted by ASCII white space. A set holds the distinct
     runs of five words, or all words of a shorter text as one; NULL, empty and wordless
     texts have an empty set and are linked with nothing. Rows with equal sets are one
     member of the join. The component is the smallest id that links lead to; ids may
-    repeat or be NULL (a component of NULL ids only is NULL).
+    repeat or be NULL (a component of NULL ids only is NULL). So it does not name one:
+    ``_component`` does, the smallest set of the component, NULL for an empty set.
     """
     ship(df.sparkSession)
     whole = F.col(f"`{text}`").alias("text")
@@ -395,10 +396,10 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
         "component", F.coalesce("component", "set_id")
     )
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_set = stage(named.join(smallest, "component").select("set_id", "component_id"))
+    of_set = stage(named.join(smallest, "component").select("set_id", "component_id", F.col("component").alias("_component")))
     rows = described.select("_key", "_check", "id", "n_shingles", "set_id")
     some = rows.filter("n_shingles > 0").join(of_set, "set_id").drop("set_id")
-    alone = rows.filter("n_shingles = 0").drop("set_id").withColumn("component_id", F.col("id"))
+    alone = rows.filter("n_shingles = 0").drop("set_id").withColumns({"component_id": F.col("id"), "_component": F.lit(None).cast("bigint")})
     return some.unionByName(alone).withColumnRenamed("id", id_column)
 
 
@@ -410,7 +411,7 @@ def keep_one_of_each(df: DataFrame, id_column: str = "doc_id", text: str = "text
     """
     found = stage(near_duplicates(df, id_column, text).filter("n_shingles > 0"))
     name = F.struct(F.col(id_column).isNull(), id_column, "_key", "_check")
-    kept = found.groupBy("component_id").agg(F.min(name).alias("kept")).select("kept._key", "kept._check")
+    kept = found.groupBy("_component").agg(F.min(name).alias("kept")).select("kept._key", "kept._check")
     counted = found.groupBy("_key", "_check").agg((F.count(F.lit(1)) > 1).alias("repeated"))
     # Rows to drop, and kept ones that occur more than once: the few, not the many.
     marked = counted.join(kept.withColumn("kept", F.lit(True)), ["_key", "_check"], "left")
