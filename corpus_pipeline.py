@@ -13,9 +13,14 @@ from wardflow.session import fresh_path
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language can not be told: no letters, or a posterior under one half."""
+    """Drop documents whose language can not be told: no letters, or a posterior under one half.
+
+    Where no row names a language there is nothing to tell it by, and only letterless texts go.
+    """
     model = language.fit(docs)
     packed = docs.select(F.struct("*").alias("doc"), "text")
+    if not model.languages:
+        return language.find_letters(packed).filter("lettered").select("doc.*")
     found = language.identify(packed, model)
     return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).select("doc.*")
 

@@ -58,3 +58,13 @@ def test_awkward_texts_and_tables(spark):
     unlabelled = documents(spark, texts).withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in rows(QUERIES["op10_language"](spark, folder(spark, documents=unlabelled)))} == {"und"}
     assert rows(QUERIES["op10_language"](spark, folder(spark, documents=docs.limit(0)))) == []
+
+
+def test_the_sample_is_drawn_among_rows_without_id_too(spark):
+    """Not all of them or none: the bound holds, and their language is learned."""
+    texts = [f"text number {i}" for i in range(1000)]
+    docs = documents(spark, texts, [*range(500), *[None] * 500], ["en"] * 500 + ["de"] * 500)
+    kept = language.bounded_sample(docs, ["doc_id", "text"], 200)
+    assert 100 <= kept.count() <= 200
+    model = language.fit(docs, most=200)
+    assert model.languages == ["de", "en"] and all(0.25 < p < 0.75 for p in np.exp(model.prior))

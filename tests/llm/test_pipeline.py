@@ -61,3 +61,10 @@ def test_stages_keep_the_columns_and_take_awkward_rows(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, place).count() == 3
     empty = folder(spark, documents=df.limit(0), benchmark=spark.createDataFrame([], "item_id bigint, text string"))
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_documents_without_any_language_are_kept(spark):
+    texts = ["plain words in a line of text", "other words", "été", "123 !?", "", None]
+    df = documents(spark, texts, [1, 2, None, 4, 5, 6], [None] * 6, extra="'mine' AS lettered")
+    kept = corpus_pipeline.keep_known_languages(spark, df, "")
+    assert kept.columns == df.columns and sorted(r["text"] for r in rows(kept)) == sorted(texts[:3])

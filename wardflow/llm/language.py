@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
 from wardflow.llm.batches import add_columns, ship, slices, strings
 
-#: Learned from at most about this many documents, chosen by a hash of their id.
+#: Learned from at most about this many documents, chosen by a hash of their id and text.
 MAX_DOCUMENTS = 20_000
 BUCKET_BITS = 16
 ORDERS = (1, 2, 3)
@@ -32,13 +32,13 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(True))
 
 
-def bounded_sample(df: DataFrame, key: str, most: int) -> DataFrame:
-    """All rows, or about nine tenths of ``most``, chosen by a hash of the key."""
+def bounded_sample(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
+    """All rows, or about nine tenths of ``most``, chosen by a hash of the keys; rows equal in them go together."""
     rows = df.count()
     if rows <= most:
         return df
     steps = 1 << 24
-    return df.filter(F.pmod(F.xxhash64(F.col(key)), F.lit(steps)) < int(0.9 * most / rows * steps))
+    return df.filter(F.pmod(F.xxhash64(*keys), F.lit(steps)) < int(0.9 * most / rows * steps))
 
 
 def buckets(text: str) -> Iterator[np.ndarray]:
@@ -95,7 +95,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "la
     """
     ship(df.sparkSession)
     usable = df.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(label).alias("label"))
-    sample = bounded_sample(usable.filter("text IS NOT NULL AND label IS NOT NULL"), "key", most)
+    sample = bounded_sample(usable.filter("text IS NOT NULL AND label IS NOT NULL"), ["key", "text"], most)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -147,3 +147,12 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
         return work
 
     return add_columns(df, fields, text, start)
+
+
+def find_letters(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with ``lettered``, whether a text holds any letter; false for a NULL text."""
+
+    def work(texts: pa.Array) -> list:
+        return [pa.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], pa.bool_())]
+
+    return add_columns(df, [StructField("lettered", BooleanType())], text, lambda: work)
