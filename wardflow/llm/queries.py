@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import decontaminate, language, licenses, neighbours, parity_join, pii, quality, sentencepieces, sharding, urls
+from wardflow.llm import (
+    decontaminate,
+    language,
+    licenses,
+    neighbours,
+    parity_join,
+    pii,
+    quality,
+    sentencepieces,
+    sharding,
+    token_counts,
+    urls,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,6 +138,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+#: A document with more tokens does not fit the context the registered query asks for.
+TOKEN_LIMIT = 2048
+
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_parity_join": op2_parity_join,
@@ -137,4 +158,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_urls": op9_urls,
     "op10_language": op10_language,
+    "op11_token_counts": op11_token_counts,
 }
