@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm import (
+    alignment,
     decontaminate,
     language,
     licenses,
@@ -147,6 +148,21 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.linked_ids(alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    digested = aligned.select(
+        "doc_id",
+        F.size("a_ids").cast("long").alias("n_a"),
+        F.size("b_ids").cast("long").alias("n_b"),
+        F.size("a_ends").cast("long").alias("n_groups"),
+        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
+        "n_overlaps",
+        "link_a",
+        "link_b",
+    )
+    return alignment.score_links(digested)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_parity_join": op2_parity_join,
@@ -159,4 +175,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_urls": op9_urls,
     "op10_language": op10_language,
     "op11_token_counts": op11_token_counts,
+    "op12_alignment": op12_alignment,
 }
