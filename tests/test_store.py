@@ -64,6 +64,93 @@ def test_partition_replacement_from_threads_in_a_static_session(spark, lake):
         spark.conf.set(setting, before)
 
 
+def test_names_are_matched_without_case(spark, lake):
+    lake.append("t", frame(spark, [(1, "a")], "id int, name string"))
+    lake.append("t", frame(spark, [("b", 2)], "NAME string, ID int"))
+    assert listed(lake.table("t")) == [(1, "a"), (2, "b")] and lake.table("t").columns == ["id", "name"]
+    lake.replace_partitions("p", frame(spark, [(1, "x")], "v int, day string"), ["day"])
+    lake.replace_partitions("p", frame(spark, [("y", 2, 3)], "DAY string, V int, More int"), ["day"], evolve=True)
+    assert listed(lake.table("p"), "v", "more", "day") == [(1, None, "x"), (2, 3, "y")]
+    target = frame(spark, [("a", 1), ("b", 2)])
+    merged = upsert(target, frame(spark, [(5, "a"), (6, "c")], "V int, K string"), ["k"])
+    assert listed(merged) == [("a", 5), ("b", 2), ("c", 6)] and merged.columns == ["k", "v"]
+    assert listed(upsert(target, frame(spark, [(5, "a")], "V int, K string"), ["K"], ["V"])) == [("a", 5), ("b", 2)]
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        twice = spark.range(1).select(F.lit(1).alias("id"), F.lit(2).alias("ID"))
+        for write in (lake.append, conform):
+            with pytest.raises(ValueError, match="differ only in case"):
+                write("t", twice) if write == lake.append else write(twice, lake.table("t").schema)
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", "false")
+
+
+def test_partitions_are_moved_one_by_one_and_stay_whole(spark, lake):
+    """A reader that looks again and again finds each month as it was or as it will be."""
+    rows = spark.range(3000).select("id", (F.col("id") % 3).cast("int").alias("month"))
+    lake.replace_partitions("t", rows.withColumn("load", F.lit(0)), ["month"])
+    seen, stop = [], threading.Event()
+
+    def read():
+        while not stop.is_set():
+            spark.catalog.refreshTable(lake.full_name("t"))
+            seen.extend(listed(spark.table(lake.full_name("t")).groupBy("month").agg(F.count("id"), F.count_distinct("load"))))
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for load in range(1, 5):
+        lake.replace_partitions("t", rows.filter("month > 0").withColumn("load", F.lit(load)), ["month"])
+    stop.set()
+    reader.join()
+    assert len(seen) > 6 and set(seen) == {(m, 1000, 1) for m in range(3)}
+    assert listed(lake.table("t").groupBy("load", "month").count()) == [(0, 0, 1000), (4, 1, 1000), (4, 2, 1000)]
+    # Superseded snapshots go, and of the first one the two months that were replaced.
+    assert lake.drop_old_snapshots("t") == 5 and lake.table("t").count() == 3000
+
+
+def test_a_failed_load_leaves_every_partition(spark, lake):
+    lake.replace_partitions("t", frame(spark, [(1, "d1"), (2, "d2")], "v int, day string"), ["day"])
+    broken = frame(spark, [(1, "d1"), (0, "d2")], "v int, day string").withColumn("v", F.expr("CASE WHEN v = 0 THEN raise_error('x') ELSE 9 END").cast("int"))
+    with pytest.raises(Exception, match="x"):
+        lake.replace_partitions("t", broken, ["day"])
+    assert listed(lake.table("t")) == [(1, "d1"), (2, "d2")]
+
+
+def test_partition_values_of_all_kinds(spark, lake):
+    values = ["01", "a b", "it's", "x=y/z", "50%", "ü+", None]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "v int, p string")
+    lake.replace_partitions("t", rows, ["p"])
+    lake.replace_partitions("t", rows.withColumn("v", F.col("v") + 10), ["p"])
+    assert listed(lake.table("t"), "p", "v") == sorted([(v, i + 10) for i, v in enumerate(values)], key=str)
+    emptied = [{"p": v} for v in values[2:]]
+    lake.replace_partitions("t", rows.filter("p = '01'"), ["p"], emptied=emptied)
+    assert listed(lake.table("t"), "p", "v") == [("01", 0), ("a b", 11)]
+    # What was taken out does not come back with rows that are appended to the same partition.
+    lake.append("t", rows.filter("p IS NULL OR p = '50%'"))
+    assert listed(lake.table("t"), "p", "v") == sorted([("01", 0), ("a b", 11), ("50%", 4), (None, 6)], key=str)
+    lake.drop_old_snapshots("t")
+    assert lake.table("t").count() == 4
+
+
+def test_an_emptied_partition_rewrites_no_other(spark, lake):
+    schema = "k string, v int, month int"
+    upsert_partitions(lake, "f", frame(spark, [("a", 1, 1), ("b", 1, 2), ("c", 1, 3)], schema), ["k"], "month")
+    before = {f for f in lake.table("f").inputFiles() if "month=1" in f}
+    merged = upsert_partitions(lake, "f", frame(spark, [("c", 2, 2)], schema), ["k"], "month")
+    assert listed(merged) == [("a", 1, 1), ("b", 1, 2), ("c", 2, 2)]
+    assert {f for f in merged.inputFiles() if "month=1" in f} == before
+    assert listed(spark.sql(f"SHOW PARTITIONS {lake.full_name('f')}")) == [("month=1",), ("month=2",)]
+
+
+def test_a_partitioned_snapshot_is_published_without_a_gap(spark, lake):
+    rows = spark.range(20).select("id", (F.col("id") % 4).cast("int").alias("p"))
+    lake.overwrite("t", rows, ["p"])
+    entry = spark.sql(f"DESCRIBE TABLE EXTENDED {lake.full_name('t')}").filter("col_name = 'Created Time'").first()
+    lake.overwrite("t", rows.filter("p > 1").withColumn("w", F.lit(1)), ["p"])
+    assert listed(lake.table("t").groupBy("p", "w").count()) == [(2, 1, 5), (3, 1, 5)]
+    assert spark.sql(f"DESCRIBE TABLE EXTENDED {lake.full_name('t')}").filter("col_name = 'Created Time'").first() == entry
+
+
 def test_writers_refuse_or_add_unknown_columns(spark, lake):
     wide = frame(spark, [("b", 2, "x")], "k string, v int, w string")
     for write in (lake.append, lambda n, df, **how: lake.replace_partitions(n, df, ["v"], **how)):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wardflow.operators.cleaning import quoted
 from wardflow.operators.ordering import stage
-from wardflow.sinks.store import TableStore, conform
+from wardflow.sinks.store import TableStore, by_lower_name, conform
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,24 +32,27 @@ def upsert(
     """Insert unseen keys and update known ones.
 
     ``update_when`` may use ``tgt.<column>`` and ``src.<column>``; without it every
-    known key is updated. ``update_columns`` limits what an update changes. Keys
-    must be unique on both sides, which also keeps the full join free of hot keys.
+    known key is updated. ``update_columns`` limits what an update changes. Columns are
+    matched without regard to case and keep the target's spelling. Keys must be unique on both sides, which also keeps the full join free of hot keys.
     Columns that only the source has are added, NULL on rows it does not touch.
     """
-    more = {f.name: F.lit(None).cast(f.dataType) for f in source.schema.fields if f.name not in target.columns}
+    known = by_lower_name(target.columns)
+    more = {f.name: F.lit(None).cast(f.dataType) for f in source.schema.fields if f.name.lower() not in known}
     target = target.withColumns(more) if more else target
     new = conform(source, target.schema)
+    keys = [known[k.lower()] for k in keys]
     left = target.withColumn("_known", F.lit(True)).alias("tgt")
     right = new.withColumn("_arrived", F.lit(True)).alias("src")
     on = reduce(and_, [F.col(f"tgt.{k}").eqNullSafe(F.col(f"src.{k}")) for k in keys])
     both = F.col("tgt._known").isNotNull() & F.col("src._arrived").isNotNull()
     update = both & F.coalesce(update_when, F.lit(False)) if update_when is not None else both
-    changing = set(update_columns if update_columns is not None else [c for c in target.columns if c not in keys])
+    changing = {c.lower() for c in (update_columns if update_columns is not None else target.columns)}
+    changing -= {k.lower() for k in keys} if update_columns is None else set()
     merged = left.join(right, on, "full_outer")
     unseen = F.col("tgt._known").isNull()
 
     def value(name: str) -> Column:
-        from_source = unseen | update if name in changing else unseen
+        from_source = unseen | update if name.lower() in changing else unseen
         return F.when(from_source, F.col(f"src.`{name}`")).otherwise(F.col(f"tgt.`{name}`")).alias(name)
 
     return merged.select(*[value(c) for c in target.columns])
@@ -90,11 +93,10 @@ def upsert_partitions(
         return target
     same = F.col(partition).eqNullSafe(F.col("_touched"))
     merged = stage(upsert(target.join(touched, same, "left_semi"), batch, keys, **rules))
-    if touched.join(merged.select(partition).distinct(), same, "left_anti").isEmpty():
-        return store.replace_partitions(name, merged, [partition])
-    # A partition lost its last row to another one: only a new snapshot can drop it.
-    rest = target.join(touched, same, "left_anti")
-    return store.overwrite(name, rest.unionByName(merged), [partition])
+    # Partitions that lost their last row to another one leave the catalog: one row each.
+    lost = touched.join(merged.select(partition).distinct(), same, "left_anti").select(F.col("_touched").cast("string"))
+    emptied = [{partition: row[0]} for row in lost.collect()]
+    return store.replace_partitions(name, merged, [partition], emptied=emptied)
 
 
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
