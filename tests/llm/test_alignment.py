@@ -140,11 +140,14 @@ def test_query_with_parts_of_every_size(spark, library, monkeypatch, links):
         assert {k: row[k] for k in wanted[0]} == wanted[row["doc_id"]]
 
 
-def test_links_of_given_rows(spark):
-    data = [(1, [5, 5, 7], [2, 2, 2]), (1, [5], [2]), (None, [], []), (4, None, None), (5, [9, 7], [3, 2])]
-    df = spark.createDataFrame(data, "n_best bigint, link_a array<int>, link_b array<int>").selectExpr("*", "n_best AS part")
-    got = sorted(((r["part"] or 0), r["n_links"], r["n_best"], r["count_sum"]) for r in rows(alignment.score_links(df)))
-    assert got == [(0, 0, 0, 0), (1, 1, 1, 3), (1, 3, 2, 8), (4, 0, 0, 0), (5, 2, 1, 3)]
+def test_other_columns_are_kept(spark, library):
+    texts = ["one two", "one two", None, "▁", "three"]
+    df = documents(spark, texts, ids=[1, 1, None, 4, 5], extra="doc_id AS part").withColumn("n_best", F.lit("x"))
+    got = rows(alignment.score_links(df))
+    assert set(got[0]) == {"doc_id", "lang", "source", "n_chars", "part", "n_links", "n_best", "count_sum"}
+    links = sorted((r["part"] or 0, r["n_links"], r["n_best"], r["count_sum"]) for r in got)
+    wanted = [(w["n_links"], w["n_best"], w["count_sum"]) for w in expected(library, texts)]
+    assert links == sorted((i or 0, *w) for i, w in zip([1, 1, None, 4, 5], wanted))
 
 
 def test_null_ids_and_an_empty_table(spark):

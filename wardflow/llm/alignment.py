@@ -16,7 +16,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from wardflow.llm.batches import add_columns, lists, ship, strings
+from wardflow.llm.batches import add_columns, lists, ship, slices, strings
 from wardflow.llm.token_counts import byte_chars
 from wardflow.session import fresh_path
 
@@ -34,10 +35,14 @@ MARK = "▁"
 #: The table of a task starts anew when it holds so many distinct stretches or characters.
 TABLE_STRETCHES = 300_000
 TABLE_CHARS = 10_000_000
+#: Stretches of one call of the first tokenizer.
+ASKED = 1000
 #: Merge steps of a piece.
 PIECE = 1 << 16
 #: Linked token pairs of a part: what one task holds of the documents at a time, beyond one text.
-PART_LINKS = 1_000_000
+PART_LINKS = 500_000
+#: Bytes of texts that are aligned at a time, or one longer text.
+SLICE_BYTES = 500_000
 
 # Unicode's White_Space characters: those the byte-level split calls \s.
 _WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -114,7 +119,7 @@ class Side:
     def add(self, found: list[list[int]]) -> None:
         counts = np.fromiter(map(len, found), np.int64, len(found))
         begins = len(self.ids) + np.cumsum(counts) - counts
-        ids = np.fromiter((i for ids in found for i in ids), np.int32, int(counts.sum()))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
         self.begins, self.counts = np.concatenate((self.begins, begins)), np.concatenate((self.counts, counts))
         self.ids = np.concatenate((self.ids, ids))
 
@@ -175,24 +180,31 @@ class Stretches:
         self.chars = 0
 
     def add(self, stretches: list[str]) -> None:
-        self.side_a.add([e.ids for e in self.a.encode_batch(stretches, add_special_tokens=False)])
+        found_a = []
+        for k in range(0, len(stretches), ASKED):  # the library tells much more of each than its ids
+            found_a += [e.ids for e in self.a.encode_batch_fast(stretches[k : k + ASKED], add_special_tokens=False)]
+        self.side_a.add(found_a)
         spaced = [s[0] == " " for s in stretches]
         asked = [s[1:] if m else "\n" + s for s, m in zip(stretches, spaced)]
         found = self.b.encode(asked, num_threads=1)
         ids_b = [(ids or self.mark) if m else ids[self.lead :] for m, ids in zip(spaced, found)]
         self.side_b.add(ids_b)
-        named = self.bytes_b.__getitem__
-        self.odd.update(s for s, ids in zip(stretches, ids_b) if b"".join(map(named, ids)) != s.encode())
+        told = b"".join(map(self.bytes_b.__getitem__, chain.from_iterable(ids_b)))
+        if told != "".join(stretches).encode():
+            self.odd.update(s for s, ids in zip(stretches, ids_b) if self._bytes(ids) != s.encode())
         self.place.update(zip(stretches, range(len(self.place), len(self.place) + len(stretches))))
         self.chars += sum(map(len, stretches))
 
+    def _bytes(self, ids: list[int]) -> bytes:
+        return b"".join([self.bytes_b[i] for i in ids])
+
     def _is_whole(self, text: str, cut: list[str]) -> bool:
         """Whether the second tokenizer's bytes are those of the text."""
         if self.odd.isdisjoint(cut):
             return True
         at = np.array([self.place[s] for s in cut])
         ids, _ = self.side_b.joined(at, np.array([0, len(cut)]))
-        return b"".join(map(self.bytes_b.__getitem__, ids.tolist())) == text.encode()
+        return self._bytes(ids.tolist()) == text.encode()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both sides, and where each text's ids begin; texts that do not come back have none."""
@@ -200,11 +212,11 @@ class Stretches:
             self.clear()
         marked = [" " + t if t else "" for t in texts]
         cut = [self.stretch.findall(t) for t in marked]
-        self.add(sorted({s for parts in cut for s in parts}.difference(self.place)))
+        self.add(list(dict.fromkeys(chain.from_iterable(cut)).keys() - self.place.keys()))
         if self.odd:
             cut = [parts if self._is_whole(t, parts) else [] for t, parts in zip(marked, cut)]
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter((self.place[s] for parts in cut for s in parts), np.int64, int(counts.sum()))
+        at = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
         edges = np.concatenate(([0], np.cumsum(counts)))
         return *self.side_a.joined(at, edges), *self.side_b.joined(at, edges)
 
@@ -221,6 +233,37 @@ FIELDS = [
 ]
 
 
+class Aligner:
+    """Aligns texts with two tokenizers, a bounded run of them at a time."""
+
+    def __init__(self, models: tuple[str, str]):
+        self.table = Stretches(*models)
+        size = max(len(self.table.side_a.sizes), len(self.table.side_b.sizes))
+        # One list of strings: each id followed by a comma, by a bar and by a semicolon.
+        self.numbers = pa.concat_arrays([_numbers(size, sep) for sep in ",|;"])
+
+    def align(self, texts: pa.Array) -> tuple[list[pa.Array], np.ndarray, np.ndarray]:
+        """Arrays of ``FIELDS``, and of all texts the linked pairs of ids and their number in each."""
+        a, from_a, b, from_b = self.table.encode(strings(texts))
+        ends_a, ends_b = np.cumsum(self.table.side_a.sizes[a]), np.cumsum(self.table.side_b.sizes[b])
+        found = list(merge_ends(ends_a, ends_b)) if len(a) else []
+        nothing = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]
+        place_a, place_b, closes = [np.concatenate(x) for x in zip(*found)] if found else nothing
+        overlaps = np.diff(np.searchsorted(place_a, from_a))
+        last_a, last_b = place_a[closes], place_b[closes]
+        edges = np.searchsorted(last_a, from_a)
+        first_a, first_b = np.repeat(from_a[:-1], np.diff(edges)), np.repeat(from_b[:-1], np.diff(edges))
+        arrays = [
+            lists(a, from_a, pa.int32()),
+            lists(b, from_b, pa.int32()),
+            lists(last_a + 1 - first_a, edges, pa.int32()),
+            lists(last_b + 1 - first_b, edges, pa.int32()),
+            pa.array(overlaps, pa.int64()),
+            _spelled(self.numbers, (a, last_a), (b, last_b), from_a + from_b),
+        ]
+        return arrays, (a[last_a].astype(np.int64) << _HALF) | b[last_b], np.diff(edges)
+
+
 def align(df: DataFrame, text: str = "text", models: tuple[str, str] | None = None) -> DataFrame:
     """``df`` with the ids of both tokenizers and the groups into which shared ends cut them.
 
@@ -236,33 +279,10 @@ def align(df: DataFrame, text: str = "text", models: tuple[str, str] | None = No
     paths = models or default_models()
 
     def start():
-        table = Stretches(*paths)
-        parted = {sep: _numbers(max(len(table.side_a.sizes), len(table.side_b.sizes)), sep) for sep in ",|;"}
-        # One list of strings: each id followed by a comma, by a bar and by a semicolon.
-        numbers = pa.concat_arrays([parted[sep] for sep in ",|;"])
-
-        def work(texts: pa.Array) -> list:
-            a, from_a, b, from_b = table.encode(strings(texts))
-            ends_a, ends_b = np.cumsum(table.side_a.sizes[a]), np.cumsum(table.side_b.sizes[b])
-            found = list(merge_ends(ends_a, ends_b)) if len(a) else []
-            nothing = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)]
-            place_a, place_b, closes = [np.concatenate(x) for x in zip(*found)] if found else nothing
-            overlaps = np.diff(np.searchsorted(place_a, from_a))
-            last_a, last_b = place_a[closes], place_b[closes]
-            edges = np.searchsorted(last_a, from_a)
-            first_a, first_b = np.repeat(from_a[:-1], np.diff(edges)), np.repeat(from_b[:-1], np.diff(edges))
-            return [
-                lists(a, from_a, pa.int32()),
-                lists(b, from_b, pa.int32()),
-                lists(last_a + 1 - first_a, edges, pa.int32()),
-                lists(last_b + 1 - first_b, edges, pa.int32()),
-                pa.array(overlaps, pa.int64()),
-                _spelled(numbers, (a, last_a), (b, last_b), from_a + from_b),
-            ]
-
-        return work
-
-    return add_columns(df, FIELDS, text, start)
+        aligner = Aligner(paths)
+        return lambda texts: aligner.align(texts)[0]
+
+    return add_columns(df, FIELDS, text, start, SLICE_BYTES)
 
 
 def _numbers(size: int, sep: str) -> pa.Array:
@@ -288,22 +308,28 @@ def _spelled(numbers: pa.Array, a: tuple, b: tuple, offsets: np.ndarray) -> pa.A
     return pc.utf8_rtrim(whole, ";").cast(pa.string())
 
 
-def linked_ids(aligned: DataFrame) -> DataFrame:
-    """``aligned`` with ``link_a`` and ``link_b``: the ids of the two tokens that end each group together."""
-
-    def last(ids: str, ends: str):
-        return F.transform(ends, lambda end: F.element_at(ids, end))
+#: From the arrays of ``FIELDS``, those of further columns.
+Summary = Callable[[dict[str, pa.Array]], list[pa.Array]]
 
-    return aligned.withColumns({"link_a": last("a_ids", "a_ends"), "link_b": last("b_ids", "b_ends")})
 
+def score_links(
+    df: DataFrame,
+    text: str = "text",
+    models: tuple[str, str] | None = None,
+    fields: Sequence[StructField] = (),
+    summary: Summary | None = None,
+) -> DataFrame:
+    """How common the links of each text are: ``n_links``, ``n_best`` and ``count_sum``.
 
-def score_links(df: DataFrame) -> DataFrame:
-    """``df`` with ``n_links``, ``n_best`` and ``count_sum`` instead of ``link_a`` and ``link_b``.
+    A link is a pair of tokens, one of each tokenizer, that end together: the last ones
+    of a group of ``align``. The count of a pair of ids is the number of its links in all
+    rows; a link is best where its pair has the highest count of all pairs with the same
+    second id (ties included), and ``count_sum`` adds the counts of a row's links. The
+    other columns of ``df`` are kept, without the text; ``summary`` gives the columns
+    ``fields`` from what ``align`` knows of the rows, in the same task, so that the
+    tokens themselves are neither written nor shuffled.
 
-    The count of a pair of ids is the number of its links in all rows; a link is best
-    where its pair has the highest count of all pairs with the same second id (ties
-    included), and ``count_sum`` adds the counts of a row's links. A row without links,
-    or with NULL for them, has zeros. Each row is counted as it comes, so repeated rows
+    A text without tokens has zeros. Each row is counted as it comes, so repeated rows
     count repeatedly; an empty table gives an empty one; columns of ``df`` with the names
     of the results are replaced.
 
@@ -312,21 +338,24 @@ def score_links(df: DataFrame) -> DataFrame:
     broadcast but the highest count of each second id, as many rows as its vocabulary.
     """
     results = ("n_links", "n_best", "count_sum")
-    kept = [c for c in df.columns if c not in (*results, "link_a", "link_b")]
+    made = [f.name for f in fields]
+    kept = [c for c in df.columns if c not in (*results, *made, text)]
     spark = df.sparkSession
     ship(spark)
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), "link_a", "link_b")
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col(f"`{text}`").alias("text"))
+    known = rows.schema["row"].dataType
+    paths = models or default_models()
     folder = fresh_path(spark, "stage-links")
     packed = StructType(
         [
             StructField("part", LongType(), False),
-            StructField("row", rows.schema["row"].dataType),
+            StructField("row", StructType([*known, *fields])),
             StructField("gaps", ArrayType(IntegerType(), False)),
             StructField("times", ArrayType(IntegerType(), False)),
             StructField("codes", ArrayType(LongType(), False)),
         ]
     )
-    rows.mapInArrow(_pack, packed).write.parquet(folder)
+    rows.mapInArrow(_packer(paths, known.names, made, summary), packed).write.parquet(folder)
 
     def staged() -> DataFrame:
         return spark.read.schema(packed).parquet(folder)
@@ -337,13 +366,14 @@ def score_links(df: DataFrame) -> DataFrame:
     counts = pairs.groupBy("code").agg(F.sum(F.col("times").cast("long")).alias("count"))
     second = F.col("code").bitwiseAND(_LOW)
     highest = counts.groupBy(second.alias("b")).agg(F.max("count").alias("highest"))
-    known = counts.join(F.broadcast(highest), second == F.col("b")).select("code", "count", (F.col("count") == F.col("highest")).alias("best"))
-    answers = pairs.join(known, "code").select("part", "code", "count", "best")
+    ranked = counts.join(F.broadcast(highest), second == F.col("b"))
+    ranked = ranked.select("code", "count", (F.col("count") == F.col("highest")).alias("best"))
+    answers = pairs.join(ranked, "code").select("part", "code", "count", "best")
 
     docs = staged().filter("codes IS NULL").select("part", "row", "gaps", "times")
     out = StructType([docs.schema["row"], *[StructField(name, LongType(), False) for name in results]])
     scored = docs.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(_score, out)
-    return scored.select(*[F.col("row").getField(c).alias(c) for c in kept], *results)
+    return scored.select(*[F.col("row").getField(c).alias(c) for c in (*kept, *made)], *results)
 
 
 #: A pair of ids as one number: the second id in the lower half.
@@ -351,31 +381,30 @@ _HALF = 32
 _LOW = (1 << _HALF) - 1
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packer(models: tuple[str, str], kept: list[str], made: list[str], summary: Summary | None):
     """Rows in parts; a row holds its distinct pairs as places in the sorted pairs of its part."""
-    context = TaskContext.get()
-    part = (context.partitionId() if context else 0) << 32
-    held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
-    links = 0
-    for batch in batches:
-        a, b = (pc.fill_null(batch.column(k), pa.scalar([], pa.list_(pa.int32()))) for k in (1, 2))
-        counts = np.asarray(pc.list_value_length(a), dtype=np.int64)
-        codes = (np.asarray(a.flatten(), dtype=np.int64) << _HALF) | np.asarray(b.flatten(), dtype=np.int64)
-        ends = np.cumsum(counts)
-        row = 0
-        while row < batch.num_rows:
-            # So many rows more that the part holds PART_LINKS links, or one row.
-            room = PART_LINKS - links + (ends[row - 1] if row else 0)
-            to = max(int(np.searchsorted(ends, room, "right")), row + 1)
-            low = ends[row - 1] if row else 0
-            held.append((batch.column(0).slice(row, to - row), counts[row:to], codes[low : ends[to - 1]]))
-            links += int(ends[to - 1] - low)
-            row = to
-            if links >= PART_LINKS:
-                yield from _part(part, held)
-                part, held, links = part + 1, [], 0
-    if held:
-        yield from _part(part, held)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, aligner = TaskContext.get(), None
+        part = (context.partitionId() if context else 0) << 32
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+        links = 0
+        for batch in batches:
+            aligner = aligner or Aligner(models)
+            for piece in slices(batch, 1, SLICE_BYTES):
+                arrays, codes, counts = aligner.align(piece.column(1))
+                more = summary(dict(zip([f.name for f in FIELDS], arrays))) if summary else []
+                row = piece.column(0)
+                row = pa.StructArray.from_arrays([*row.flatten(), *more], names=[*kept, *made])
+                held.append((row, counts, codes))
+                links += len(codes)
+                if links >= PART_LINKS:
+                    yield from _part(part, held)
+                    part, held, links = part + 1, [], 0
+        if held:
+            yield from _part(part, held)
+
+    return pack
 
 
 def _part(part: int, held: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:

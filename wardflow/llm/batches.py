@@ -48,6 +48,7 @@ def add_columns(
     fields: Sequence[StructField],
     text: str,
     start: Callable[[], Callable[[pa.Array], list]],
+    size: int = SLICE_BYTES,
 ) -> DataFrame:
     """``df`` and new columns computed from its text column, slice by slice.
 
@@ -66,7 +67,7 @@ def add_columns(
         work = None
         for batch in batches:
             work = work or start()
-            for part in slices(batch, place):
+            for part in slices(batch, place, size):
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:place], *work(part.column(place))], names=[f.name for f in schema.fields]
                 )
@@ -74,12 +75,12 @@ def add_columns(
     return source.mapInArrow(run, schema)
 
 
-def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows whose texts have ``SLICE_BYTES`` together, or one row."""
+def slices(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts have ``size`` bytes together, or one row."""
     offsets = text_offsets(batch.column(column))
     row, rows = 0, batch.num_rows
     while row < rows:
-        end = int(np.searchsorted(offsets, offsets[row] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
         end = min(max(end, row + 1), rows)
         yield batch.slice(row, end - row)
         row = end

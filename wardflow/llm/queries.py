@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField
 
 from wardflow.llm import (
     alignment,
@@ -149,19 +153,24 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def _alignment_digests(found: dict[str, pa.Array]) -> list[pa.Array]:
+    sizes = [pc.list_value_length(found[c]).cast(pa.int64()) for c in ("a_ids", "b_ids", "a_ends")]
+    digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found["groups"].to_pylist()]
+    return [*sizes, pa.array(digests, pa.string()), found["n_overlaps"]]
+
+
+ALIGNMENT_FIELDS = [
+    StructField("n_a", LongType()),
+    StructField("n_b", LongType()),
+    StructField("n_groups", LongType()),
+    StructField("groups_sha256", StringType()),
+    StructField("n_overlaps", LongType()),
+]
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    aligned = alignment.linked_ids(alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    digested = aligned.select(
-        "doc_id",
-        F.size("a_ids").cast("long").alias("n_a"),
-        F.size("b_ids").cast("long").alias("n_b"),
-        F.size("a_ends").cast("long").alias("n_groups"),
-        F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256"),
-        "n_overlaps",
-        "link_a",
-        "link_b",
-    )
-    return alignment.score_links(digested)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.score_links(docs, fields=ALIGNMENT_FIELDS, summary=_alignment_digests)
 
 
 def damage(rows: DataFrame) -> DataFrame:
