@@ -57,17 +57,23 @@ def outliers(table: str, key: str, col: str) -> str:
         WHERE {col} < q1 - 1.5 * (q3 - q1) OR {col} > q3 + 1.5 * (q3 - q1)"""
 
 
-def load_row(table: str) -> str:
-    cols = [c for c, _ in columns(table)]
+def load_row(table: str, source: str = "", more: tuple[str, ...] = (), rejected: str = "0") -> str:
+    cols = [c for c, _ in columns(table)] + list(more)
     nulls = " + ".join(f"(count(*) - count({c}))" for c in cols)
     return (
         f"SELECT '{table}' AS table_name, count(*) AS row_count, {len(cols)} AS column_count, "
         f"CAST({nulls} AS BIGINT) AS total_null_values, "
         f"round(CAST({nulls} AS DOUBLE) / (count(*) * {len(cols)}) * 100, 2) AS null_percentage, "
-        f"'SUCCESS' AS status FROM raw_{table}"
+        f"'SUCCESS' AS status, CAST({rejected} AS BIGINT) AS rejected_rows FROM {source or f'raw_{table}'}"
     )
 
 
+PENDING_CLAIM = "trim(claim_status) = 'Pending Review'"
+MIXED_CLAIMS = f"""(
+    SELECT * REPLACE (CASE WHEN {PENDING_CLAIM} THEN NULL ELSE approved_amount END AS approved_amount),
+           CASE WHEN {PENDING_CLAIM} THEN visit_id END AS note FROM raw_claim)"""
+
+
 def seeds(*names: str) -> str:
     return ", ".join(f"('{n}', {WATERMARK})" for n in names)
 
@@ -421,15 +427,17 @@ OPERATOR_SQL: dict[str, str] = {
         ]
     ),
     "profile_describe": " UNION ALL ".join(
-        f"SELECT '{name}' AS summary, {text} AS claim_status, "
+        f"SELECT '{name}' AS summary, "
+        + ", ".join(f"{text.format(c)} AS {c}" for c in ("claim_id", "patient_id", "visit_id", "hospital_id", "claim_status"))
+        + ", "
         + ", ".join(f"{r2(f'CAST({number.format(c)} AS DOUBLE)')} AS {c}" for c in ("claim_amount", "approved_amount"))
         + " FROM raw_claim"
         for name, text, number in (
-            ("count", "CAST(count(claim_status) AS VARCHAR)", "count({})"),
+            ("count", "CAST(count({}) AS VARCHAR)", "count({})"),
             ("mean", "CAST(NULL AS VARCHAR)", "avg({})"),
             ("stddev", "CAST(NULL AS VARCHAR)", "stddev_samp({})"),
-            ("min", "min(claim_status)", "min({})"),
-            ("max", "max(claim_status)", "max({})"),
+            ("min", "min({})", "min({})"),
+            ("max", "max({})", "max({})"),
         )
     ),
     "profile_nulls": " UNION ALL ".join(
@@ -449,7 +457,17 @@ OPERATOR_SQL: dict[str, str] = {
                  AS wrong_prefix,
                CAST(phone IS NOT NULL AND count(*) OVER (PARTITION BY phone) > 1 AS INTEGER) AS shared_phone
         FROM raw_patient""",
-    "load_metrics": " UNION ALL ".join(load_row(t) for t in ("patient", "claim", "visit")),
+    "load_by_name": f"SELECT *, 'run-1' AS pipeline_run_id FROM {MIXED_CLAIMS}",
+    "load_rejects": f"""
+        SELECT claim_id || ',none' AS raw_row, CAST(1 AS INTEGER) AS parsed_values, 'run-1' AS pipeline_run_id, {AS_OF} AS ingestion_date
+        FROM raw_claim WHERE {PENDING_CLAIM}""",
+    "load_metrics": " UNION ALL ".join(
+        [
+            load_row("patient"),
+            load_row("visit"),
+            load_row("claim", MIXED_CLAIMS, ("note",), f"count(*) FILTER ({PENDING_CLAIM})"),
+        ]
+    ),
     "load_metrics_history": " UNION ALL ".join(
         f"SELECT '{run}' AS pipeline_run_id, {day} AS load_date, * FROM ({load_row(t)})"
         for run, day in (("run-1", "DATE '1998-01-01'"), ("run-2", "DATE '2000-01-01'"))

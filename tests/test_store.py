@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import threading
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -319,6 +320,82 @@ def test_bronze_spellings_subfolders_new_columns_and_any_error(spark, lake, monk
     assert got == {"claim": "FAILED", "other": "SUCCESS"}
 
 
+def text_files(folder, **lines):
+    """Files of given lines; a double underscore in a name parts folder and file."""
+    for name, content in lines.items():
+        path = Path(folder, f"{name.replace('__', '/')}.csv")
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("".join(f"{line}\n" for line in content))
+
+
+def loaded(spark, lake, folder, run="r1", day="2024-01-01", schemas=None):
+    return {r.table_name.split(".")[-1]: r for r in bronze.ingest_folder(lake, folder, run, day, schemas).collect()}
+
+
+def test_files_are_read_by_their_own_headers(spark, lake):
+    folder = f"{lake.root}/in"
+    text_files(
+        folder,
+        t=["id,name", "1,a"],
+        sub__T=["NAME,Id", "b,2", "c,3"],
+        x__t=["id", "4"],
+        y__t=["note,name,ID", "n,d,5"],
+        z__t=["", "  ", "id,name", "", "6,f"],
+        q__t=[],
+    )
+    got = loaded(spark, lake, folder)["t"]
+    assert (got.status, got.row_count, got.column_count, got.rejected_rows) == ("SUCCESS", 6, 3, 0)
+    rows = [(1, "a", None), (2, "b", None), (3, "c", None), (4, None, None), (5, "d", "n"), (6, "f", None)]
+    assert listed(lake.table("t"), "id", "name", "note") == rows and got.total_null_values == 6
+    assert dict(lake.table("t").dtypes)["Id"] == "int"  # spelled as in the first file
+    # A second day with another spelling is stored, and its NULLs are those of the table.
+    later = f"{lake.root}/in2"
+    text_files(later, t=["ID,Name", "7,g", "8,"])
+    got = loaded(spark, lake, later, "r2", "2024-01-02")["t"]
+    assert (got.status, got.row_count, got.total_null_values) == ("SUCCESS", 2, 1)
+    assert listed(lake.table("t").filter("pipeline_run_id = 'r2'"), "id", "name") == [(7, "g"), (8, None)]
+
+
+def test_types_of_several_headers_are_brought_together(spark, lake):
+    folder = f"{lake.root}/in"
+    text_files(folder, t=["a,b,c", "1,2,3"], u__t=["b,a,c", "2.5,x,3000000000"])
+    assert loaded(spark, lake, folder)["t"].status == "SUCCESS"
+    assert [dict(lake.table("t").dtypes)[c] for c in "abc"] == ["string", "double", "bigint"]
+    assert listed(lake.table("t"), "a", "b", "c") == [("1", 2.0, 3), ("x", 2.5, 3000000000)]
+
+
+def test_rows_that_do_not_fit_are_set_aside_and_counted(spark, lake):
+    folder, schemas = f"{lake.root}/in", {"t": "id int, day date"}
+    text_files(folder, t=["day,id", "2024-01-01,1", "never,2", "2024-01-02", "2024-01-03,3,4"], ok__u=["k", "1"])
+    got = loaded(spark, lake, folder, schemas=schemas)
+    assert (got["t"].row_count, got["t"].rejected_rows, got["t"].status) == (1, 3, "SUCCESS")
+    assert (got["u"].row_count, got["u"].rejected_rows) == (1, 0) and not lake.exists("u_rejects")
+    rejects = lake.table("t_rejects")
+    assert listed(rejects, "raw_row", "pipeline_run_id") == [("2024-01-02", "r1"), ("2024-01-03,3,4", "r1"), ("never,2", "r1")]
+    assert all(r.source_file_path.endswith("/t.csv") for r in rejects.collect())
+    # Loading the day again replaces its rejects; without any, they are taken out.
+    loaded(spark, lake, folder, "r2", schemas=schemas)
+    assert listed(lake.table("t_rejects").groupBy("pipeline_run_id").count()) == [("r2", 3)]
+    better = f"{lake.root}/in2"
+    text_files(better, t=["id,day", "9,2024-02-01"])
+    loaded(spark, lake, better, "r3", schemas=schemas)
+    assert lake.table("t_rejects").count() == 0 and listed(lake.table("t"), "id", "pipeline_run_id") == [(9, "r3")]
+    # A day that comes without rows holds none, and other days stay.
+    nothing = f"{lake.root}/in3"
+    text_files(nothing, t=["id,day"])
+    loaded(spark, lake, folder, "r4", "2024-01-05", schemas)
+    assert loaded(spark, lake, nothing, "r5", schemas=schemas)["t"].row_count == 0
+    assert listed(lake.table("t"), "id", "pipeline_run_id") == [(1, "r4")]
+
+
+def test_a_name_twice_in_a_header_fails_its_table_alone(spark, lake):
+    folder = f"{lake.root}/in"
+    text_files(folder, t=["id,ID", "1,2"], u=["id", "3"], v=['"a,b",c', "4,5"])
+    got = loaded(spark, lake, folder)
+    assert got["t"].status == "FAILED" and "twice" in got["t"].error_message
+    assert got["u"].status == "SUCCESS" and listed(lake.table("v"), "`a,b`", "c") == [(4, 5)]
+
+
 def test_steps_go_on_after_any_error(spark, lake):
     steps = {"missing": lambda: {}["visit_silver"], "broken": lambda: 1 // 0, "fine": lambda: None}
     assert listed(warehouse.run_steps(lake, steps, "2024-01-01"), "step", "status") == [

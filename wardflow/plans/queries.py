@@ -892,10 +892,10 @@ register("profile_columns", lambda d: profile.column_profile(d.raw("patient")))
 
 @query
 def profile_describe(d: Data) -> DataFrame:
-    """The described numbers, rounded, beside the text columns."""
+    """Every described column; the numbers are rounded."""
     told = profile.describe(d.raw("claim"))
     amounts = {c: e.round2(F.col(c).cast("double")) for c in ("claim_amount", "approved_amount")}
-    return told.select("summary", "claim_status", *[value.alias(c) for c, value in amounts.items()])
+    return told.withColumns(amounts)
 
 
 register(
@@ -907,16 +907,51 @@ register(
     lambda d: profile.phone_findings(d.raw("patient").select("patient_id", "phone", "emergency_contact")),
 )
 
-LOAD_COLUMNS = ("table_name", "row_count", "column_count", "total_null_values", "null_percentage", "status")
+LOAD_COLUMNS = ("table_name", "row_count", "column_count", "total_null_values", "null_percentage", "status", "rejected_rows")
 
 
 def _short_names(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("table_name", F.element_at(F.split("table_name", r"\."), -1))
 
 
+def mixed_claims(d: Data, folder: str | None = None) -> str:
+    """Claims as four sources of one table: turned and other-case columns, missing and new ones, and odd rows."""
+    folder = folder or session.fresh_path(d.spark, "csv")
+    claims, status = d.raw("claim"), F.trim("claim_status")
+    turned = claims.filter(status == "Rejected")
+    late = claims.filter(status == facts.PENDING).drop("approved_amount").withColumn("note", F.col("visit_id"))
+    odd = claims.filter(status == facts.PENDING).select("claim_id", F.lit("none").alias("claim_amount"))
+    sources = {
+        "claim.csv": claims.filter(status == "Approved"),
+        "a/CLAIM.csv": turned.select(*[F.col(c).alias(c.upper()) for c in reversed(turned.columns)]),
+        "b/Claim.csv": late,
+        "c/claim.csv": odd,
+    }
+    for name, rows_of in sources.items():
+        write = rows_of.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        write.option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
+    return folder
+
+
+@query
+def load_by_name(d: Data) -> DataFrame:
+    """Claims loaded from sources whose headers differ."""
+    lake = d.new_store()
+    bronze.ingest_folder(lake, mixed_claims(d), "run-1", AS_OF, domain.SCHEMAS)
+    return lake.table("claim").select(*d.raw("claim").columns, "note", "pipeline_run_id")
+
+
+@query
+def load_rejects(d: Data) -> DataFrame:
+    """The raw lines that did not fit their table."""
+    lake = d.new_store()
+    bronze.ingest_folder(lake, mixed_claims(d), "run-1", AS_OF, domain.SCHEMAS)
+    return lake.table(bronze.rejects_table("claim")).select("raw_row", "parsed_values", "pipeline_run_id", "ingestion_date")
+
+
 @query
 def load_metrics(d: Data) -> DataFrame:
-    folder = d.csv_folder("patient", "claim", "visit")
+    folder = mixed_claims(d, d.csv_folder("patient", "visit"))
     measured = bronze.ingest_folder(d.new_store(), folder, "run-1", AS_OF, domain.SCHEMAS)
     return _short_names(measured).select(*LOAD_COLUMNS)
 

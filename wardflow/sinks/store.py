@@ -226,7 +226,14 @@ class TableStore:
         # hold files of partitions that were replaced or taken out.
         self._set_location(self.full_name(name), folder)
         self._publish(name, folder, partition_by, fitting.schema)
-        self._drop_partitions(name, [{c: None if v is None else str(v) for c, v in spec.items()} for spec in emptied])
+        self._drop_partitions(name, [_as_spec(spec) for spec in emptied])
+        self.spark.catalog.refreshTable(self.full_name(name))
+        return self.table(name)
+
+    def drop_partitions(self, name: str, emptied: Sequence[Mapping[str, object]]) -> DataFrame:
+        """Take partitions out of the table, given by partition columns and values; no file is rewritten."""
+        self._set_location(self.full_name(name), self._new_folder(name))
+        self._drop_partitions(name, [_as_spec(spec) for spec in emptied])
         self.spark.catalog.refreshTable(self.full_name(name))
         return self.table(name)
 
@@ -252,6 +259,10 @@ def _partitions_last(schema: T.StructType, partition_by: Sequence[str]) -> list[
     return [*own, *[schema[c] for c in partition_by]]
 
 
+def _as_spec(values: Mapping[str, object]) -> dict[str, str | None]:
+    return {column: None if value is None else str(value) for column, value in values.items()}
+
+
 def partition_of(place: str, depth: int) -> dict[str, str | None]:
     """Partition columns and values of a folder; its last ``depth`` names are ``column=value``."""
     named = [unquote(part).partition("=") for part in unquote(place).rstrip("/").split("/")[-depth:]]
