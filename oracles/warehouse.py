@@ -226,4 +226,4 @@ WAREHOUSE_SQL: dict[str, str] = {
         WHERE t.transaction_date > {WATERMARK}""",
 }
 # The second load leaves what one load of complete dimensions gives.
-WAREHOUSE_SQL["fact_visits_two_loads"] = WAREHOUSE_SQL["fact_visits"]
+WAREHOUSE_SQL |= {f"{name}_two_loads": WAREHOUSE_SQL[name] for name in ("fact_visits", "fact_claims", "fact_pharmacy")}

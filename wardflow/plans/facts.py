@@ -6,7 +6,8 @@ changes nothing. ``silver`` and ``dims`` map table names to DataFrames.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import datetime as dt
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions.expressions import Clock, as_timestamp, date_key, earliest, flag, latest
+from wardflow.operators import ledger
 from wardflow.operators.joins import current_members, flag_existing, join_feeder, members_as_of
 from wardflow.operators.ordering import stage
 from wardflow.operators.watermark import after_watermark
@@ -45,10 +47,18 @@ CLAIM_DECISION_COLUMNS = (
     "hospital_key",
 )
 
-# Members whose rows may arrive after a fact that refers to them.
-VISIT_MEMBERS = ("patient_key", "hospital_key", "doctor_key", "department_key", "diagnosis_key")
-CLAIM_MEMBERS = ("patient_key", "hospital_key")
-MOVE_MEMBERS = ("drug_key", "hospital_key")
+# Members whose rows may arrive after a fact that refers to them: key and natural id.
+VISIT_MEMBERS = {
+    "patient_key": "patient_id",
+    "hospital_key": "hospital_id",
+    "doctor_key": "doctor_id",
+    "department_key": "department_id",
+    "diagnosis_key": "diagnosis_code",
+}
+CLAIM_MEMBERS = {"patient_key": "patient_id", "hospital_key": "hospital_id"}
+MOVE_MEMBERS = {"drug_key": "drug_id", "hospital_key": "hospital_id"}
+#: What an undecided claim waits for.
+DECISION = "decision"
 
 
 def _member(df: DataFrame, dims: Tables, name: str, date_column: str, mode: str, *extra: str) -> DataFrame:
@@ -61,26 +71,39 @@ def _member(df: DataFrame, dims: Tables, name: str, date_column: str, mode: str,
     return found.withColumn(surrogate, F.coalesce(surrogate, F.lit(UNKNOWN_MEMBER)).cast("long"))
 
 
-def _unknown(members: Sequence[str], prefix: str = "") -> Column:
+def _unknown(members: Iterable[str], prefix: str = "") -> Column:
     return reduce(or_, [F.col(f"{prefix}{m}") == UNKNOWN_MEMBER for m in members])
 
 
-def unresolved(fact: DataFrame, key: str, members: Sequence[str]) -> DataFrame:
+def unresolved(fact: DataFrame, key: str, members: Iterable[str]) -> DataFrame:
     """Ids of loaded rows that still refer to an unknown member."""
     return fact.filter(_unknown(members)).select(key)
 
 
-def to_load(rows: DataFrame, recent: Column, key: str, retry: DataFrame | None) -> DataFrame:
-    """Rows after the watermark, and with ``_retry`` older ones whose ids are to be tried again; staged once."""
+def to_load(
+    rows: DataFrame, recent: Column, key: str, date_column: str, retry: DataFrame | None, again: ledger.Again | None
+) -> DataFrame:
+    """Rows after the watermark and older ones to load once more; staged once.
+
+    ``again`` comes from a ledger: something of these rows has arrived, and their dates
+    prune the source. ``retry`` holds ids whose rows, with ``_retry``, are merely tried.
+    """
     recent = F.coalesce(recent, F.lit(False))
     batch = rows.filter(recent).withColumn("_retry", F.lit(False))
+    if again is not None:
+        batch = batch.unionByName(again.of(rows.filter(~recent), key, date_column).withColumn("_retry", F.lit(False)))
     if retry is not None:
-        again = rows.filter(~recent).join(retry, key, "left_semi").withColumn("_retry", F.lit(True))
-        batch = batch.unionByName(again)
+        tried = rows.filter(~recent).join(retry, key, "left_semi").withColumn("_retry", F.lit(True))
+        batch = batch.unionByName(tried)
     return stage(batch)
 
 
-def _worth_merging(df: DataFrame, members: Sequence[str]) -> DataFrame:
+def _members_waited_for(members: Mapping[str, str]) -> Column:
+    """What a row waits for, from surrogate key column -> natural id column."""
+    return ledger.waiting({name: (F.col(name) == UNKNOWN_MEMBER, F.col(natural)) for name, natural in members.items()})
+
+
+def _worth_merging(df: DataFrame, members: Iterable[str]) -> DataFrame:
     """Without rows that were tried again and still refer to an unknown member."""
     return df.filter(~(F.col("_retry") & _unknown(members)))
 
@@ -102,16 +125,19 @@ def fact_visits(
     mode: str = "current",
     lookback_days: int = 0,
     target: DataFrame | None = None,
+    again: ledger.Again | None = None,
+    with_waits: bool = False,
 ) -> DataFrame:
     """Visits after the watermark with dimension keys and visit measures.
 
     ``dims`` needs patient, hospital, doctor, department (type 2) and diagnosis (type 1).
-    A member that is not there yet gets the key -1; given the loaded fact as ``target``,
-    its visits with such a key are tried again.
+    A member that is not there yet gets the key -1. ``again`` names older visits of which
+    a member has arrived; without a ledger, given the loaded fact as ``target``, its visits
+    with such a key are tried again. ``with_waits`` adds what each visit still waits for.
     """
     retry = None if target is None else unresolved(target, "visit_id", VISIT_MEMBERS)
     recent = after_watermark("visit_date", watermark, lookback_days=lookback_days)
-    batch = to_load(silver["visit"], recent, "visit_id", retry)
+    batch = to_load(silver["visit"], recent, "visit_id", "visit_date", retry, again)
     visits = batch
     for name in ("patient", "hospital", "doctor", "department"):
         visits = _member(visits, dims, name, "visit_date", mode)
@@ -159,11 +185,16 @@ def fact_visits(
         "referral_reason",
         "visit_date",
         as_timestamp(as_of).alias("dwh_loaded_at"),
+        *([_members_waited_for(VISIT_MEMBERS)] if with_waits else []),
     )
 
 
 def claims_to_stage(
-    claims: DataFrame, watermark: Clock, again: DataFrame | None = None, lookback_days: int = 0
+    claims: DataFrame,
+    watermark: Clock,
+    retry: DataFrame | None = None,
+    lookback_days: int = 0,
+    again: ledger.Again | None = None,
 ) -> DataFrame:
     """New and undecided claims, and older ones that the target holds undecided or without a member.
 
@@ -171,7 +202,8 @@ def claims_to_stage(
     semi join, so a decision or a member that arrives late is always picked up.
     """
     pending = F.col("claim_status") == PENDING
-    return to_load(claims, after_watermark("claim_date", watermark, pending, lookback_days), "claim_id", again)
+    recent = after_watermark("claim_date", watermark, pending, lookback_days)
+    return to_load(claims, recent, "claim_id", "claim_date", retry, again)
 
 
 def undecided(fact: DataFrame) -> DataFrame:
@@ -187,16 +219,21 @@ def fact_claims(
     target: DataFrame | None = None,
     mode: str = "current",
     lookback_days: int = 0,
+    again: ledger.Again | None = None,
+    with_waits: bool = False,
 ) -> DataFrame:
     """Claims to merge, one row per claim, with ``claim_date`` for the watermark.
 
     ``dims`` needs patient, hospital, drug (type 2) and claim_status (type 1). An unknown
-    patient or hospital gets the key -1 until it arrives.
+    patient or hospital gets the key -1 until it arrives. ``again`` names older claims of
+    which a decision or a member has arrived; without a ledger, given the loaded fact as
+    ``target``, its undecided claims and those with the key -1 are tried again.
+    ``with_waits`` adds what each claim still waits for.
     """
-    again = None
+    retry = None
     if target is not None:
-        again = undecided(target).union(unresolved(target, "claim_id", CLAIM_MEMBERS)).distinct()
-    batch = claims_to_stage(silver["claim"], watermark, again, lookback_days)
+        retry = undecided(target).union(unresolved(target, "claim_id", CLAIM_MEMBERS)).distinct()
+    batch = claims_to_stage(silver["claim"], watermark, retry, lookback_days, again)
     claims = batch
     for name in ("patient", "hospital"):
         claims = _member(claims, dims, name, "claim_date", mode)
@@ -257,6 +294,9 @@ def fact_claims(
     )
     moment = as_timestamp(as_of)
     gap = F.col("claim_amount") - F.coalesce("approved_amount", F.lit(0.0))
+    open_ = F.col("approved_amount").isNull() & F.col("approval_date").isNull()
+    wanted = {name: (F.col(name) == UNKNOWN_MEMBER, F.col(natural)) for name, natural in CLAIM_MEMBERS.items()}
+    waits = ledger.waiting({**wanted, DECISION: (open_, F.col("claim_id"))})
     return joined.select(
         "claim_id",
         "visit_id",
@@ -275,14 +315,24 @@ def fact_claims(
         moment.alias("dwh_loaded_at"),
         moment.alias("dwh_updated_at"),
         "claim_date",
+        *([waits] if with_waits else []),
     )
 
 
+def decided_claims(silver: Tables, days: tuple[dt.date, dt.date]) -> DataFrame:
+    """Ids of the claims of some days that have a decision, as ``wanted_id``."""
+    near = silver["claim"].filter(F.col("claim_date").between(*map(F.lit, days)))
+    reviewed = silver["claim_approval"].filter("approval_date IS NOT NULL").select("claim_id").distinct()
+    decided = near.filter("approved_amount IS NOT NULL").select("claim_id")
+    return decided.unionByName(near.select("claim_id").join(reviewed, "claim_id", "left_semi")).select(F.col("claim_id").alias("wanted_id"))
+
+
 def claim_update_rule():
     """A loaded claim changes only when a decision or a member arrives that it did not have."""
     waiting = F.col("tgt.approved_amount").isNull() & F.col("tgt.days_to_decision").isNull()
     decided = F.col("src.approved_amount").isNotNull() | F.col("src.days_to_decision").isNotNull()
-    return {"update_columns": CLAIM_DECISION_COLUMNS, "update_when": (waiting & decided) | (_unknown(CLAIM_MEMBERS, "tgt.") & ~_unknown(CLAIM_MEMBERS, "src."))}
+    found = [(F.col(f"tgt.{m}") == UNKNOWN_MEMBER) & (F.col(f"src.{m}") != UNKNOWN_MEMBER) for m in CLAIM_MEMBERS]
+    return {"update_columns": CLAIM_DECISION_COLUMNS, "update_when": (waiting & decided) | reduce(or_, found)}
 
 
 def fact_pharmacy(
@@ -293,15 +343,19 @@ def fact_pharmacy(
     mode: str = "current",
     lookback_days: int = 0,
     target: DataFrame | None = None,
+    again: ledger.Again | None = None,
+    with_waits: bool = False,
 ) -> DataFrame:
     """Drug movements after the watermark with stock, expiry and prescription flags.
 
-    ``dims`` needs drug and hospital (type 2); unknown members get the key -1 and, given
-    the loaded fact as ``target``, are tried again.
+    ``dims`` needs drug and hospital (type 2); unknown members get the key -1. ``again``
+    names older movements of which a member has arrived; without a ledger, given the
+    loaded fact as ``target``, those with the key -1 are tried again. ``with_waits`` adds
+    what each movement still waits for.
     """
     retry = None if target is None else unresolved(target, "transaction_id", MOVE_MEMBERS)
     recent = after_watermark("transaction_date", watermark, lookback_days=lookback_days)
-    batch = to_load(silver["drug_transaction"], recent, "transaction_id", retry)
+    batch = to_load(silver["drug_transaction"], recent, "transaction_id", "transaction_date", retry, again)
     moves = batch
     for name in ("drug", "hospital"):
         moves = _member(moves, dims, name, "transaction_date", mode)
@@ -343,4 +397,5 @@ def fact_pharmacy(
         flag((kind == "Dispensing") & (F.col("prescribed") == 0)).alias("no_prescription_flag"),
         "performed_by",
         as_timestamp(as_of).alias("dwh_loaded_at"),
+        *([_members_waited_for(MOVE_MEMBERS)] if with_waits else []),
     )

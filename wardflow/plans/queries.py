@@ -22,7 +22,7 @@ from wardflow.operators import cleaning as c
 from wardflow.operators import joins as j
 from wardflow.operators import ordering, profile, quality, scd, upsert
 from wardflow.operators import watermark as wm
-from wardflow.plans import bronze, dimensions, facts, marts
+from wardflow.plans import bronze, dimensions, facts, marts, warehouse
 from wardflow.plans.marts import common, operational
 from wardflow.plans.silver import RECIPES, clean_table
 from wardflow.sinks import store as sinks
@@ -718,23 +718,59 @@ def fact_visits(d: Data) -> DataFrame:
     return fact.withColumn("feedback_rating", e.round2("feedback_rating"))
 
 
+def _loaded_twice(
+    d: Data, name: str, dims: dict[str, DataFrame], late: tuple[str, ...], past: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """A fact after two loads; a third of the members of some dimensions, and what ``past`` lacks, come between them.
+
+    What came is found by the ledger that the first load leaves.
+    """
+    lake, early, later = d.new_store(), dict(dims), dict(dims)
+    for dim in late:
+        comes = F.col(f"{dim}_key") % 3 == 0
+        early[dim] = dims[dim].filter(~comes)
+        created = F.when(comes, F.lit(AS_OF).cast("timestamp")).otherwise(F.col("dwh_created_at"))
+        later[dim] = dims[dim].withColumn("dwh_created_at", created)
+    warehouse.load_fact(lake, name, past or d, early, WATERMARK, SECOND_LOAD, keys_may_move=False)
+    warehouse.load_fact(lake, name, d, later, AS_OF, AS_OF, keys_may_move=False)
+    return lake.table(name).drop("dwh_loaded_at", "dwh_updated_at", "month_key")
+
+
 @query
 def fact_visits_two_loads(d: Data) -> DataFrame:
     """A doctor and a department come after their first visits: those are loaded, then mended by the next load."""
     dims = first_load(d, "patient", "hospital", "department", "doctor")
     dims["diagnosis"] = dimensions.dim_diagnosis(d["diagnosis"], AS_OF)
-    early = dict(dims)
-    for name in ("department", "doctor"):
-        early[name] = dims[name].filter(F.col(f"{name}_key") % 3 > 0)
-    lake, month = d.new_store(), F.floor(F.col("date_key") / 100).cast("int")
-    for members, since, known in ((early, WATERMARK, False), (dims, SECOND_LOAD, True)):
-        target = lake.table("fact_visits") if known else None
-        batch = facts.fact_visits(d, members, since, AS_OF, target=target).withColumn("month_key", month)
-        upsert.upsert_partitions(lake, "fact_visits", batch, ["visit_id"], "month_key", keys_may_move=False)
-    fact = lake.table("fact_visits").drop("dwh_loaded_at", "month_key")
+    fact = _loaded_twice(d, "fact_visits", dims, ("department", "doctor"))
     return fact.withColumn("feedback_rating", e.round2("feedback_rating"))
 
 
+@query
+def fact_claims_two_loads(d: Data) -> DataFrame:
+    """Patients come after their claims, and decisions too: the next load mends what waits for them."""
+    dims, reviews = claim_dims(d), d["claim_approval"]
+    known = F.coalesce(F.col("approval_date") <= F.lit(CLAIMS_KNOWN_AT), F.lit(True))
+    waits = reviews.filter(~known).select("claim_id", F.lit(True).alias("waits")).distinct()
+    claims = d["claim"].join(waits, "claim_id", "left")
+    claims = claims.withColumns(
+        {
+            "claim_status": F.when(F.col("waits"), facts.PENDING).otherwise(F.col("claim_status")),
+            "approved_amount": F.when(F.col("waits").isNull(), F.col("approved_amount")),
+        }
+    )
+    past = ChainMap({"claim": claims.drop("waits"), "claim_approval": reviews.filter(known)}, d)
+    fact = _loaded_twice(d, "fact_claims", dims, ("patient", "hospital"), past)
+    return fact.withColumn("approval_gap", e.round2("approval_gap"))
+
+
+@query
+def fact_pharmacy_two_loads(d: Data) -> DataFrame:
+    """A third of the drugs come after their first movements."""
+    dims = first_load(d, "drug", "hospital")
+    fact = _loaded_twice(d, "fact_pharmacy", dims, ("drug", "hospital"))
+    return fact.withColumn("total_value", e.round2("total_value"))
+
+
 def claim_dims(d: Data) -> dict[str, DataFrame]:
     dims = first_load(d, "patient", "hospital", "drug")
     dims["claim_status"] = dimensions.dim_claim_status(d["claim_approval"], AS_OF)

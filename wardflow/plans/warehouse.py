@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.functions.expressions import Clock
+from wardflow.operators import ledger as lg
 from wardflow.operators import watermark as wm
 from wardflow.operators.ordering import stage
 from wardflow.operators.upsert import upsert_partitions
@@ -82,45 +84,96 @@ def dimension_tables(store: TableStore) -> dict[str, DataFrame]:
     return {name: store.table(f"dim_{name}") for name in names}
 
 
-def load_facts(store: TableStore, as_of: Clock, mode: str = "current", lookback_days: int = 0) -> DataFrame:
+@dataclass(frozen=True)
+class FactLoad:
+    """How one fact is loaded: its staging query, key, date and merge rules, and its members."""
+
+    build: Callable[..., DataFrame]
+    key: str
+    date_column: str
+    members: Mapping[str, str]
+    schema: str | None = None
+    rules: Callable[[], dict] = dict
+
+
+FACTS = {
+    "fact_claims": FactLoad(f.fact_claims, "claim_id", "claim_date", f.CLAIM_MEMBERS, f.FACT_CLAIMS, f.claim_update_rule),
+    "fact_visits": FactLoad(f.fact_visits, "visit_id", "visit_date", f.VISIT_MEMBERS),
+    "fact_pharmacy": FactLoad(f.fact_pharmacy, "transaction_id", "transaction_date", f.MOVE_MEMBERS),
+}
+
+
+def ledger_table(fact: str) -> str:
+    return f"{fact}_waiting"
+
+
+def load_fact(
+    store: TableStore,
+    name: str,
+    silver: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame],
+    since: Clock,
+    as_of: Clock,
+    mode: str = "current",
+    lookback_days: int = 0,
+    forget_after_days: int | None = None,
+    keys_may_move: bool = True,
+) -> DataFrame:
+    """Merge new rows, and those of which something has arrived, into one fact; returns the batch.
+
+    A row whose member, or a claim whose decision, is missing is noted in the fact's
+    ledger. The next load compares that small table with the members created since, and
+    loads only the rows it names again. The ledger moves after the fact, so a load that
+    stops in between is repeated without harm.
+    """
+    load = FACTS[name]
+    book = store.table_or_empty(ledger_table(name), T.StructType.fromDDL(lg.SCHEMA))
+    again = _arrived(name, load, stage(book), silver, dims) if store.exists(ledger_table(name)) else None
+    month = F.floor(F.col("date_key") / 100).cast("int")
+    built = load.build(silver, dims, since, as_of, mode=mode, lookback_days=lookback_days, again=again, with_waits=True)
+    if load.schema is not None:
+        waits = built.schema[lg.WAITS]
+        built = conform(built, T.StructType([*T.StructType.fromDDL(load.schema), waits]))
+    # Staged once: the merge, the ledger and the newest date are read from the same rows.
+    batch = stage(built.withColumn("month_key", month))
+    rows = batch.drop(lg.WAITS)
+    upsert_partitions(store, name, rows, [load.key], "month_key", keys_may_move, staged=True, **load.rules())
+    opened = lg.entries(batch, load.key, load.date_column, "month_key", as_of)
+    store.overwrite(ledger_table(name), lg.settle(book, batch, opened, load.key, as_of, forget_after_days))
+    return rows
+
+
+def _arrived(
+    name: str, load: FactLoad, book: DataFrame, silver: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]
+) -> lg.Again | None:
+    """Rows of the ledger that wait for a member created, or a claim decided, since it was checked."""
+    since = lg.checked_since(book)
+    if since is None:
+        return None
+    # A key column is called after its dimension.
+    found = {key: lg.new_members(dims[key.removesuffix("_key")], natural, since) for key, natural in load.members.items()}
+    if name == "fact_claims" and (days := lg.span(book, f.DECISION)):
+        found[f.DECISION] = f.decided_claims(silver, days)
+    return lg.arrived(book, found)
+
+
+def load_facts(
+    store: TableStore, as_of: Clock, mode: str = "current", lookback_days: int = 0, forget_after_days: int | None = None
+) -> DataFrame:
     """Merge new rows into the three facts and advance their watermarks.
 
     Facts are partitioned by ``month_key``, so a load rewrites the months it touches. A
-    row whose dimension member has not arrived is loaded with the member -1 and tried
-    again by each load until the member is there.
+    row whose dimension member has not arrived is loaded with the member -1, and once
+    more when the member is there.
     """
     if not store.exists(CONTROL):
         store.overwrite(CONTROL, store.spark.createDataFrame([], wm.SCHEMA))
     control = store.overwrite(CONTROL, wm.wm_init(store.table(CONTROL), wm.seed_rows(store.spark)))
     silver, dims = silver_tables(store), dimension_tables(store)
-    known = {n: store.table(n) if store.exists(n) else None for n in ("fact_claims", "fact_visits", "fact_pharmacy")}
-    claims_schema = T.StructType.fromDDL(f.FACT_CLAIMS)
-    loads = {
-        "fact_claims": (
-            lambda since: conform(f.fact_claims(silver, dims, since, as_of, known["fact_claims"], mode, lookback_days), claims_schema),
-            "claim_id",
-            "claim_date",
-            f.claim_update_rule(),
-        ),
-        "fact_visits": (
-            lambda since: f.fact_visits(silver, dims, since, as_of, mode, lookback_days, known["fact_visits"]),
-            "visit_id",
-            "visit_date",
-            {},
-        ),
-        "fact_pharmacy": (
-            lambda since: f.fact_pharmacy(silver, dims, since, as_of, mode, lookback_days, known["fact_pharmacy"]),
-            "transaction_id",
-            "transaction_date",
-            {},
-        ),
-    }
-    for name, (build, key, date_column, rules) in loads.items():
-        month = F.floor(F.col("date_key") / 100).cast("int")
-        # Staged once: the merge and the newest date are read from the same rows.
-        batch = stage(build(wm.wm_read(control, name)).withColumn("month_key", month))
-        upsert_partitions(store, name, batch, [key], "month_key", staged=True, **rules)
-        newest = wm.load_summary(batch, name, date_column)
+    for name, load in FACTS.items():
+        since = wm.wm_read(control, name)
+        batch = load_fact(store, name, silver, dims, since, as_of, mode, lookback_days, forget_after_days)
+        newest = wm.load_summary(batch, name, load.date_column)
         control = store.overwrite(CONTROL, wm.wm_advance(store.table(CONTROL), newest))
     return control
 
