@@ -153,6 +153,7 @@ WAREHOUSE_SQL: dict[str, str] = {
     "dim_procedure": "SELECT * FROM dim_procedure",
     "dim_claim_status": "SELECT * FROM dim_claim_status",
     **{f"scd2_{n}": f"SELECT {n}_key, {b}, {HOUSEKEEPING} FROM hist_{n}" for n, b in BUSINESS.items()},
+    "scd2_published": f"SELECT patient_key, {BUSINESS['patient']}, {HOUSEKEEPING} FROM hist_patient",
     "scd2_expire": f"SELECT patient_key, {BUSINESS['patient']}, {HOUSEKEEPING} FROM hist_patient_kept",
     "scd2_insert": f"SELECT patient_key, {BUSINESS['patient']}, {HOUSEKEEPING} FROM hist_patient_new",
     "join_current_dim": """

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from wardflow.functions.expressions import Clock, as_date, as_timestamp, band, date_key, flag
 from wardflow.operators.joins import current_members
 from wardflow.operators.scd import dimension_schema, scd1, scd2_apply, scd2_first_load
+from wardflow.sinks.history import load_history
+from wardflow.sinks.store import TableStore
 from wardflow.sources.rows import date_spine
 
 # Default range of the date dimension.
@@ -173,6 +175,21 @@ DIMENSIONS: dict[str, Dimension] = {
 }
 
 
+def publish_dimension(
+    store: TableStore,
+    name: str,
+    silver: Mapping[str, DataFrame],
+    dims: Mapping[str, DataFrame],
+    as_of: Clock,
+    same_day: str = "replace",
+) -> DataFrame:
+    """Load one type-2 dimension into its table; history that was closed before is left as it is."""
+    spec = DIMENSIONS[name]
+    business = [f.name for f in T.StructType.fromDDL(spec.columns).fields]
+    source = spec.stage(silver, dims, as_of).select(*business)
+    return load_history(store, f"dim_{name}", source, spec.schema, spec.surrogate, spec.key, spec.tracked, as_of, same_day)
+
+
 def load_dimension(
     name: str,
     silver: Mapping[str, DataFrame],

@@ -669,6 +669,14 @@ for _name in dimensions.DIMENSIONS:
     register(f"scd2_{_name}", lambda d, name=_name: two_loads(d, name)[name].drop(*AUDIT))
 
 
+@query
+def scd2_published(d: Data) -> DataFrame:
+    """The patient dimension as a table, after two loads; the versions closed by the second are in a partition of their own."""
+    lake = d.new_store()
+    dimensions.publish_dimension(lake, "patient", {"patient": earlier_state(d, "patient")}, {}, FIRST_LOAD)
+    return dimensions.publish_dimension(lake, "patient", d, {}, SECOND_LOAD).drop(*AUDIT)
+
+
 def _patient_step(d: Data) -> tuple[DataFrame, DataFrame]:
     spec = dimensions.DIMENSIONS["patient"]
     target = dimensions.load_dimension("patient", {"patient": earlier_state(d, "patient")}, {}, FIRST_LOAD)

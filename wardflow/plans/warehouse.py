@@ -75,8 +75,7 @@ def build_dimensions(store: TableStore, as_of: Clock) -> None:
     store.overwrite("dim_claim_status", d.dim_claim_status(silver["claim_approval"], as_of))
     dims: dict[str, DataFrame] = {}
     for name in d.DIMENSIONS:
-        target = store.table(f"dim_{name}") if store.exists(f"dim_{name}") else None
-        dims[name] = store.overwrite(f"dim_{name}", d.load_dimension(name, silver, dims, as_of, target))
+        dims[name] = d.publish_dimension(store, name, silver, dims, as_of)
 
 
 def dimension_tables(store: TableStore) -> dict[str, DataFrame]:

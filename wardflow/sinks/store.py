@@ -99,12 +99,12 @@ class TableStore:
         columns changed type or went away, or that is partitioned otherwise, gets a new entry.
         """
         full = self.full_name(name)
-        if self.exists(name) and self._partitions(name) == list(partition_by):
+        if self.exists(name) and self.partition_columns(name) == list(partition_by):
             kinds = {f.name: f.dataType for f in self.table(name).schema.fields}
             fresh = {f.name: f.dataType for f in schema.fields}
             if all(fresh.get(c) == kind for c, kind in kinds.items()):
                 self.add_columns(name, schema)
-                before = self._partition_specs(name) if partition_by else []
+                before = self.partitions(name) if partition_by else []
                 self._set_location(full, folder)
                 if partition_by:
                     now = self._publish(name, folder, partition_by, schema)
@@ -135,7 +135,7 @@ class TableStore:
         files = self.spark.read.schema(schema).parquet(folder).inputFiles()
         folders = {file.rpartition("/")[0] for file in files}
         found = {place: partition_of(place, len(partition_by)) for place in sorted(folders)}
-        known = self._partition_specs(name)
+        known = self.partitions(name)
         new = {place: spec for place, spec in found.items() if spec not in known}
         moved = {place: spec for place, spec in found.items() if spec in known}
         added = [f"{spelled(spec)} LOCATION {literal(plain_path(place))}" for place, spec in new.items()]
@@ -145,7 +145,8 @@ class TableStore:
             list(pool.map(lambda at: self._set_location(full, plain_path(at[0]), at[1]), moved.items()))
         return list(found.values())
 
-    def _partition_specs(self, name: str) -> list[dict[str, str | None]]:
+    def partitions(self, name: str) -> list[dict[str, str | None]]:
+        """Values of all partitions, from the catalog alone."""
         rows = self.spark.sql(f"SHOW PARTITIONS {self.full_name(name)}").collect()
         return [partition_of(r["partition"], r["partition"].count("/") + 1) for r in rows]
 
@@ -155,7 +156,8 @@ class TableStore:
             listed = ", ".join(map(spelled, specs[k : k + CATALOG_BATCH]))
             self.spark.sql(f"ALTER TABLE {self.full_name(name)} DROP IF EXISTS {listed}")
 
-    def _partitions(self, name: str) -> list[str]:
+    def partition_columns(self, name: str) -> list[str]:
+        """Columns a table is partitioned by."""
         return [c.name for c in self.spark.catalog.listColumns(self.full_name(name)) if c.isPartition]
 
     def location(self, name: str) -> str:
@@ -217,7 +219,7 @@ class TableStore:
         """
         if not self.exists(name):
             return self.overwrite(name, df, partition_by)
-        if self._partitions(name) != list(partition_by):
+        if self.partition_columns(name) != list(partition_by):
             raise ValueError(f"{self.full_name(name)} is not partitioned by {list(partition_by)}")
         fitting = self.fitted(name, df, evolve)
         folder = self._new_folder(name)
@@ -246,7 +248,7 @@ class TableStore:
         used = [unquote(place).rpartition(below)[2].split("/") for place in (self.location(name), *self.table(name).inputFiles())]
         kept = {path[0] for path in used}
         removed = remove_children(self.spark, root, "snapshot-", lambda child, _: child not in kept)
-        if self._partitions(name):
+        if self.partition_columns(name):
             for snapshot in kept:
                 inside = {path[1] for path in used if path[0] == snapshot and len(path) > 1}
                 removed += remove_children(self.spark, f"{root}/{snapshot}", "", lambda child, _: "=" in child and child not in inside)
