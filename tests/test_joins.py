@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +167,51 @@ def test_adaptive_execution_splits_a_hot_key(spark, lake, small_partitions):
     for joined in (facts.join(dim, "k", "left"), j.join_feeder(facts, facts.groupBy("k").count(), ["k"])):
         assert len(joined.collect()) == 90000
         assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+# As-of joins
+
+
+def brute_versions(facts_rows, versions):
+    """Every fact compared with every version; of several valid ones the one that starts last."""
+    out = []
+    for fact, key, day in facts_rows:
+        fits = [(s, e is None, e or day, v) for k, v, s, e in versions if key is not None and day is not None and k == key and s <= day and (e is None or day <= e)]
+        out.append((fact, key, day, max(fits)[3] if fits else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("period", ["year", "month", "quarter"])
+def test_as_of_join_equals_comparing_every_version(spark, period):
+    rng, start = random.Random(3), dt.date(2019, 1, 1)
+    versions = [("edge", 1, dt.date(2020, 1, 1), dt.date(2019, 12, 31)), ("edge", 2, dt.date(2020, 1, 1), None), ("gap", 3, start, dt.date(2019, 6, 1)), ("gap", 4, dt.date(2021, 6, 1), None), (None, 5, start, None)]
+    for k in range(12):
+        day, number = start + dt.timedelta(days=rng.randint(0, 90)), 10 * k + 100
+        for _ in range(rng.randint(0, 8)):
+            to = day + dt.timedelta(days=rng.choice([0, 1, 3, 200, 900]))
+            versions.append((f"k{k}", number, day, to))
+            day, number = to + dt.timedelta(days=rng.choice([1, 1, 1, 40])), number + 1
+        versions.append((f"k{k}", number, day, None))
+    keys = [*{v[0] for v in versions if v[0]}, "unknown", None]
+    facts = [(i, rng.choice(keys), None if rng.random() < 0.05 else start + dt.timedelta(days=rng.randint(-60, 1600))) for i in range(3000)]
+    dim = spark.createDataFrame(versions, "k string, v int, scd_start_date date, scd_end_date date")
+    rows = spark.createDataFrame(facts, "id int, k string, day date")
+    left = j.members_as_of(rows, dim, "k", "day", ["v"], "left", period)
+    assert left.columns == ["id", "k", "day", "v"]
+    want = brute_versions(facts, versions)
+    assert listed(left) == want
+    assert listed(j.members_as_of(rows, dim, "k", "day", ["v"], period=period)) == [r for r in want if r[3] is not None]
+
+
+def test_as_of_join_of_a_key_with_very_many_versions(spark):
+    """A hundred thousand versions and facts of one key, and a day that a third of all facts share."""
+    n = 100_000
+    days = spark.range(n).select(F.lit("hot").alias("k"), F.col("id").alias("v"), F.expr("date_add(DATE '1800-01-01', cast(id AS int))").alias("scd_start_date"))
+    dim = days.withColumn("scd_end_date", F.when(F.col("v") < n - 1, F.col("scd_start_date")))
+    facts = spark.range(n).select("id", F.lit("hot").alias("k"), F.expr("CASE WHEN id % 3 = 0 THEN DATE '1900-01-01' ELSE date_add(DATE '1800-01-01', cast(id AS int)) END").alias("day"))
+    got = j.members_as_of(facts, dim, "k", "day", ["v"])
+    wrong = got.filter("v <> CASE WHEN id % 3 = 0 THEN datediff(DATE '1900-01-01', DATE '1800-01-01') ELSE id END")
+    assert got.count() == n and wrong.count() == 0
+    # Every fact day meets one version: no join condition but equality is left in the plan.
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "scd_end_date" not in plan

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.conftest import listed
-from wardflow.operators.upsert import assert_unique, snapshot_diff, upsert, upsert_partitions
+from wardflow.operators.upsert import assert_unique, column_changes, snapshot_diff, unequal_buckets, upsert, upsert_partitions
 from wardflow.operators import watermark as wm
 from wardflow.operators.ordering import stage
 from wardflow.plans import bronze, warehouse
@@ -249,6 +249,44 @@ def test_snapshot_diff_labels_rows(spark):
     ]
 
 
+def test_snapshot_diff_compares_only_buckets_that_changed(spark, lake):
+    rows = spark.range(20000).select("id", F.expr("CASE WHEN id % 7 > 0 THEN cast(id AS string) END").alias("v"), F.col("id").cast("double").alias("x"))
+    before = lake.overwrite("a", rows)
+    after = lake.overwrite("b", rows.filter("id <> 5").withColumn("v", F.when(F.col("id") == 8, None).when(F.col("id") == 14, "new").otherwise(F.col("v"))).repartition(5))
+    changing = unequal_buckets(before, after, ["id"], 512)
+    assert 1 <= changing.count() <= 3
+    diff = snapshot_diff(before, after, ["ID"], 512)
+    assert listed(diff, "id", "v", "change_type") == [(14, "new", "update"), (5, "5", "delete"), (8, None, "update")]
+    # What is shuffled by key is no more than the rows of those buckets.
+    key = F.pmod(F.xxhash64(F.lit("0"), "id"), F.lit(512)).cast("int")
+    near = rows.filter(key.isin(*[r[0] for r in changing.collect()])).count()
+    assert 3 <= near < 400
+    assert snapshot_diff(before, lake.overwrite("c", rows.repartition(3)), ["id"]).count() == 0
+
+
+def test_digests_see_nulls_that_move_and_swapped_rows(spark):
+    one = frame(spark, [("k", "a", None), ("l", "x", "y")], "id string, u string, w string")
+    two = frame(spark, [("k", None, "a"), ("l", "x", "y")], "id string, u string, w string")
+    swapped = frame(spark, [("l", "a", None), ("k", "x", "y")], "id string, u string, w string")
+    assert listed(snapshot_diff(one, two, ["id"])) == [("k", None, "a", "update")]
+    assert len(listed(snapshot_diff(one, swapped, ["id"], 1))) == 2
+    keyless = frame(spark, [(None, "a", "b")], one.schema)
+    assert listed(snapshot_diff(keyless, one.union(keyless), ["id"]), "change_type") == [("insert",), ("insert",)]
+
+
+def test_snapshot_diff_with_columns_that_came_went_or_changed(spark):
+    before = frame(spark, [(1, "a", 5), (2, "b", None), (3, "c", None)], "id int, Name string, old int")
+    after = frame(spark, [(1, "a", None), (2, "b", None), (3, "c", 1.5)], "ID bigint, name string, fresh double")
+    assert column_changes(before, after) == [
+        ("ID", "retyped", "int", "bigint"), ("old", "removed", "int", None), ("fresh", "added", None, "double"),
+    ]
+    got = snapshot_diff(before, after, ["id"])
+    assert got.columns == ["ID", "name", "fresh", "old", "change_type"]
+    assert listed(got) == [(1, "a", None, None, "update"), (3, "c", 1.5, None, "update")]
+    assert column_changes(after, after) == [] and snapshot_diff(after, after, ["id"]).count() == 0
+    assert {r.change_type for r in snapshot_diff(after.limit(0), after, ["id"]).collect()} == {"insert"}
+
+
 # Watermarks
 
 

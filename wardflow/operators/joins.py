@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.operators.ordering import stage
@@ -24,21 +24,66 @@ def current_members(dimension: DataFrame, key: str, *columns: str) -> DataFrame:
 
 
 def members_as_of(
-    facts: DataFrame, dimension: DataFrame, key: str, date_column: str, columns: Sequence[str], how: str = "inner"
+    facts: DataFrame,
+    dimension: DataFrame,
+    key: str,
+    date_column: str,
+    columns: Sequence[str],
+    how: str = "inner",
+    period: str = "year",
 ) -> DataFrame:
     """Join each fact row to the dimension version that was valid on its date.
 
-    The equality on the key is what Spark partitions by; the validity interval is
-    checked on the few versions of that key.
+    The days on which a key has facts, however many facts there are, and the key's
+    versions are merged in the order of time, and the last version is carried forward:
+    no fact is compared with a version that is not its own. So that a key with very many
+    versions is no single task, time is cut into periods (a unit of ``date_trunc``), and
+    the version that is open at a period's start is copied into it. Facts then find
+    their day's version in a table with one row per key and day. Where versions overlap,
+    the one that starts last counts. A NULL key or date has no version.
     """
-    versions = dimension.select(
-        F.col(key).alias("_version_of"), "scd_start_date", "scd_end_date", *columns
+    day = F.col(date_column)
+    asked = facts.filter(F.col(key).isNotNull() & day.isNotNull()).select(
+        F.col(key).alias("_key"), day.alias("_at"), F.date_trunc(period, day).alias("_period")
     )
-    valid = (F.col(date_column) >= F.col("scd_start_date")) & (
-        F.col("scd_end_date").isNull() | (F.col(date_column) <= F.col("scd_end_date"))
+    asked = asked.distinct()
+    found = versions_on(asked, _versions(dimension, key, columns, period)).select("_key", "_at", "_version")
+    feeder = found.select(F.col("_key").alias(key), F.col("_at").alias(date_column), "_version")
+    joined = join_feeder(facts, feeder, [key, date_column], how)
+    kept = [F.col(c) for c in facts.columns if c not in columns]
+    return joined.select(*kept, *[F.col("_version").getField(c).alias(c) for c in columns])
+
+
+def _versions(dimension: DataFrame, key: str, columns: Sequence[str], period: str) -> DataFrame:
+    """Versions that were valid for a day at least, with the period they start in."""
+    start, end = F.col("scd_start_date"), F.col("scd_end_date")
+    lasting = dimension.filter(F.col(key).isNotNull() & (end.isNull() | (end >= start)))
+    version = F.struct(start.alias("_start"), end.isNull().alias("_open"), end.alias("_end"), *columns)
+    return lasting.select(F.col(key).alias("_key"), F.date_trunc(period, start).alias("_period"), version.alias("_version"))
+
+
+def versions_on(asked: DataFrame, versions: DataFrame) -> DataFrame:
+    """``_version`` for each distinct ``(_key, _period, _at)``, where one is valid then."""
+    # The last version of each period a key has, carried to the next periods it is asked for:
+    # at most a row or two for each key and period.
+    last = versions.groupBy("_key", "_period").agg(F.max(F.struct("_version._start", "_version._open", "_version._end", "_version")).alias("_top"))
+    ends = last.select("_key", "_period", F.col("_top._version").alias("_version"))
+    wanted = asked.select("_key", "_period").distinct()
+    steps = ends.unionByName(wanted, allowMissingColumns=True).groupBy("_key", "_period").agg(
+        F.first("_version", ignorenulls=True).alias("_version")
     )
-    joined = facts.join(versions, (F.col(key) == F.col("_version_of")) & valid, how)
-    return joined.drop("_version_of", "scd_start_date", "scd_end_date")
+    earlier = Window.partitionBy("_key").orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
+    opening = steps.withColumn("_version", F.last("_version", ignorenulls=True).over(earlier))
+    opening = opening.filter("_version IS NOT NULL").join(wanted, ["_key", "_period"], "left_semi")
+
+    # One stream of a key and period: the version it opens with, versions that start, days that ask.
+    starts = [df.withColumn("_at", F.col("_version._start")) for df in (opening, versions)]
+    stream = reduce(DataFrame.unionByName, starts).withColumn("_asks", F.lit(0))
+    stream = stream.unionByName(asked.withColumn("_asks", F.lit(1)), allowMissingColumns=True)
+    order = ["_at", "_asks", "_version._open", "_version._end"]
+    upto = Window.partitionBy("_key", "_period").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    carried = stream.withColumn("_version", F.last("_version", ignorenulls=True).over(upto)).filter("_asks = 1")
+    return carried.filter("_version IS NOT NULL AND (_version._end IS NULL OR _at <= _version._end)").drop("_asks")
 
 
 def join_feeder(df: DataFrame, feeder: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

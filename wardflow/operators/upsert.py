@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wardflow.operators.cleaning import quoted
 from wardflow.operators.ordering import stage
@@ -99,16 +100,83 @@ def upsert_partitions(
     return store.replace_partitions(name, merged, [partition], emptied=emptied)
 
 
-def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+#: Buckets of keys that two states are compared by; as many digests are compared and broadcast.
+BUCKETS = 1 << 16
+
+
+def _aligned(before: DataFrame, after: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both states with the columns of either, spelled and typed as in the newer one; missing ones are NULL."""
+    old, new = by_lower_name(before.columns), by_lower_name(after.columns)
+    gone = [before.schema[name] for lower, name in old.items() if lower not in new]
+    schema = T.StructType([*after.schema.fields, *gone])
+    return conform(before, schema), conform(after, schema)
+
+
+def column_changes(before: DataFrame, after: DataFrame) -> list[tuple[str, str, str | None, str | None]]:
+    """What became of the columns: name, ``added``, ``removed`` or ``retyped``, and the types before and after."""
+    old = {f.name.lower(): f for f in before.schema.fields}
+    new = {f.name.lower(): f for f in after.schema.fields}
+    changes = []
+    for lower in [*old, *[c for c in new if c not in old]]:
+        kinds = [None if side is None else side.dataType.simpleString() for side in (old.get(lower), new.get(lower))]
+        if kinds[0] != kinds[1]:
+            what = "added" if kinds[0] is None else "removed" if kinds[1] is None else "retyped"
+            changes.append(((new.get(lower) or old[lower]).name, what, *kinds))
+    return changes
+
+
+def bucket_digests(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """One row for each bucket of keys: its rows, and two sums over them that their order does not change.
+
+    The two 64-bit hashes of a row take its NULLs into account, which a plain hash skips.
+    """
+    nulls = F.concat(*[F.when(quoted(c).isNull(), "1").otherwise("0") for c in df.columns])
+    values = [quoted(c) for c in df.columns]
+    first, second = F.xxhash64(F.lit(1), nulls, *values), F.xxhash64(F.lit(2), nulls, *values)
+    return df.groupBy(_bucket(keys, buckets).alias("_bucket")).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(first.cast("decimal(20,0)")).alias("_sum"),
+        F.bit_xor(second).alias("_xor"),
+    )
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    nulls = F.concat(*[F.when(quoted(k).isNull(), "1").otherwise("0") for k in keys])
+    return F.pmod(F.xxhash64(nulls, *[quoted(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def unequal_buckets(before: DataFrame, after: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Numbers of the buckets whose rows are not the same on both sides."""
+    sides = [bucket_digests(df, keys, buckets) for df in (before, after)]
+    # The same digest twice cancels out: what is left is on one side only, or differs.
+    counted = sides[0].unionByName(sides[1]).groupBy("_bucket", "_rows", "_sum", "_xor").agg(F.count(F.lit(1)).alias("_sides"))
+    return counted.filter("_sides = 1").select("_bucket").distinct()
+
+
+def snapshot_diff(before: DataFrame, after: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
     """Rows inserted, deleted or updated between two states, with ``change_type``.
 
-    Deleted rows carry their last values, the others their new ones.
+    Deleted rows carry their last values, the others their new ones. Columns are
+    matched without regard to case; one that only one state has is NULL in the other, so
+    a value in it is a change (``column_changes`` tells which columns came or went).
+
+    Each side is first reduced to a digest for each bucket of keys. Only rows of buckets
+    whose digests differ are shuffled and compared: the list of these buckets, at most
+    ``buckets`` numbers, is broadcast. Two different buckets pass for equal with a chance of 2^-128.
     """
+    before, after = _aligned(before, after)
     columns = after.columns
+    spelling = by_lower_name(columns)
+    keys = [spelling[k.lower()] for k in keys]
     rest = [c for c in columns if c not in keys]
-    old = before.select(*[quoted(c) for c in columns]).withColumn("_was", F.lit(True)).alias("old")
-    new = after.withColumn("_is", F.lit(True)).alias("new")
-    on = reduce(and_, [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in keys])
+    changing = stage(unequal_buckets(before, after, keys, buckets))
+
+    def touched(df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", _bucket(keys, buckets)).join(F.broadcast(changing), "_bucket", "left_semi").drop("_bucket")
+
+    old = touched(before).withColumn("_was", F.lit(True)).alias("old")
+    new = touched(after).withColumn("_is", F.lit(True)).alias("new")
+    on = reduce(and_, [F.col(f"old.`{k}`").eqNullSafe(F.col(f"new.`{k}`")) for k in keys])
     changed = ~F.struct(*[F.col(f"old.`{c}`") for c in rest]).eqNullSafe(F.struct(*[F.col(f"new.`{c}`") for c in rest]))
     kind = (
         F.when(F.col("old._was").isNull(), "insert")
