@@ -228,3 +228,13 @@ WAREHOUSE_SQL: dict[str, str] = {
 }
 # The second load leaves what one load of complete dimensions gives.
 WAREHOUSE_SQL |= {f"{name}_two_loads": WAREHOUSE_SQL[name] for name in ("fact_visits", "fact_claims", "fact_pharmacy")}
+# Summaries that are kept up equal one pass over the whole fact.
+WAREHOUSE_SQL["rollup_hospital_activity"] = f"""
+    SELECT hospital_key, count(*) AS visits, {r2('sum(CAST(total_cost AS DECIMAL(38,8)))')} AS total_cost,
+           CAST(sum(waiting_time) AS DOUBLE) AS waiting_time, CAST(sum(procedure_count) AS DOUBLE) AS procedures,
+           count(DISTINCT patient_key) AS patients, count(DISTINCT doctor_key) AS doctors
+    FROM ({WAREHOUSE_SQL['fact_visits']}) GROUP BY hospital_key"""
+WAREHOUSE_SQL["rollup_drug_movements"] = f"""
+    SELECT drug_key, transaction_type, count(*) AS movements, CAST(sum(quantity) AS DOUBLE) AS quantity,
+           {r2('sum(CAST(total_value AS DECIMAL(38,8)))')} AS total_value, count(DISTINCT hospital_key) AS hospitals
+    FROM ({WAREHOUSE_SQL['fact_pharmacy']}) GROUP BY ALL"""

@@ -82,7 +82,7 @@ def upsert_partitions(
     batch = source if staged else stage(source)
     assert_unique(batch, keys)
     if not store.exists(name):
-        return store.overwrite(name, batch, [partition])
+        return store.overwrite(name, batch, [partition], rebalance=True)
     store.add_columns(name, batch)
     target = store.table(name)
     places = batch.select(F.col(partition).alias("_touched"))
@@ -97,7 +97,7 @@ def upsert_partitions(
     # Partitions that lost their last row to another one leave the catalog: one row each.
     lost = touched.join(merged.select(partition).distinct(), same, "left_anti").select(F.col("_touched").cast("string"))
     emptied = [{partition: row[0]} for row in lost.collect()]
-    return store.replace_partitions(name, merged, [partition], emptied=emptied)
+    return store.replace_partitions(name, merged, [partition], emptied=emptied, rebalance=True)
 
 
 #: Buckets of keys that two states are compared by; as many digests are compared and broadcast.

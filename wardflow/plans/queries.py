@@ -22,7 +22,7 @@ from wardflow.operators import cleaning as c
 from wardflow.operators import joins as j
 from wardflow.operators import ordering, profile, quality, scd, upsert
 from wardflow.operators import watermark as wm
-from wardflow.plans import bronze, dimensions, facts, marts, warehouse
+from wardflow.plans import bronze, dimensions, facts, marts, rollups, warehouse
 from wardflow.plans.marts import common, operational
 from wardflow.plans.silver import RECIPES, clean_table
 from wardflow.sinks import store as sinks
@@ -727,20 +727,29 @@ def fact_visits(d: Data) -> DataFrame:
 
 
 def _loaded_twice(
-    d: Data, name: str, dims: dict[str, DataFrame], late: tuple[str, ...], past: Mapping[str, DataFrame] | None = None
+    d: Data,
+    name: str,
+    dims: dict[str, DataFrame],
+    late: tuple[str, ...],
+    past: Mapping[str, DataFrame] | None = None,
+    rollup: rollups.Rollup | None = None,
 ) -> DataFrame:
-    """A fact after two loads; a third of the members of some dimensions, and what ``past`` lacks, come between them.
+    """A fact, or a summary of it that is kept up, after two loads; a third of the members of some dimensions, and what ``past`` lacks, come between them.
 
     What came is found by the ledger that the first load leaves.
     """
-    lake, early, later = d.new_store(), dict(dims), dict(dims)
+    early, later = dict(dims), dict(dims)
     for dim in late:
         comes = F.col(f"{dim}_key") % 3 == 0
         early[dim] = dims[dim].filter(~comes)
         created = F.when(comes, F.lit(AS_OF).cast("timestamp")).otherwise(F.col("dwh_created_at"))
         later[dim] = dims[dim].withColumn("dwh_created_at", created)
-    warehouse.load_fact(lake, name, past or d, early, WATERMARK, SECOND_LOAD, keys_may_move=False)
-    warehouse.load_fact(lake, name, d, later, AS_OF, AS_OF, keys_may_move=False)
+    lake, summary = d.new_store(), None
+    for tables, members, since, day in ((past or d, early, WATERMARK, SECOND_LOAD), (d, later, AS_OF, AS_OF)):
+        warehouse.load_fact(lake, name, tables, members, since, day, keys_may_move=False)
+        summary = rollups.refresh(lake, rollup) if rollup else None
+    if summary is not None:
+        return summary
     return lake.table(name).drop("dwh_loaded_at", "dwh_updated_at", "month_key")
 
 
@@ -779,6 +788,22 @@ def fact_pharmacy_two_loads(d: Data) -> DataFrame:
     return fact.withColumn("total_value", e.round2("total_value"))
 
 
+@query
+def rollup_hospital_activity(d: Data) -> DataFrame:
+    """Visits of each hospital, kept up over two loads: counts, sums and distinct patients and doctors."""
+    dims = first_load(d, "patient", "hospital", "department", "doctor")
+    dims["diagnosis"] = dimensions.dim_diagnosis(d["diagnosis"], AS_OF)
+    found = _loaded_twice(d, "fact_visits", dims, ("patient", "doctor"), rollup=rollups.HOSPITAL_ACTIVITY)
+    return found.withColumn("total_cost", e.round2("total_cost"))
+
+
+@query
+def rollup_drug_movements(d: Data) -> DataFrame:
+    """Movements of each drug, kept up over two loads, with the number of hospitals."""
+    found = _loaded_twice(d, "fact_pharmacy", first_load(d, "drug", "hospital"), ("drug",), rollup=rollups.DRUG_MOVEMENTS)
+    return found.withColumn("total_value", e.round2("total_value"))
+
+
 def claim_dims(d: Data) -> dict[str, DataFrame]:
     dims = first_load(d, "patient", "hospital", "drug")
     dims["claim_status"] = dimensions.dim_claim_status(d["claim_approval"], AS_OF)

@@ -22,6 +22,7 @@ from wardflow.operators.upsert import upsert_partitions
 from wardflow.plans import dimensions as d
 from wardflow.plans import facts as f
 from wardflow.plans.marts import MARTS
+from wardflow.plans.rollups import ROLLUPS, refresh
 from wardflow.plans.silver import RECIPES, clean_table
 from wardflow.sinks.store import TableStore, conform
 
@@ -177,6 +178,11 @@ def load_facts(
     return control
 
 
+def build_rollups(store: TableStore, as_of: Clock) -> DataFrame:
+    """Bring the kept-up summaries up to date with the facts' changed months."""
+    return run_steps(store, {name: lambda r=rollup: refresh(store, r) for name, rollup in ROLLUPS.items()}, as_of)
+
+
 def build_marts(store: TableStore, as_of: Clock) -> DataFrame:
     silver = silver_tables(store)
 

@@ -85,9 +85,9 @@ class TableStore:
     def overwrite(
         self, name: str, df: DataFrame, partition_by: Sequence[str] = (), rebalance: bool = False
     ) -> DataFrame:
-        """Replace rows and schema. ``rebalance`` evens out file sizes first."""
+        """Replace rows and schema. ``rebalance`` evens out file sizes first, within partitions."""
         folder = self._new_folder(name)
-        writer = (df.hint("rebalance") if rebalance else df).write.mode("errorifexists")
+        writer = (df.hint("rebalance", *partition_by) if rebalance else df).write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(folder)
         return self._point_at(name, folder, partition_by, df.schema)
 
@@ -210,20 +210,24 @@ class TableStore:
         partition_by: Sequence[str],
         evolve: bool = False,
         emptied: Sequence[Mapping[str, object]] = (),
+        rebalance: bool = False,
     ) -> DataFrame:
         """Replace only the partitions that the rows fall in, and take out the ``emptied`` ones.
 
         All others stay. New rows go to a fresh folder and the catalog entries of their
         partitions are moved there, so a reader finds each partition whole, old or new, and a
         load that dies leaves the table as it was. ``emptied`` gives partition columns and values.
+        With ``rebalance`` the rows of a partition are brought together first, in files of
+        the advised size, instead of a small file from every task.
         """
         if not self.exists(name):
-            return self.overwrite(name, df, partition_by)
+            return self.overwrite(name, df, partition_by, rebalance)
         if self.partition_columns(name) != list(partition_by):
             raise ValueError(f"{self.full_name(name)} is not partitioned by {list(partition_by)}")
         fitting = self.fitted(name, df, evolve)
         folder = self._new_folder(name)
-        fitting.write.mode("errorifexists").partitionBy(*partition_by).parquet(folder)
+        writer = (fitting.hint("rebalance", *partition_by) if rebalance else fitting).write.mode("errorifexists")
+        writer.partitionBy(*partition_by).parquet(folder)
         # New partitions of a later append go below the table's own folder: it must not
         # hold files of partitions that were replaced or taken out.
         self._set_location(self.full_name(name), folder)
