@@ -59,9 +59,12 @@ def add_columns(
     ship(df.sparkSession)
     new = {f.name for f in fields}
     kept = [c for c in df.columns if c not in new]
-    place = len(kept)
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
-    schema = StructType([*source.schema.fields[:place], *fields])
+    width = len(kept)
+    # A text that is kept anyway goes to the task once.
+    place = kept.index(text) if text in kept else width
+    more = [] if text in kept else [F.col(f"`{text}`").alias("__text")]
+    source = df.select(*[F.col(f"`{c}`") for c in kept], *more)
+    schema = StructType([*source.schema.fields[:width], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
@@ -69,7 +72,7 @@ def add_columns(
             work = work or start()
             for part in slices(batch, place, size):
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:place], *work(part.column(place))], names=[f.name for f in schema.fields]
+                    [*part.columns[:width], *work(part.column(place))], names=[f.name for f in schema.fields]
                 )
 
     return source.mapInArrow(run, schema)
