@@ -68,3 +68,14 @@ def test_the_sample_is_drawn_among_rows_without_id_too(spark):
     assert 100 <= kept.count() <= 200
     model = language.fit(docs, most=200)
     assert model.languages == ["de", "en"] and all(0.25 < p < 0.75 for p in np.exp(model.prior))
+
+
+def test_numerals_and_fractions_are_no_letters(spark):
+    texts = ["½ ² ①", "Ⅷ 12 _", "½a", "ª", "日", "", None]
+    assert [language.has_letter(t or "") for t in texts] == [False, False, True, True, True, False, False]
+    docs = documents(spark, ["the cat sat on the mat"] * 5 + texts)
+    model = language.fit(docs.filter("doc_id < 5"))
+    got = {r["doc_id"]: r["lang_pred"] for r in rows(language.identify(docs, model))}
+    assert [got[5 + i] for i in range(7)] == ["und", "und", "en", "en", "en", "und", "und"]
+    found = {r["doc_id"]: r["lettered"] for r in rows(language.find_letters(docs))}
+    assert [found[5 + i] for i in range(7)] == [False, False, True, True, True, False, False]

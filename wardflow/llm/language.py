@@ -27,6 +27,11 @@ _LETTER = re.compile(r"[^\W\d_]")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text holds a letter: numerals and fractions that count as word characters are none."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text falls into a fold; a row without id is held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == fold, F.lit(True))
@@ -80,7 +85,7 @@ class LanguageModel:
         return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         scores = self.log_scores(text)
         best = int(np.argmax(scores))
@@ -102,7 +107,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "la
         for batch in batches:
             for part in slices(batch, 0):
                 for words, lang in zip(strings(part.column(0)), part.column(1).to_pylist()):
-                    if not _LETTER.search(words):
+                    if not has_letter(words):
                         continue
                     found = sums.setdefault(lang, np.zeros((1 << BUCKET_BITS) + 1, np.int64))
                     found[-1] += 1
@@ -153,6 +158,6 @@ def find_letters(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``lettered``, whether a text holds any letter; false for a NULL text."""
 
     def work(texts: pa.Array) -> list:
-        return [pa.array([bool(t and _LETTER.search(t)) for t in texts.to_pylist()], pa.bool_())]
+        return [pa.array([bool(t and has_letter(t)) for t in texts.to_pylist()], pa.bool_())]
 
     return add_columns(df, [StructField("lettered", BooleanType())], text, lambda: work)
