@@ -18,11 +18,15 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Where no row names a language there is nothing to tell it by, and only letterless texts go.
     """
     model = language.fit(docs)
-    packed = docs.select(F.struct("*").alias("doc"), "text")
-    if not model.languages:
-        return language.find_letters(packed).filter("lettered").select("doc.*")
-    found = language.identify(packed, model)
-    return found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5)).select("doc.*")
+    # Packed, no column can clash with a new one; the text itself goes to the tasks once.
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    packed = docs.select(others.alias("doc"), "text")
+    if model.languages:
+        found = language.identify(packed, model)
+        kept = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= 0.5))
+    else:
+        kept = language.find_letters(packed).filter("lettered")
+    return kept.select(*[F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
