@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -90,3 +91,42 @@ def test_mask_and_empty_table(spark):
     assert got[3]["text"] == "[PHONE] z"
     assert got[0]["_marks"] == 1 and pii.mask(df).columns == df.columns
     assert pii.mask(df.limit(0)).count() == 0 and pii.find_personal_data(df.limit(0)).count() == 0
+
+
+def test_columns_of_any_name(spark):
+    df = documents(spark, ["x@y.de"], extra="'mine' AS _text").selectExpr("*", "1 AS _hits_email", "2 AS _parts_ip", "3 AS _at_card", "4 AS _row", "5 AS _base_email", "6 AS _added", "7 AS _pieces")
+    row = rows(pii.find_personal_data(df))[0]
+    assert [(s["start"], s["end"], s["kind"]) for s in row["spans"]] == [(0, 6, "email")]
+    own = {c: row[c] for c in df.columns if c.startswith("_")}
+    assert own == {"_text": "mine", "_hits_email": 1, "_parts_ip": 2, "_at_card": 3, "_row": 4, "_base_email": 5, "_added": 6, "_pieces": 7}
+    masked = rows(pii.mask(df))[0]
+    assert masked["text"] == "[EMAIL]" and {c: masked[c] for c in own} == own
+    assert [s["kind"] for s in rows(pii.find_personal_data(df, "_text"))[0]["spans"]] == []
+
+
+def test_long_texts_with_very_many_matches(spark):
+    """The time is about that of the text's length: it was quadratic in the matches before."""
+    unit = "mail a.b@c-d.org ssn 123-45-6789 é "
+    seconds = {}
+    for times in (1, 1500, 6000):
+        df = documents(spark, [unit * times])
+        began = time.perf_counter()
+        spans = rows(pii.find_personal_data(df))[0]["spans"]
+        masked = rows(pii.mask(df))[0]["text"]
+        seconds[times] = time.perf_counter() - began
+        assert len(spans) == 2 * times and masked == "mail [EMAIL] ssn [SSN] é " * times
+    assert seconds[6000] < 10 * max(seconds[1500], 2)
+
+
+def test_added_spans_under_base_spans_of_every_kind(spark):
+    """Against a comparison of each added span with all base spans."""
+    texts = [
+        "ssn 123-45-6789@x.de and 123-45-6789", "IBAN GB82 WEST 1234 5698 7654 32 card 4111111111111111 ssn 123-45-6789",
+        "tel 743.555.3825 1.2.3.4 tel 10.20.30.40 +1 743 555 3824", "tel (743) 555-3824 " * 40 + "x@y.de ssn 123-45-6789 " * 40,
+    ]
+    for row in rows(pii.find_personal_data(documents(spark, texts))):
+        base = [s for s in row["spans"] if s["rank"] < len(pii.BASE)]
+        added = [s for s in row["spans"] if s["rank"] >= len(pii.BASE)]
+        assert not [1 for s in added for b in base if b["start"] < s["end"] and s["start"] < b["end"]]
+        if row["doc_id"] in (1, 3):
+            assert {s["kind"] for s in added} >= {1: {"ssn"}, 3: {"tel"}}[row["doc_id"]]

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ NEAR = 40
 MIN_SCORE = 0.6
 #: Matches whose places are summed in one go; blocks of them are summed again.
 BLOCK = 128
+#: Code points of the pieces that a text with marks is cut into.
+PIECE = 1024
 
 _CANDIDATE = "struct<start:bigint,hit:string,before:string,after:string>"
 
@@ -187,13 +191,16 @@ def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
     Places are code points from 0, the end excluded, over the whole text. Base kinds are
     all matches that pass their check; an added kind counts from ``MIN_SCORE`` on where no
     base span overlaps it. NULL and empty texts have no spans. Rows are neither joined nor
-    moved; a column of ``df`` named ``spans`` is replaced.
+    moved; a column of ``df`` named ``spans`` is replaced, others may have any name. The
+    work on a very long text grows with its length and, for each added span, with the
+    logarithm of the number of base spans.
     """
     source = F.coalesce(F.col("_text"), F.lit(""))
     kept = [c for c in df.columns if c != "spans"]
-    names = [F.col(f"`{c}`") for c in kept]
     none = F.array().cast("array<string>")
-    out = df.select(*names, F.col(f"`{text}`").alias("_text"))
+    # Packed, no column of the rows can clash with a column of the search.
+    packed = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.lit(0)
+    out = df.select(packed.alias("_row"), F.col(f"`{text}`").alias("_text"))
     out = out.withColumns(
         {
             f"_hits_{k.name}": F.when(
@@ -212,16 +219,38 @@ def find_personal_data(df: DataFrame, text: str = "text") -> DataFrame:
     out = out.withColumns({f"_at_{k.name}": _candidates(F.col(f"_parts_{k.name}"), F.col(f"_hits_{k.name}")) for k in KINDS})
     spans = {k.name: _scored(k, i, F.col(f"_at_{k.name}")) for i, k in enumerate(KINDS)}
     out = out.select(
-        *names,
-        F.concat(*[spans[k.name] for k in KINDS if k.base]).alias("_base"),
+        "_row",
+        *[spans[k.name].alias(f"_base_{k.name}") for k in KINDS if k.base],
         F.concat(*[spans[k.name] for k in KINDS if not k.base]).alias("_added"),
     )
+    base = [F.col(f"_base_{k.name}") for k in KINDS if k.base]
 
     def free(span: Column) -> Column:
-        overlap = F.exists("_base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        return (span["score"] >= MIN_SCORE) & ~overlap
+        return (span["score"] >= MIN_SCORE) & ~reduce(or_, [_overlaps(of_kind, span) for of_kind in base])
 
-    return out.select(*names, F.array_sort(F.concat("_base", F.filter("_added", free))).alias("spans"))
+    found = F.array_sort(F.concat(*base, F.filter("_added", free)))
+    out = out.select("_row", found.alias("_spans"))
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in kept], F.col("_spans").alias("spans"))
+
+
+def _overlaps(ordered: Column, span: Column) -> Column:
+    """Whether one of the spans of a kind, which are in order and apart, overlaps another span.
+
+    The last one that starts before the other's end decides; it is found by halving.
+    """
+    size = F.size(ordered)
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(size + 1)).cast("int"))
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        before = (at["low"] < at["high"]) & (F.get(ordered, middle)["start"] < span["end"])
+        low = F.when(before, middle + 1).otherwise(at["low"])
+        high = F.when(before | (at["low"] >= at["high"]), at["high"]).otherwise(middle)
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    whole = F.struct(F.lit(0).alias("low"), size.alias("high"))
+    last = F.aggregate(steps, whole, halve)["low"] - 1
+    return (size > 0) & F.coalesce((last >= 0) & (F.get(ordered, last)["end"] > span["start"]), F.lit(False))
 
 
 def joined(spans: Column) -> Column:
@@ -255,14 +284,21 @@ def mask(df: DataFrame, text: str = "text") -> DataFrame:
 
     merged = F.when(F.size("spans") > 0, F.aggregate("spans", F.array().cast(marks), merge)).otherwise(F.array().cast(marks))
     out = found.withColumn("_marks", merged)
+    # The text in pieces of equal length, so that a place is reached without walking there.
+    pieces = F.regexp_extract_all("_whole", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    out = out.withColumn("_pieces", F.when(F.size("_marks") > 0, pieces))
+
+    def cut(start: Column, end: Column) -> Column:
+        first, last = F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+        near = F.array_join(F.slice("_pieces", first + 1, last - first + 1), "")
+        return F.when(end > start, F.substr(near, (start - first * PIECE + 1).cast("int"), (end - start).cast("int"))).otherwise("")
 
     def before(mark: Column, i: Column) -> Column:
         # The text from the end of the mark before, and the mark itself.
         start = F.when(i == 0, F.lit(0)).otherwise(F.get("_marks", i - 1)["end"])
-        kept = F.substr("_whole", (start + 1).cast("int"), (mark["start"] - start).cast("int"))
-        return F.concat(kept, F.lit("["), F.upper(mark["kind"]), F.lit("]"))
+        return F.concat(cut(start, mark["start"]), F.lit("["), F.upper(mark["kind"]), F.lit("]"))
 
-    tail = F.substr("_whole", (F.get("_marks", F.size("_marks") - 1)["end"] + 1).cast("int"))
+    tail = cut(F.get("_marks", F.size("_marks") - 1)["end"], F.length("_whole"))
     masked = F.when(
         F.size("_marks") > 0, F.concat(F.array_join(F.transform("_marks", before), ""), tail)
     ).otherwise(F.col("_whole"))
