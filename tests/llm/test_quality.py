@@ -70,3 +70,21 @@ def test_no_labels_and_no_documents(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     assert len(rows(QUERIES["op3_quality"](spark, folder(spark, documents=docs, labels=none)))) == 2
     assert rows(QUERIES["op3_quality"](spark, folder(spark, documents=docs.limit(0), labels=none))) == []
+
+
+def test_the_bound_holds_for_rows_of_one_id(spark, monkeypatch):
+    """One labelled id on very many rows: no more than the bound is sent to be learned from."""
+    seen = []
+    monkeypatch.setattr(quality, "fit_trees", lambda x, y: seen.append(len(y)))
+    docs = spark.range(5000).selectExpr("1 AS doc_id", "concat('text ', id % 900) AS text")
+    quality.fit(docs, spark.createDataFrame([(1, 1)], "doc_id bigint, quality int"), most=10)
+    assert seen == [10]
+
+
+def test_repeated_ids_and_very_long_texts(spark):
+    good, bad = "A clear sentence about one thing. " * 3, "xx!! $$ 11 "
+    texts = [good, bad] * 30 + [good * 20_000, bad * 50_000, "", None]
+    docs = documents(spark, texts, ids=[i // 2 for i in range(len(texts))])
+    labels = spark.createDataFrame([(i // 2, i % 2 == 0) for i in range(0, 60, 3)], "doc_id bigint, q boolean").selectExpr("doc_id", "cast(q AS int) AS quality")
+    got = rows(quality.score(docs, quality.fit(docs, labels)))
+    assert len(got) == len(texts) and all(0 <= r["score"] <= 1 for r in got)

@@ -182,15 +182,17 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEP
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", most: int = MAX_ROWS) -> BoostedTrees:
     """Learn from labelled rows of ``docs``; rows without id, label or match teach nothing.
 
-    Of more than ``most`` labelled ids, those with the smallest hashes are taken, so the
-    texts that are read for learning, and the statistics sent here, are bounded.
+    Of more than ``most`` labelled ids, those with the smallest hashes are taken, and of
+    more than ``most`` rows with these ids (an id may be on many rows), those with the
+    smallest hashes of id and statistics: so what is sent here is bounded.
     """
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("double").alias("y")).filter("key IS NOT NULL AND y IN (0, 1)")
     taken = known.groupBy("key").agg(F.max("y").alias("y")).orderBy(F.xxhash64("key"), "key").limit(most)
-    # At most `most` rows of an id and a number.
+    # At most `most` rows of an id and a number are sent to all tasks.
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(taken), "key")
     fields = [StructField("x", ArrayType(FloatType(), False))]
-    found = add_columns(rows, fields, "text", lambda: lambda texts: [_vectors(features(texts))]).select("key", "x", "y").toArrow()
+    found = add_columns(rows, fields, "text", lambda: lambda texts: [_vectors(features(texts))]).select("key", "x", "y")
+    found = found.orderBy(F.xxhash64("key", "x"), "key", "x").limit(most).toArrow()
     x = np.asarray(found.column("x").combine_chunks().flatten(), np.float32).reshape(-1, len(FEATURES))
     # In one order, however the rows came in.
     order = np.lexsort((*x.T[:2], found.column("key").to_numpy()))
