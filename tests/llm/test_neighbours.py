@@ -80,3 +80,17 @@ def test_few_and_no_vectors(spark):
     assert rows(neighbours.nearest(one.limit(0), F.lit(True))) == []
     two = spark.createDataFrame([(0, [1.0], 0), (9, [-2.0], 0)], SCHEMA)
     assert found(neighbours.nearest(two, F.lit(True))) == {0: [(9, -1.0)], 9: [(0, -1.0)]}
+
+
+def test_every_length_is_searched_by_itself(spark):
+    rng = np.random.default_rng(8)
+    vectors = [(i, rng.normal(size=3).tolist()) for i in range(60)] + [(150 + 50 * i, rng.normal(size=2).tolist()) for i in range(4)]
+    vectors += [(1000, rng.normal(size=7).tolist())]
+    df = spark.createDataFrame([(i, v, 0) for i, v in vectors], SCHEMA).withColumnsRenamed({"label": "rank"}).withColumn("dims", F.lit(9))
+    got = found(neighbours.nearest(df, F.col("vec_id") % 50 == 0, k=5))
+    wanted = {}
+    for size in (2, 3):
+        wanted |= brute([(i, v) for i, v in vectors if len(v) == size], lambda i: i % 50 == 0)
+    assert {q: [i for i, _ in near] for q, near in got.items()} == {q: [i for i, _ in near] for q, near in wanted.items()}
+    assert len(got[150]) == 3 and 1000 not in got
+    assert rows(neighbours.nearest(df.limit(0), F.col("vec_id") % 50 == 0, k=5)) == []

@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -204,9 +205,11 @@ def nearest(
 
     Nearness is the cosine in double precision; ties go to the smaller id; a query is not
     its own neighbour. Vectors that are NULL, zero, or hold NULL or non-finite components,
-    rows without id, and vectors not of the most frequent length take no part. Rows equal
-    in id and vector count once. Equal vectors are searched as one and answered with their
-    ``k + 1`` smallest ids, which is all that a query can need of them.
+    and rows without id, take no part. Vectors are compared with those of their own
+    length; each length is searched by itself. Rows equal in id and vector count once.
+    Equal vectors are searched as one and answered with their ``k + 1`` smallest ids,
+    which is all that a query can need of them. An empty table gives an empty one; other
+    columns, whatever their names, are left out.
     """
     spark = df.sparkSession
     ship(spark)
@@ -215,13 +218,19 @@ def nearest(
     )
     # -0.0 and 0.0 are one number.
     valid = stage(valid.withColumn("vector", F.transform("vector", lambda v: v + F.lit(0).cast("float"))).withColumn("dims", F.size("vector")))
-    empty = "query_id bigint, rank int, id bigint, score double"
-    lengths = valid.groupBy("dims").count().orderBy(F.desc("count"), "dims").first()
-    if lengths is None:
-        return spark.createDataFrame([], empty).withColumnRenamed("id", key)
-    dims, rows = lengths["dims"], lengths["count"]
-    valid = valid.filter(F.col("dims") == dims).drop("dims")
+    empty = spark.createDataFrame([], f"query_id bigint, rank int, `{key}` bigint, score double")
+    lengths = [r["dims"] for r in valid.select("dims").distinct().orderBy("dims").collect()]
+    searched = [
+        _nearest_of_length(valid.filter(F.col("dims") == dims).drop("dims"), dims, k, key, trees, leaf_rows, recall, sample_rows)
+        for dims in lengths
+    ]
+    return reduce(DataFrame.unionByName, searched, empty) if len(searched) != 1 else searched[0]
 
+
+def _nearest_of_length(
+    valid: DataFrame, dims: int, k: int, key: str, trees: int, leaf_rows: int, recall: float, sample_rows: int
+) -> DataFrame:
+    spark = valid.sparkSession
     # At most k + 1 rows of a vector leave a task, however often it occurs.
     order = Window.partitionBy("vector").orderBy("id")
     smallest = valid.select("vector", "id").withColumn("_n", F.dense_rank().over(order)).filter(F.col("_n") <= k + 1)
