@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from wardflow.llm.batches import add_columns, lists, ship, slices, strings
+from wardflow.llm.batches import add_columns, freeing, lists, ship, slices, strings
 from wardflow.llm.token_counts import byte_chars
 from wardflow.session import fresh_path
 
@@ -404,7 +404,7 @@ def _packer(models: tuple[str, str], kept: list[str], made: list[str], summary:
         if held:
             yield from _part(part, held)
 
-    return pack
+    return freeing(pack)
 
 
 def _part(part: int, held: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:

@@ -6,6 +6,8 @@ Python worker is bounded by ``SLICE_BYTES`` (or by one text, where that is longe
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -43,6 +45,25 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def freeing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, and after it what it allocated goes back to the system.
+
+    Spark keeps Python workers for later tasks; without this each keeps the most it ever needed.
+    """
+
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def add_columns(
     df: DataFrame,
     fields: Sequence[StructField],
@@ -75,7 +96,7 @@ def add_columns(
                     [*part.columns[:width], *work(part.column(place))], names=[f.name for f in schema.fields]
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(freeing(run), schema)
 
 
 def slices(batch: pa.RecordBatch, column: int, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

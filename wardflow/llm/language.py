@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField
 
-from wardflow.llm.batches import add_columns, ship, slices, strings
+from wardflow.llm.batches import add_columns, freeing, ship, slices, strings
 
 #: Learned from at most about this many documents, chosen by a hash of their id and text.
 MAX_DOCUMENTS = 20_000
@@ -120,7 +120,7 @@ def fit(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "la
                 names=["label", "bucket", "n"],
             )
 
-    counts = sample.select("text", "label").mapInArrow(count, "label string, bucket int, n bigint")
+    counts = sample.select("text", "label").mapInArrow(freeing(count), "label string, bucket int, n bigint")
     rows = counts.groupBy("label", "bucket").agg(F.sum("n").alias("n")).toArrow()
     languages = sorted(set(rows.column("label").to_pylist()))
     place = {lang: i for i, lang in enumerate(languages)}

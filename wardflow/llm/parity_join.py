@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from wardflow.llm.batches import SPACES, add_columns, mix, ship, words
+from wardflow.llm.batches import SPACES, add_columns, freeing, mix, ship, words
 from wardflow.llm.components import components
 from wardflow.llm.decontaminate import BROADCAST_ROWS, text_key
 from wardflow.operators.ordering import stage
@@ -226,7 +226,7 @@ def _keep_pairs(pairs: DataFrame, test, columns: tuple[str, ...]) -> DataFrame:
             kept = [test(*row) for row in zip(*(batch.column(c).to_pylist() for c in columns))]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(freeing(run), "a bigint, b bigint")
 
 
 def _similar(a: bytes, b: bytes) -> bool:
@@ -380,7 +380,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     found = components(links)
     while True:
         cells = _mixed_cells(members.drop("leader"), held, found, failed)
-        given = stage(cells.mapInArrow(_compare_cells, "a bigint, b bigint, likely boolean").distinct())
+        given = stage(cells.mapInArrow(freeing(_compare_cells), "a bigint, b bigint, likely boolean").distinct())
         if given.isEmpty():
             break
         verified = verifier.verify(given)
