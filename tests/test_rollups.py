@@ -83,3 +83,24 @@ def test_an_empty_fact(spark, lake):
     assert rollups.refresh(lake, ROLLUP).count() == 0
     lake.replace_partitions("fact", spark.createDataFrame(made(1, 20, [1]), SCHEMA), ["month_key"])
     assert shown(rollups.refresh(lake, ROLLUP)) == plain(lake.table("fact"))
+
+
+def test_groups_of_few_keys_have_small_states(spark):
+    """A state of one key is a word, not a block of thousands of bits, and is combined in a hash table."""
+    rows = spark.range(2000).selectExpr("id AS h", "id % 3 AS p", "id % 70 - 5 AS d", "1 AS month_key")
+    bitmaps = rollups.key_bitmaps(rows, ROLLUP)
+    assert bitmaps.count() == 4000
+    assert dict(bitmaps.dtypes)["bits"] == "bigint"
+    plan = bitmaps._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    whole = rollups.key_bitmaps(rows.withColumn("h", rows["h"] % 2), ROLLUP)
+    # Odd numbers from -5 to 64: the words of the negative keys, of 0 to 63 and of 64.
+    assert sorted(r["bucket"] for r in whole.filter("measure = 'doctors' AND h = 1").collect()) == [-1, 0, 1]
+
+
+def test_states_without_words_are_computed_from_all_months(spark, lake):
+    """A summary whose bitmaps an earlier form of the library kept elsewhere is built anew."""
+    lake.replace_partitions("fact", spark.createDataFrame(made(1, 100, [1, 2]), SCHEMA), ["month_key"])
+    rollups.refresh(lake, ROLLUP)
+    spark.sql(f"ALTER TABLE {lake.full_name(ROLLUP.bitmaps)} RENAME TO {lake.full_name('activity_bitmaps')}")
+    assert shown(rollups.refresh(lake, ROLLUP)) == plain(lake.table("fact"))

@@ -1,8 +1,8 @@
 """Summaries that are kept up as facts grow, from partial states of each month.
 
 For each group and month a state holds what can be added up later: counts, sums as
-decimals, and for distinct counts a bitmap of the surrogate keys seen, cut into buckets
-of 32,768 keys. When months of a fact change, only their states are computed again, from
+decimals, and for distinct counts a bitmap of the surrogate keys seen, cut into words of
+64 keys: a group of few keys holds few words, and one of many keys a bit for each. When months of a fact change, only their states are computed again, from
 those months alone; the summary is merged from the states and equals one computed from
 the whole fact, distinct counts included.
 """
@@ -22,6 +22,8 @@ from wardflow.sinks.store import TableStore, partition_of
 
 #: Sums are added as decimals, so that neither the order nor the cut into months matters.
 EXACT = "decimal(38,8)"
+#: Keys that one word of a bitmap, a long, stands for.
+WORD = 64
 
 
 @dataclass(frozen=True)
@@ -42,7 +44,7 @@ class Rollup:
 
     @property
     def bitmaps(self) -> str:
-        return f"{self.name}_bitmaps"
+        return f"{self.name}_key_words"
 
     @property
     def sources(self) -> str:
@@ -56,22 +58,25 @@ def add_states(rows: DataFrame, rollup: Rollup) -> DataFrame:
 
 
 def key_bitmaps(rows: DataFrame, rollup: Rollup) -> DataFrame:
-    """The keys seen in each group and partition: one bitmap for each bucket of keys, of all distinct measures."""
+    """The keys seen in each group and partition: one word of bits for each bucket of keys, of all distinct measures.
+
+    A word is no larger than one key, so groups of few keys cost no more than their keys
+    would; as a plain long it is combined in hash tables, before the shuffle and after.
+    """
     seen = F.array(
         *[F.struct(F.lit(name).alias("measure"), F.col(c).cast("long").alias("id")) for name, c in rollup.distinct.items()]
     )
     long = rows.select(*rollup.keys, rollup.partition, F.inline(seen)).filter("id IS NOT NULL")
-    bucket = F.bitmap_bucket_number("id").alias("bucket")
-    return long.groupBy(*rollup.keys, rollup.partition, "measure", bucket).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bitmap")
-    )
+    bucket = F.shiftright("id", WORD.bit_length() - 1)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("id", F.lit(WORD)).cast("int"))
+    return long.groupBy(*rollup.keys, rollup.partition, "measure", bucket.alias("bucket")).agg(F.bit_or(bit).alias("bits"))
 
 
 def merged(states: DataFrame, bitmaps: DataFrame, rollup: Rollup) -> DataFrame:
     """The summary: sums of sums, and the keys of all partitions together, each counted once."""
     added = [F.sum(c).alias(c) for c in (rollup.count, *rollup.sums)]
     total = states.groupBy(*rollup.keys).agg(*added)
-    whole = bitmaps.groupBy(*rollup.keys, "measure", "bucket").agg(F.bitmap_count(F.bitmap_or_agg("bitmap")).alias("n"))
+    whole = bitmaps.groupBy(*rollup.keys, "measure", "bucket").agg(F.bit_count(F.bit_or("bits")).alias("n"))
     counts = whole.groupBy(*rollup.keys).agg(
         *[F.sum(F.when(F.col("measure") == name, F.col("n")).otherwise(0)).alias(name) for name in rollup.distinct]
     )
@@ -98,7 +103,9 @@ def refresh(store: TableStore, rollup: Rollup) -> DataFrame:
     them, and a refresh that stopped half-way is simply done again.
     """
     now = _partition_files(store, rollup)
-    known = {r["value"]: r["files"] for r in store.table(rollup.sources).collect()} if store.exists(rollup.sources) else {}
+    # A summary of which a part is missing is computed from all partitions.
+    kept = all(store.exists(name) for name in (rollup.sources, rollup.states, rollup.bitmaps))
+    known = {r["value"]: r["files"] for r in store.table(rollup.sources).collect()} if kept else {}
     changed = [value for value, files in now.items() if known.get(value) != files]
     gone = [value for value in known if value not in now]
     fact, place = store.table(rollup.fact), F.col(rollup.partition).cast("string")
