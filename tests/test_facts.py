@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tests.conftest import listed
 from wardflow.operators.upsert import upsert
-from wardflow.plans import facts
+from wardflow.plans import facts, queries
+from wardflow.sources.domain import SCHEMAS
 
 D = dt.date
 OLD, NEW, AS_OF = D(2024, 1, 1), D(2024, 6, 1), "2024-07-01"
@@ -188,3 +189,17 @@ def test_pharmacy_flags(make, dims):
         # Its drug is not known yet.
         ("t7", None, 0, 0, 1),
     ]
+
+
+def test_two_loads_clean_their_tables_once(spark, monkeypatch):
+    """Both loads read the same cleaned rows: details are written once, other rows wait for no shuffle."""
+    made = {
+        "claim_item": [("CI1", "C1", None, " D1", 2, 5.0), ("CI1", "C1", "PR1", None, 1, 5.0), (None, "C2", None, "D2", None, None)],
+        "prescription": [("RX1", "V1", dt.date(1998, 1, 2)), ("RX1", "V2", None), ("RX2", None, dt.date(1998, 1, 3))],
+    }
+    monkeypatch.setattr(queries.Data, "raw", lambda self, name: spark.createDataFrame(made[name], SCHEMAS[name]))
+    once, plain = queries.LoadData(spark, "", twice=True), queries.Data(spark, "")
+    for name in ("claim_items", "prescription"):
+        assert once[name] is once[name]
+        assert listed(once[name]) == listed(plain[name])
+    assert once["claim_items"].inputFiles()

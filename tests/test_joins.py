@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from tests.conftest import listed
 from wardflow.operators import joins as j
 from wardflow.operators import profile, quality
+from wardflow.operators.cleaning import remove_duplicates
+from wardflow.operators.ordering import stage
 
 
 @pytest.fixture
@@ -215,3 +217,22 @@ def test_as_of_join_of_a_key_with_very_many_versions(spark):
     # Every fact day meets one version: no join condition but equality is left in the plan.
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "scd_end_date" not in plan
+
+
+@pytest.mark.parametrize("most", [j.MAX_REPEATED, 1])
+def test_few_duplicates_leave_the_same_rows(spark, monkeypatch, most):
+    """NULL keys form one group; more repeated keys than may be broadcast are grouped by a shuffle."""
+    monkeypatch.setattr(j, "MAX_REPEATED", most)
+    rows = [("a", 2, None), ("a", 1, "y"), ("a", 1, "x"), ("b", 1, "z"), (None, 5, "n"), (None, 4, None), ("c", None, None)]
+    df = spark.createDataFrame(rows, "k string, n int, t string")
+    assert listed(j.remove_few_duplicates(df, ["k"])) == listed(remove_duplicates(df, ["k"]))
+    two = df.withColumn("m", F.col("n") % 2)
+    assert listed(j.remove_few_duplicates(two, ["k", "m"])) == listed(remove_duplicates(two, ["k", "m"]))
+
+
+def test_rows_with_keys_of_their_own_are_not_shuffled(spark):
+    df = stage(spark.range(1000).selectExpr("concat('k', id) AS k", "repeat('x', 100) AS t"))
+    assert "Exchange" not in j.remove_few_duplicates(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    more = stage(df.unionByName(df.filter("k = 'k7'").withColumn("t", F.lit("a"))))
+    found = j.remove_few_duplicates(more, ["k"])
+    assert found.count() == 1000 and [r["t"] for r in found.filter("k = 'k7'").collect()] == ["a"]

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.operators.cleaning import quoted, remove_duplicates
 from wardflow.operators.ordering import stage
 from wardflow.operators.scd import current_rows
 
@@ -112,6 +113,32 @@ def flag_existing(
     return flagged.select(*df.columns, target)
 
 
+#: Repeated keys that are broadcast by ``remove_few_duplicates``; with more, all rows are compared by a shuffle.
+MAX_REPEATED = 200_000
+
+
+def remove_few_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``remove_duplicates``, for tables in which few keys repeat.
+
+    Hashes of the keys alone are shuffled and counted first. Rows whose hash occurs once
+    stay where they are, so columns that nobody asks for are never read; only the
+    others, which a hash that two keys share adds to without harm, are grouped and
+    compared. ``df`` is read more than once and must give the same rows each time.
+    """
+    mark = F.xxhash64(*[quoted(k) for k in keys])
+    counts = df.groupBy(mark.alias("_mark")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = stage(counts.filter("_n > 1").select("_mark"))
+    found = repeated.count()
+    if not found:
+        return df
+    if found > MAX_REPEATED:
+        return remove_duplicates(df, keys)
+    marked, repeated = df.withColumn("_mark", mark), F.broadcast(repeated)
+    alone = marked.join(repeated, "_mark", "left_anti").drop("_mark")
+    several = marked.join(repeated, "_mark", "left_semi").drop("_mark")
+    return alone.unionByName(remove_duplicates(several, keys))
+
+
 def rows_with_shared_value(df: DataFrame, column: str) -> DataFrame:
     """Rows whose value occurs on more than one row (NULLs excluded)."""
     shared = df.groupBy(column).agg(F.count(F.lit(1)).alias("shared_by")).filter(

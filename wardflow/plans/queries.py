@@ -79,6 +79,33 @@ class Data(Mapping[str, DataFrame]):
         return folder
 
 
+class LoadData(Data):
+    """Tables that facts are loaded from: each is cleaned once, however often and from whichever load it is read.
+
+    Rows of ``HEADS`` are not shuffled for the few keys that may repeat. With ``twice``
+    the tables of ``LINES``, which are grouped and joined to be cleaned, are written, as a
+    lakehouse has them written before its facts are loaded.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, twice: bool = False) -> None:
+        super().__init__(spark, sf_dir)
+        self.twice = twice
+        self._cleaned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in (*HEADS, *LINES):
+            return super().__getitem__(name)
+        if name not in self._cleaned:
+            cleaned = clean_table(self.raw(RECIPES[name].source), name, AS_OF, few_repeats=name in HEADS)
+            self._cleaned[name] = ordering.stage(cleaned) if self.twice and name in LINES else cleaned
+        return self._cleaned[name]
+
+
+#: What facts are loaded from: tables with one row for a thing of their own, and their many details.
+HEADS = ("visit", "claim", "claim_approval", "prescription", "patient_feedback", "referral")
+LINES = ("visit_procedure", "claim_items", "prescription_items", "drug_transaction", "drug_inventory")
+
+
 def query(function: Callable[[Data], DataFrame]) -> Callable[[Data], DataFrame]:
     QUERIES[function.__name__] = lambda spark, sf_dir: function(Data(spark, sf_dir))
     return function
@@ -720,6 +747,7 @@ def watermark_advance(d: Data) -> DataFrame:
 
 @query
 def fact_visits(d: Data) -> DataFrame:
+    d = LoadData(d.spark, d.sf_dir)
     dims = first_load(d, "patient", "hospital", "department", "doctor")
     dims["diagnosis"] = dimensions.dim_diagnosis(d["diagnosis"], AS_OF)
     fact = facts.fact_visits(d, dims, WATERMARK, AS_OF).drop("dwh_loaded_at")
@@ -756,6 +784,7 @@ def _loaded_twice(
 @query
 def fact_visits_two_loads(d: Data) -> DataFrame:
     """A doctor and a department come after their first visits: those are loaded, then mended by the next load."""
+    d = LoadData(d.spark, d.sf_dir, twice=True)
     dims = first_load(d, "patient", "hospital", "department", "doctor")
     dims["diagnosis"] = dimensions.dim_diagnosis(d["diagnosis"], AS_OF)
     fact = _loaded_twice(d, "fact_visits", dims, ("department", "doctor"))
@@ -765,6 +794,7 @@ def fact_visits_two_loads(d: Data) -> DataFrame:
 @query
 def fact_claims_two_loads(d: Data) -> DataFrame:
     """Patients come after their claims, and decisions too: the next load mends what waits for them."""
+    d = LoadData(d.spark, d.sf_dir, twice=True)
     dims, reviews = claim_dims(d), d["claim_approval"]
     known = F.coalesce(F.col("approval_date") <= F.lit(CLAIMS_KNOWN_AT), F.lit(True))
     waits = reviews.filter(~known).select("claim_id", F.lit(True).alias("waits")).distinct()
@@ -783,6 +813,7 @@ def fact_claims_two_loads(d: Data) -> DataFrame:
 @query
 def fact_pharmacy_two_loads(d: Data) -> DataFrame:
     """A third of the drugs come after their first movements."""
+    d = LoadData(d.spark, d.sf_dir, twice=True)
     dims = first_load(d, "drug", "hospital")
     fact = _loaded_twice(d, "fact_pharmacy", dims, ("drug", "hospital"))
     return fact.withColumn("total_value", e.round2("total_value"))
@@ -791,6 +822,7 @@ def fact_pharmacy_two_loads(d: Data) -> DataFrame:
 @query
 def rollup_hospital_activity(d: Data) -> DataFrame:
     """Visits of each hospital, kept up over two loads: counts, sums and distinct patients and doctors."""
+    d = LoadData(d.spark, d.sf_dir, twice=True)
     dims = first_load(d, "patient", "hospital", "department", "doctor")
     dims["diagnosis"] = dimensions.dim_diagnosis(d["diagnosis"], AS_OF)
     found = _loaded_twice(d, "fact_visits", dims, ("patient", "doctor"), rollup=rollups.HOSPITAL_ACTIVITY)
@@ -800,6 +832,7 @@ def rollup_hospital_activity(d: Data) -> DataFrame:
 @query
 def rollup_drug_movements(d: Data) -> DataFrame:
     """Movements of each drug, kept up over two loads, with the number of hospitals."""
+    d = LoadData(d.spark, d.sf_dir, twice=True)
     found = _loaded_twice(d, "fact_pharmacy", first_load(d, "drug", "hospital"), ("drug",), rollup=rollups.DRUG_MOVEMENTS)
     return found.withColumn("total_value", e.round2("total_value"))
 
@@ -812,6 +845,7 @@ def claim_dims(d: Data) -> dict[str, DataFrame]:
 
 @query
 def fact_claims(d: Data) -> DataFrame:
+    d = LoadData(d.spark, d.sf_dir)
     fact = facts.fact_claims(d, claim_dims(d), WATERMARK, AS_OF)
     return fact.drop("dwh_loaded_at", "dwh_updated_at").withColumn("approval_gap", e.round2("approval_gap"))
 
@@ -819,6 +853,7 @@ def fact_claims(d: Data) -> DataFrame:
 @query
 def merge_upsert(d: Data) -> DataFrame:
     """Two loads of the claims fact; claims decided in between are updated, new ones added."""
+    d = LoadData(d.spark, d.sf_dir, twice=True)
     dims = claim_dims(d)
     reviews = d["claim_approval"]
     known = F.coalesce(F.col("approval_date") <= F.lit(CLAIMS_KNOWN_AT), F.lit(True))
@@ -837,6 +872,7 @@ def merge_upsert(d: Data) -> DataFrame:
 
 @query
 def fact_pharmacy(d: Data) -> DataFrame:
+    d = LoadData(d.spark, d.sf_dir)
     fact = facts.fact_pharmacy(d, first_load(d, "drug", "hospital"), WATERMARK, AS_OF).drop("dwh_loaded_at")
     return fact.withColumn("total_value", e.round2("total_value"))
 

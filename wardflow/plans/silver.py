@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from wardflow.functions.expressions import Clock
 from wardflow.operators import cleaning as c
+from wardflow.operators.joins import remove_few_duplicates
 
 
 @dataclass(frozen=True)
@@ -123,13 +124,15 @@ def clean_table(
     as_of: Clock,
     overrides: Mapping[str, DataFrame] | None = None,
     fill_everything: bool = False,
+    few_repeats: bool = False,
 ) -> DataFrame:
     """Run one recipe.
 
     ``overrides`` maps a key column to a correction table that is applied last,
     after formatting (hospital contacts by manager and by hospital).
     ``fill_everything`` drops the exemptions for foreign keys and pending amounts
-    and fills every NULL string and number.
+    and fills every NULL string and number. ``few_repeats`` looks for repeated keys first,
+    by a job of its own, and spares all other rows the shuffle.
     """
     recipe = RECIPES[name]
     kept = () if fill_everything else recipe.references + recipe.pending
@@ -137,7 +140,7 @@ def clean_table(
     for prepare in recipe.before:
         df = prepare(df)
     if "D" in recipe.steps:
-        df = c.remove_duplicates(df, [recipe.key])
+        df = (remove_few_duplicates if few_repeats else c.remove_duplicates)(df, [recipe.key])
     # Trimming and filling touch each column on its own, so they share one projection.
     df = c.tidy(
         df,
