@@ -95,6 +95,63 @@ def test_pairs_at_the_threshold_share_a_block():
             assert set(keys[: edges[1]]) & set(keys[edges[1] :]), (size, cut)
 
 
+def some_sets(rng, count):
+    """Sets of which many are alike, as sorted hashes and where each begins."""
+    base = rng.choice(1 << 62, 90, replace=False).astype(np.uint64)
+    own = [rng.choice(1 << 62, int(rng.integers(0, 60)), replace=False).astype(np.uint64) for _ in range(count)]
+    sets = [np.unique(np.concatenate((base[: int(rng.integers(3, 91))], o))) for o in own]
+    return sets, np.concatenate(sets), np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+
+
+def similar(a, b):
+    both = len(np.intersect1d(a, b))
+    return 100 * both >= 75 * (len(a) + len(b) - both)
+
+
+def test_similar_sets_share_one_of_their_first_shingles():
+    rng = np.random.default_rng(3)
+    sets, tokens, first = some_sets(rng, 80)
+    found, counts = np.unique(tokens, return_counts=True)
+    for frequent, known in ((found[:0], counts[:0]), (found[counts > 3], counts[counts > 3])):
+        keys, edges = parity_join.prefixes(tokens, first, frequent, known)
+        heads = [set(keys[a:b]) for a, b in zip(edges, edges[1:])]
+        assert [len(h) for h in heads] == [len(x) // 4 + 1 for x in sets]
+        assert all(heads[i] & heads[j] for i in range(80) for j in range(i) if similar(sets[i], sets[j]))
+
+
+def test_sketches_compared_as_arrays_give_what_single_pairs_give(monkeypatch):
+    sets, tokens, first = some_sets(np.random.default_rng(4), 60)
+    members = list(zip([len(x) for x in sets], parity_join.sketches(tokens, first)))
+    monkeypatch.setattr(parity_join, "FEW_PAIRS", 0)
+    arrays = {(i, j): r for i, j, r in parity_join._all_ratios(members[:25], members[25:])}
+    monkeypatch.setattr(parity_join, "FEW_PAIRS", 10**6)
+    single = {(i, j): r for i, j, r in parity_join._all_ratios(members[:25], members[25:])}
+    assert arrays.keys() == single.keys() and arrays
+    assert all(np.isclose(arrays[pair], single[pair]) for pair in single)
+    assert all((i, j) in single for i in range(25) for j in range(35) if similar(sets[i], sets[25 + j]))
+
+
+def test_rows_compared_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    """A passage in many texts, and near copies alike only through some others: buckets far beyond a cell."""
+    rng = random.Random(11)
+    text = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    monkeypatch.setattr(parity_join, "CELL", 16)
+    monkeypatch.setattr(parity_join, "CROWD", 8)
+    dealt, cells = [], parity_join._cells
+
+    def counted(*given):
+        dealt.append((out := cells(*given)).count())
+        return out
+
+    monkeypatch.setattr(parity_join, "_cells", counted)
+    passage, base = text(40), text(120)
+    texts = [f"{passage} {text(rng.randint(16, 40))}" for _ in range(600)]
+    texts += [near(base, 0.03, rng) for _ in range(150)]
+    check(spark, texts[:300] + texts[600:675])
+    check(spark, texts)
+    assert dealt[0] and dealt[1] <= 3 * dealt[0], dealt
+
+
 def near(text, share, rng):
     words = text.split()
     return " ".join(w if rng.random() > share else f"new{rng.randrange(10**6)}" for w in words)

@@ -16,17 +16,25 @@ is under 1e-7 (0.65 ** 40), for similarities of 0.8 and more under 1e-11.
 Candidates. Sets with one block in common form a bucket. First each is compared with the
 leader of its bucket, the first in one of ``ORDERS`` orders, and components are built from
 what is verified. Buckets that then still hold several components are compared member by
-member, by sketches, in cells of a fixed size. A cell gives likely pairs only where they
-join components not joined by its earlier ones, fewer than it has members, and the
-doubtful pairs, close to the threshold, of components still apart. They
-are verified; where a likely one fails, the cells are gone through again without the
-failed pairs, until none does. So every pair of a bucket is either in one component,
-ruled out by its sketches, or verified and found different; none is dropped.
+member, by sketches, in cells of a fixed size. A crowd, a mixed bucket of more than
+``CROWD`` members, is dealt anew before: its sets meet in buckets of the shingles that
+come first in them, rare ones first, of which similar sets always share one. So what a
+passage in many texts brought together parts again, and rows grow with the sets, not with
+their pairs. In a bucket beyond a cell, members of its main component meet only the others.
+
+A cell gives the likeliest pairs of components still apart. Where their best one is likely
+to be similar, the two count as joined for its further pairs. The pairs are verified; the
+cells in which a pair failed that had others left out for it are gone through again
+without the failed ones, and give more pairs, until none is left. So every pair of a
+bucket is either in one component, ruled out by its sketches or its first shingles, or
+verified and found different; none is dropped.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +54,17 @@ SHARE, SHARE_OF = 75, 100
 BLOCKS = 40
 #: Members of a bucket that are compared in one cell, about.
 CELL = 2048
+#: A mixed bucket of more members is a crowd: its sets are dealt anew by their rare shingles.
+CROWD = 64
+#: Sets of crowds in which shingles are counted, at most, and the count from which one is frequent.
+SAMPLE = 20_000
+FREQUENT = 8
+#: Pairs of two components that a cell gives at first, at most, and how many times more after each round.
+FIRST_PAIRS = 4
+MORE_PAIRS = 8
+#: So many pairs are compared one by one, more as arrays of so many words at a time.
+FEW_PAIRS = 64
+PAIR_WORDS = 1 << 20
 #: Orders in which the leaders of buckets are chosen.
 ORDERS = 4
 #: A pair is likely where its estimated difference is this part of the largest one, or less.
@@ -161,25 +180,25 @@ def _number(sketch: bytes) -> tuple[int, int]:
     return int.from_bytes(sketch, "little"), 8 * len(sketch)
 
 
-def _near(n_a: int, a: tuple[int, int], n_b: int, b: tuple[int, int]) -> int:
-    """0 where sizes or sketches, as numbers and lengths, rule a similar pair out; 2 for a likely one.
+def _ratio(n_a: int, a: tuple[int, int], n_b: int, b: tuple[int, int]) -> float | None:
+    """The estimated difference as a part of the largest one allowed; None where sizes or sketches rule a similar pair out.
 
-    The distance is at most the difference d, and where shingles share bits it is less.
-    A pair whose d, estimated from its distance, is near the largest or above is doubtful: 1.
+    Sketches are given as numbers and lengths. Their distance is at most the difference d,
+    and where shingles share bits it is less; so a pair that is not ruled out may come above 1.
     """
     if SHARE_OF * min(n_a, n_b) < SHARE * max(n_a, n_b):
-        return 0
+        return None
     bits = min(a[1], b[1])
     apart = (_folded(*a, bits) ^ _folded(*b, bits)).bit_count()
     # d = a + b - 2i with SHARE_OF * i >= SHARE * (a + b - i).
     most = (n_a + n_b) * (SHARE_OF - SHARE) / (SHARE_OF + SHARE)
     if apart > most + 1e-9:
-        return 0
-    return 2 if 2 * apart < bits and -bits / 2 * math.log1p(-2 * apart / bits) <= LIKELY * most else 1
+        return None
+    return -bits / 2 * math.log1p(-2 * apart / bits) / most if 2 * apart < bits else math.inf
 
 
 def may_be_similar(n_a: int, sketch_a: bytes, n_b: int, sketch_b: bytes) -> bool:
-    return _near(n_a, _number(sketch_a), n_b, _number(sketch_b)) > 0
+    return _ratio(n_a, _number(sketch_a), n_b, _number(sketch_b)) is not None
 
 
 def _describe(df: DataFrame, text: str) -> DataFrame:
@@ -235,37 +254,95 @@ def _similar(a: bytes, b: bytes) -> bool:
     return SHARE_OF * both >= SHARE * (len(a) + len(b) - both)
 
 
-class _Verifier:
-    """Verifies candidate pairs on their whole sets, which are made from the texts once more."""
+class _Texts:
+    """The texts of sets, from which whole sets are made once more where they are wanted."""
 
     def __init__(self, texts: DataFrame, described: DataFrame):
         #: _key, _check and text of every row; and one row's key for each set.
         self.texts = texts
         self.source = described.filter(f"n_shingles > {ALONE}").groupBy("set_id").agg(F.min(F.struct("_key", "_check")).alias("row"))
 
+    def of(self, wanted: DataFrame) -> DataFrame:
+        """``wanted`` (one row per set_id, other columns are kept) with ``text``."""
+        others = [c for c in wanted.columns if c != "set_id"]
+        rows = stage(self.source.join(wanted, "set_id").select("row.*", *others))
+        few = rows.count() <= BROADCAST_ROWS
+        return self.texts.join(F.broadcast(rows) if few else rows, ["_key", "_check"]).select("text", *others)
+
     def verify(self, pairs: DataFrame) -> DataFrame:
+        """Those of the candidate pairs that are similar, by their whole sets."""
         wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select(F.col("b").alias("set_id"))).distinct()
-        rows = stage(self.source.join(wanted, "set_id").select("row.*"))
-        few = rows.count() <= BROADCAST_ROWS
-        texts = self.texts.join(F.broadcast(rows) if few else rows, ["_key", "_check"], "left_semi")
-        sets = stage(_sets(texts.select("text"), "text"))
+        sets = stage(_sets(self.of(wanted), "text"))
         left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("set_a"))
         right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("set_b"))
         return stage(_keep_pairs(pairs.join(left, "a").join(right, "b"), _similar, ("set_a", "set_b")))
 
 
-def _joining_pairs(members: list[tuple], halves: bool) -> Iterator[tuple[int, int, bool]]:
+def _all_ratios(left: list[tuple], right: list[tuple]) -> Iterator[tuple[int, int, float]]:
+    """Places in two lists of (n_shingles, sketch), and `_ratio`, of the pairs not ruled out."""
+    if len(left) * len(right) <= FEW_PAIRS:
+        numbers = [(n, _number(sketch)) for n, sketch in right]
+        for i, (n, sketch) in enumerate(left):
+            number = _number(sketch)
+            for j, other in enumerate(numbers):
+                if (ratio := _ratio(n, number, *other)) is not None:
+                    yield i, j, ratio
+        return
+    for at_a, n_a, whole_a in _by_length(left):
+        for at_b, n_b, whole_b in _by_length(right):
+            # Similar sizes have sketches of equal length, or one of twice the other's.
+            wide, wide_b = whole_a.shape[1], whole_b.shape[1]
+            if max(wide, wide_b) > 2 * min(wide, wide_b):
+                continue
+            a, b = (_halved(whole_a), whole_b) if wide > wide_b else (whole_a, _halved(whole_b)) if wide < wide_b else (whole_a, whole_b)
+            bits = 64 * a.shape[1]
+            step = max(PAIR_WORDS // b.size, 1)
+            for low in range(0, len(a), step):
+                apart = np.bitwise_count(a[low : low + step, None] ^ b).sum(-1, dtype=np.int64)
+                one, two = n_a[low : low + step, None], n_b
+                most = (one + two) * (SHARE_OF - SHARE) / (SHARE_OF + SHARE)
+                near = (apart <= most + 1e-9) & (SHARE_OF * np.minimum(one, two) >= SHARE * np.maximum(one, two))
+                i, j = np.nonzero(near)
+                share = 2 * apart[i, j] / bits
+                ratio = np.where(share < 1, -bits / 2 * np.log1p(-np.minimum(share, 0.99)) / most[i, j], np.inf)
+                yield from zip(at_a[low + i].tolist(), at_b[j].tolist(), ratio.tolist())
+
+
+def _by_length(members: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places, sizes and sketches, as rows of words, for each length of sketches."""
+    lengths = np.array([len(sketch) for _, sketch in members])
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        joined = np.frombuffer(b"".join(members[i][1] for i in at), np.uint64).reshape(len(at), -1)
+        yield at, np.array([members[i][0] for i in at], np.int64), joined
+
+
+def _halved(sketch: np.ndarray) -> np.ndarray:
+    half = sketch.shape[1] // 2
+    return sketch[:, :half] ^ sketch[:, half:]
+
+
+def _joining_pairs(members: list[tuple], halves: bool, most: int) -> Iterator[tuple[int, int, bool]]:
     """Pairs of a cell that may be similar and join components not joined so far.
 
-    Members are (set_id, component, own, n_shingles, sketch, avoid). Each component is held
-    against all larger ones, until one likely pair joins the two; most members are in one
-    large component, and are never held against each other. Then the doubtful pairs, close
-    to the threshold, of components that are still apart. A cell of two ``halves`` compares
-    only across them.
+    Members are (set_id, component, own, n_shingles, sketch, avoid). Most are in one large
+    component and never held against each other. Of each two components the ``most`` likeliest
+    pairs are given, the likeliest components first; where their best pair is likely to be
+    similar, they count as joined for what follows. The flag says that for such a pair, or
+    for more than ``most``, others were left out. A cell of two ``halves`` compares only across them.
     """
-    groups: dict[int, list[tuple]] = {}
-    for name, component, own, n, sketch, avoid in members:
-        groups.setdefault(component, []).append((name, own, n, _number(sketch), avoid))
+    counts = Counter(m[1] for m in members)
+    main = min(counts, key=lambda c: (-counts[c], c))
+    large = [m for m in members if m[1] == main]
+    rest = [m for m in members if m[1] != main]
+    met: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+    for others in (large, rest):
+        for i, j, ratio in _all_ratios([m[3:5] for m in rest], [m[3:5] for m in others]):
+            a, b = rest[i], others[j]
+            if a[1] == b[1] or (halves and a[2] == b[2]) or (others is rest and j < i):
+                continue
+            if b[0] not in a[5] and a[0] not in b[5]:
+                met.setdefault((min(a[1], b[1]), max(a[1], b[1])), []).append((ratio, min(a[0], b[0]), max(a[0], b[0])))
     parent: dict[int, int] = {}
 
     def root(c: int) -> int:
@@ -273,38 +350,31 @@ def _joining_pairs(members: list[tuple], halves: bool) -> Iterator[tuple[int, in
             parent[c] = c = parent.get(above, above)
         return c
 
-    def across(one: int, two: int, least: int) -> Iterator[tuple[int, int]]:
-        for a, half_a, n_a, sketch_a, avoid_a in groups[one]:
-            for b, half_b, n_b, sketch_b, avoid_b in groups[two]:
-                if not (halves and half_a == half_b) and _near(n_a, sketch_a, n_b, sketch_b) >= least:
-                    if b not in avoid_a and a not in avoid_b:
-                        yield min(a, b), max(a, b)
-
-    order = sorted(groups, key=lambda c: (-len(groups[c]), c))
-    apart = [(c, larger) for place, c in enumerate(order) for larger in order[:place]]
-    for component, larger in apart:
-        if root(component) != root(larger) and (pair := next(across(component, larger, 2), None)):
-            parent[root(component)] = root(larger)
-            yield *pair, True
-    for component, larger in apart:
-        if root(component) != root(larger):
-            yield from ((a, b, False) for a, b in across(component, larger, 1))
-
-
-def _compare_cells(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for (one, two), pairs in sorted(met.items(), key=lambda item: min(item[1])):
+        if root(one) != root(two):
+            best = heapq.nsmallest(most, pairs)
+            joined = best[0][0] <= LIKELY
+            for _, a, b in best:
+                yield a, b, joined or len(pairs) > most
+            if joined:
+                parent[root(one)] = root(two)
+
+
+def _compare_cells(rows: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     """The joining pairs of all cells of a task; the rows of a cell come in a run."""
     cell, members, out = None, [], {}
 
     def close() -> None:
         if len(members) > 1:
-            out.update(dict.fromkeys(_joining_pairs(members, cell[1] != cell[2])))
+            for a, b, flag in _joining_pairs(members, cell[1] != cell[2], most):
+                out[a, b] = flag or out.get((a, b), False)
 
     def flush() -> pa.RecordBatch:
-        found = list(out)
+        found = [(*pair, flag) for pair, flag in out.items()]
         out.clear()
         kinds = (pa.int64(), pa.int64(), pa.bool_())
         columns = [pa.array([p[i] for p in found], kind) for i, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "likely"])
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "partial"])
 
     names = ("key", "low", "high", "set_id", "component", "own", "n_shingles", "sketch", "avoid")
     for batch in rows:
@@ -318,27 +388,142 @@ def _compare_cells(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _mixed_cells(members: DataFrame, held: DataFrame, found: DataFrame, failed: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, dealt into cells, with all that is known of them."""
-    named = stage(
-        members.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-            "key", "set_id", F.coalesce("component", "set_id").alias("component")
+def prefixes(tokens: np.ndarray, first: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first shingles of each set, rare ones first: similar sets have one of these in common.
+
+    The order is the same for all sets: by the count of a shingle (0, if not among the sorted
+    ``frequent`` ones), then by its hash. Of n shingles a similar set lacks n / 4 at most.
+    """
+    size = np.diff(first)
+    owner = np.repeat(np.arange(len(size)), size)
+    count = np.zeros(len(tokens), np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+        count = np.where(frequent[at] == tokens, counts[at], 0)
+    order = np.lexsort((tokens, count, owner))
+    wanted = size * (SHARE_OF - SHARE) // SHARE_OF + 1
+    taken = np.arange(len(tokens)) - first[:-1][owner] < wanted[owner]
+    return tokens[order][taken].view(np.int64), np.concatenate(([0], np.cumsum(np.minimum(wanted, size))))
+
+
+def _frequent(texts: _Texts, crowd: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur in many of the sets ``crowd``, sorted, and their counts in a sample.
+
+    The sample (by hash, about ``SAMPLE`` sets) bounds what is counted and what the driver
+    holds. It only settles which shingles are taken to be rare.
+    """
+
+    def work(batch: pa.Array) -> list:
+        tokens, first = shingle_sets(batch)
+        return [pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(tokens.view(np.int64), pa.int64()))]
+
+    some = crowd.select("set_id").filter(F.pmod(F.xxhash64("set_id"), F.lit(crowd.count())) < SAMPLE)
+    listed = add_columns(texts.of(some), [StructField("tokens", ArrayType(LongType(), False))], "text", lambda: work)
+    counted = listed.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    found = counted.filter(F.col("n") >= FREQUENT).toArrow()
+    tokens, counts = (found.column(c).to_numpy() for c in ("token", "n"))
+    order = np.argsort(tokens.view(np.uint64))
+    return tokens.view(np.uint64)[order], counts[order]
+
+
+def _by_rare_shingles(texts: _Texts, crowd: DataFrame) -> DataFrame:
+    """(key, set_id, component) for the first shingles of the sets ``crowd`` (set_id, component)."""
+    frequent, counts = _frequent(texts, crowd)
+
+    def work(batch: pa.Array) -> list:
+        tokens, first = shingle_sets(batch)
+        keys, edges = prefixes(tokens, first, frequent, counts)
+        return [
+            pa.array(set_ids(tokens, first), pa.int64()),
+            pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(keys, pa.int64())),
+        ]
+
+    fields = [StructField("set_id", LongType()), StructField("keys", ArrayType(LongType(), False))]
+    listed = add_columns(texts.of(crowd), fields, "text", lambda: work).dropDuplicates(["set_id"])
+    return listed.select(F.explode("keys").alias("key"), "set_id", "component")
+
+
+def _mixed(named: DataFrame) -> DataFrame:
+    """(key, size) of the buckets in which several components meet."""
+    sizes = named.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("size"))
+    return stage(sizes.filter("_low <> _high").select("key", "size"))
+
+
+def _dealt(named: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Members of mixed buckets with the cells (key, low, high) in which they are compared.
+
+    A bucket of ``CELL`` members is one cell. Of a larger one the main component, which is
+    not compared with itself, and the others are cut in parts; a cell holds two parts, or
+    one part of the others.
+    """
+    small = named.join(mixed.filter(F.col("size") <= CELL), "key").select("key", "set_id", *[F.lit(0).alias(c) for c in ("own", "low", "high")])
+    large = stage(named.join(mixed.filter(F.col("size") > CELL), "key").select("key", "set_id", "component"))
+    if large.isEmpty():
+        return small
+    parts = large.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("size"))
+    cuts = stage(
+        main.select(
+            "key",
+            F.col("main.component").alias("main"),
+            F.ceil(F.col("main.n") / CELL).cast("int").alias("mains"),
+            F.ceil((F.col("size") - F.col("main.n")) / CELL).cast("int").alias("others"),
         )
     )
-    size = F.ceil(F.count(F.lit(1)) / CELL).cast("int")
-    mixed = named.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), size.alias("cells"))
-    mixed = stage(mixed.filter("_low <> _high").select("key", "cells"))
-    avoid = stage(failed.groupBy(F.col("a").alias("set_id")).agg(F.collect_set("b").alias("avoid")))
+    in_main, part = F.col("component") == F.col("main"), F.xxhash64("set_id", "key")
     spread = (
-        named.join(mixed, "key")
-        .withColumn("own", F.pmod(F.xxhash64("set_id", "key"), F.col("cells")).cast("int"))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-        .select("key", "set_id", "component", "own", F.least("own", "_other").alias("low"), F.greatest("own", "_other").alias("high"))
-        .join(held, "set_id")
-        .join(avoid, "set_id", "left")
+        large.join(cuts, "key")
+        .withColumn("own", F.when(in_main, F.pmod(part, "mains")).otherwise(F.col("mains") + F.pmod(part, "others")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.when(in_main, F.col("mains")).otherwise(F.lit(0)), F.col("mains") + F.col("others") - 1)))
+        .select("key", "set_id", "own", F.least("own", "_other").alias("low"), F.greatest("own", "_other").alias("high"))
     )
-    dealt = spread.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "set_id")
-    return dealt.select("key", "low", "high", "set_id", "component", "own", "n_shingles", "sketch", "avoid")
+    return small.union(spread)
+
+
+def _cells(texts: _Texts, members: DataFrame, found: DataFrame) -> DataFrame:
+    """Cells of the buckets that hold several components; crowds are dealt anew by rare shingles."""
+    named = stage(_with_components(members, found))
+    mixed = _mixed(named)
+    few = _dealt(named, mixed.filter(F.col("size") <= CROWD))
+    crowds = mixed.filter(F.col("size") > CROWD)
+    if crowds.isEmpty():
+        return stage(few)
+    crowd = stage(named.join(crowds, "key").select("set_id", "component").distinct())
+    rare = stage(_by_rare_shingles(texts, crowd))
+    return stage(few.union(_dealt(rare, _mixed(rare))))
+
+
+def _with_components(rows: DataFrame, found: DataFrame) -> DataFrame:
+    named = rows.join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
+    return named.select(*rows.columns, F.coalesce("component", "set_id").alias("component"))
+
+
+def _compared(cells: DataFrame, held: DataFrame, found: DataFrame, failed: DataFrame, most: int) -> DataFrame:
+    """Candidate pairs (a, b, partial) of the cells, with all that is known of their members."""
+    avoid = stage(failed.groupBy(F.col("a").alias("set_id")).agg(F.collect_set("b").alias("avoid")))
+    known = held.join(avoid, "set_id", "left")
+    dealt = cells.join(stage(_with_components(known, found)), "set_id").repartition("key", "low", "high")
+    rows = dealt.sortWithinPartitions("key", "low", "high", "set_id").select(
+        "key", "low", "high", "set_id", "component", "own", "n_shingles", "sketch", "avoid"
+    )
+    pairs = rows.mapInArrow(freeing(lambda batches: _compare_cells(batches, most)), "a bigint, b bigint, partial boolean")
+    return stage(pairs.groupBy("a", "b").agg(F.max("partial").alias("partial")))
+
+
+def _still_apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) whose sets are in different components."""
+    for end in ("a", "b"):
+        to = found.select(F.col("node").alias(end), F.col("component").alias(f"_of_{end}"))
+        pairs = pairs.join(to, end, "left").withColumn(f"_of_{end}", F.coalesce(f"_of_{end}", end))
+    return stage(pairs.filter("_of_a <> _of_b").select("a", "b"))
+
+
+def _holding(cells: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those cells that hold both sets of one of the pairs."""
+    cell = ["key", "low", "high"]
+    left = cells.select(*cell, F.col("set_id").alias("a")).join(pairs.select("a", "b"), "a")
+    right = cells.select(*cell, F.col("set_id").alias("b"))
+    return stage(cells.join(left.join(right, [*cell, "b"]).select(*cell).distinct(), cell, "left_semi"))
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -371,25 +556,29 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
     def side(name: str) -> DataFrame:
         return held.select(F.col("set_id").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
 
-    verifier = _Verifier(texts, described)
+    whole_texts = _Texts(texts, described)
     leaders = members.filter("set_id <> leader").select(F.least("set_id", "leader").alias("a"), F.greatest("set_id", "leader").alias("b"))
     sides = leaders.distinct().join(side("a"), "a").join(side("b"), "b")
     given = stage(_keep_pairs(sides, may_be_similar, ("n_a", "s_a", "n_b", "s_b")))
-    links = verifier.verify(given)
+    links = whole_texts.verify(given)
     failed = stage(given.join(links, ["a", "b"], "left_anti"))
     found = components(links)
+    cells = _cells(whole_texts, members.drop("leader"), found)
+    most = FIRST_PAIRS
     while True:
-        cells = _mixed_cells(members.drop("leader"), held, found, failed)
-        given = stage(cells.mapInArrow(freeing(_compare_cells), "a bigint, b bigint, likely boolean").distinct())
+        given = _compared(cells, held, found, failed, most)
         if given.isEmpty():
             break
-        verified = verifier.verify(given)
-        links = stage(links.union(verified))
-        found = components(links)
-        wrong = stage(given.join(verified, ["a", "b"], "left_anti"))
-        if wrong.filter("likely").isEmpty():
+        links = whole_texts.verify(given)
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links))
+        wrong = stage(given.join(links, ["a", "b"], "left_anti"))
+        # Only where one of these is held was anything left out that may still join components.
+        again = _still_apart(wrong.filter("partial"), found)
+        if again.isEmpty():
             break
         failed = stage(failed.union(wrong.select("a", "b")))
+        cells = _holding(cells, again)
+        most *= MORE_PAIRS
 
     classes = described.filter("n_shingles > 0").groupBy("set_id").agg(F.min("id").alias("least"))
     named = classes.join(found.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
