@@ -1,7 +1,8 @@
 """Arrow batches in and out of tasks, and word hashing on their raw bytes.
 
 Everything here works on one slice of a batch at a time, so that the memory of a
-Python worker is bounded by ``SLICE_BYTES`` (or by one text, where that is longer).
+Python worker is bounded by ``SLICE_BYTES`` (or by one text, where that is longer);
+the batches themselves are bounded by ``BATCH_BYTES`` and one row.
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
+#: What Spark sends to a Python worker at once: 10,000 rows of long texts would be many times that, there and here.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C55)  # odd, so that it has an inverse mod 2^64
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -32,8 +35,11 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Send this package to the session's Python workers, once, over Spark's own file transfer.
 
-    Workers need not have the repository on their path, or on their disk.
+    Workers need not have the repository on their path, or on their disk. The session's Arrow
+    batches are bounded by ``BATCH_BYTES`` unless it names a bound of its own.
     """
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(__file__).parent.parent

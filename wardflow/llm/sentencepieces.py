@@ -20,8 +20,8 @@ from wardflow.llm.batches import add_columns, lists, strings
 
 MARK = "▁"
 #: The table of a task starts anew when it holds so many distinct words or characters.
-TABLE_WORDS = 300_000
-TABLE_CHARS = 10_000_000
+TABLE_WORDS = 100_000
+TABLE_CHARS = 3_000_000
 
 
 def default_model() -> str:
